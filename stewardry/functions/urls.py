@@ -22,7 +22,7 @@ def _contains_any(value: Column | str, words: tuple[str, ...]) -> Column:
 
 def normalize_website(url: Column | str) -> Column:
     """Trimmed URL with `https://` in front unless it has a scheme; empty -> NULL."""
-    site = F.nullif(F.trim(_col(url)), F.lit(""))
+    site = F.nullif(F.regexp_replace(_col(url), r"(?U)^\s+|\s+$", ""), F.lit(""))
     return F.when(site.rlike(_SCHEME), site).otherwise(F.concat(F.lit("https://"), site))
 
 

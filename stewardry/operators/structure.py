@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stewardry.functions.spans import let
+from stewardry.operators.once import compute_once
 
 _NODES = "array<struct<path:string,type:string,value:variant>>"
 # NaN as a bare token: after a colon, comma or opening bracket and before the next one.
@@ -86,7 +87,8 @@ def json_nodes(json: Column | str, depth: int = 12) -> Column:
 
 def json_structure(docs: DataFrame, json: str, depth: int = 12) -> DataFrame:
     """`path, type, n`: one scan, then one aggregate that combines before its shuffle."""
-    nodes = docs.select(F.explode(json_nodes(json, depth)).alias("_node"))
+    walked = compute_once(docs.select(json), _nodes=json_nodes(json, depth))
+    nodes = walked.select(F.explode("_nodes").alias("_node"))
     return nodes.groupBy(
         F.col("_node.path").alias("path"), F.col("_node.type").alias("type")
     ).agg(F.count(F.lit(1)).alias("n"))

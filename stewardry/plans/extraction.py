@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stewardry.functions import people as P
 from stewardry.functions.text import relevant_sections
 from stewardry.functions.urls import is_excluded
+from stewardry.operators.once import compute_once
 from stewardry.schemas import PEOPLE
 from stewardry.sources.pages import page_text
 
@@ -15,15 +16,14 @@ from stewardry.sources.pages import page_text
 def with_sections(pages: DataFrame) -> DataFrame:
     """Pages with `relevant`, the sections to mine; none for excluded or empty pages."""
     text = page_text("body_text", "sections")
-    return (
-        pages.withColumn("_text", F.when(~is_excluded("url"), text).otherwise(F.lit("")))
-        .withColumn(
-            "relevant",
-            F.when(F.col("_text") != "", relevant_sections("_text"))
-            .otherwise(F.array().cast("array<string>")),
-        )
-        .drop("_text")
+    return _mined(pages, F.when(~is_excluded("url"), text).otherwise(F.lit("")))
+
+
+def _mined(pages: DataFrame, text: Column) -> DataFrame:
+    sections = F.when(F.col("_text") != "", relevant_sections("_text")).otherwise(
+        F.array().cast("array<string>")
     )
+    return compute_once(compute_once(pages, _text=text), relevant=sections).drop("_text")
 
 
 def process_pages(
@@ -37,21 +37,16 @@ def process_pages(
     `operators.people.attach_spans`; the pages must then have `relevant`).
     """
     sectioned = pages if spans else with_sections(pages)
-    found = P.people_of_sections("relevant", spans)
-    folded = P.merge_similar_people(
-        P.dedup_people("_found"), keep=keep, merge_contacts=merge_contacts
-    )
+    found = compute_once(sectioned, _found=P.people_of_sections("relevant", spans))
+    unique = compute_once(found, _unique=P.dedup_people("_found"))
+    merged = compute_once(unique, _merged=P.merge_similar_people("_unique", keep, merge_contacts))
     people = F.filter("_merged", lambda p: P.is_valid_name(p["name"], valid_mode))
+    done = compute_once(merged, _people=F.coalesce(people, F.array().cast(PEOPLE)))
     url = F.col("url")
-    return (
-        sectioned.withColumn("_found", found)
-        .withColumn("_merged", folded)
-        .withColumn("_people", F.coalesce(people, F.array().cast(PEOPLE)))
-        .select(
-            "url", "title", "source_file", "relevant",
-            F.filter("_people", lambda p: P.goes_to_executives(p["role"], url)).alias("executives"),
-            F.filter("_people", lambda p: P.goes_to_board(p["role"], url)).alias("board_members"),
-        )
+    return done.select(
+        "url", "title", "source_file", "relevant",
+        F.filter("_people", lambda p: P.goes_to_executives(p["role"], url)).alias("executives"),
+        F.filter("_people", lambda p: P.goes_to_board(p["role"], url)).alias("board_members"),
     )
 
 
@@ -60,10 +55,8 @@ def process_pages_by_role(pages: DataFrame) -> DataFrame:
 
     Roles and names are told apart inside the page's row, so this too is free of shuffles.
     """
-    text = page_text("body_text", "sections")
-    sections = F.when(text != "", relevant_sections(text)).otherwise(F.array().cast("array<string>"))
-    return (
-        pages.withColumn("relevant", sections)
-        .withColumn("_found", P.people_of_sections("relevant"))
-        .select("url", "title", "source_file", "relevant", P.dedup_by_role("_found").alias("people"))
+    sectioned = _mined(pages, page_text("body_text", "sections"))
+    found = compute_once(sectioned, _found=P.people_of_sections("relevant"))
+    return compute_once(found, people=P.dedup_by_role("_found")).select(
+        "url", "title", "source_file", "relevant", "people"
     )

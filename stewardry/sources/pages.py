@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from stewardry.functions.html import clean_html
 from stewardry.functions.text import coalesce_company, coalesce_text, first_filled, sections_text
 from stewardry.functions.urls import page_url
+from stewardry.operators.once import compute_once
 
 # How a bare NaN token comes out of the JSON reader when a string is asked for.
 _BARE_NAN = '"NaN"'
@@ -49,12 +50,13 @@ def decode_pages(files: DataFrame) -> DataFrame:
     markdown are both empty.
     """
     fields = F.col("_fields")
-    parsed = files.withColumn("_fields", F.from_json("raw", "map<string,string>"))
-    body = clean_html(first_filled(_field(fields, "body_text")))
-    markdown = clean_html(first_filled(_field(fields, "markdown_content")))
+    parsed = compute_once(files, _fields=F.from_json("raw", "map<string,string>"))
     cleaned = (
-        parsed.withColumn("_body", body)
-        .withColumn("markdown_content", markdown)
+        compute_once(
+            parsed,
+            _body=clean_html(first_filled(_field(fields, "body_text"))),
+            markdown_content=clean_html(first_filled(_field(fields, "markdown_content"))),
+        )
         .withColumn("url", page_url("source_file"))
         .withColumn("title", _field(fields, "title"))
         .withColumn("meta_description", _field(fields, "meta_description"))
