@@ -184,12 +184,12 @@ def _processed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH {sql.processed_ctes()} SELECT url, list, row_number() OVER (PARTITION BY url, list ORDER BY pos) AS pos, name, role, email, phone FROM final")
 def process_page(spark: SparkSession, sf_dir: str) -> DataFrame:
-    done = _processed(spark, sf_dir)
-    parts = [
-        done.select("url", F.lit(name).alias("list"), F.posexplode(column).alias("pos", "p"))
-        for name, column in (("executive", "executives"), ("board", "board_members"))
-    ]
-    return parts[0].unionByName(parts[1]).select(
+    both = F.array(
+        F.struct(F.lit("executive").alias("list"), F.col("executives").alias("people")),
+        F.struct(F.lit("board").alias("list"), F.col("board_members").alias("people")),
+    )
+    done = _processed(spark, sf_dir).select("url", F.explode(both).alias("l"))
+    return done.select("url", "l.list", F.posexplode("l.people").alias("pos", "p")).select(
         "url", "list", (F.col("pos") + 1).alias("pos"), "p.name", "p.role", "p.email", "p.phone"
     )
 
