@@ -218,8 +218,8 @@ def touch_updated_at(spark: SparkSession, sf_dir: str) -> DataFrame:
     return updated.select("id", F.date_format("updated_at", "yyyy-MM-dd HH:mm:ss").alias("updated_at"))
 
 
-_TABLE = f"SELECT page_id AS company_id, name, role FROM ({inputs.PEOPLE_ROWS}) WHERE seq % 2 = 0"
-_FOUND = f"SELECT page_id AS company_id, name, 'New ' || role AS role FROM ({inputs.PEOPLE_ROWS}) WHERE email IS NOT NULL AND page_id % 3 = 1"
+_TABLE = f"SELECT page_id AS company_id, name, role FROM ({inputs.PEOPLE_ROWS})"
+_FOUND = f"SELECT page_id AS company_id, name, 'New ' || role AS role FROM ({inputs.PEOPLE_ROWS}) WHERE role = 'Board Member'"
 
 
 @query(f"SELECT * FROM ({_TABLE}) WHERE company_id NOT IN (SELECT company_id FROM ({_FOUND})) UNION ALL SELECT * FROM ({_FOUND})")

@@ -109,14 +109,14 @@ def scan_registry(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _LOCAL_FILES = f"""
-SELECT c_custkey, lower(c_name) || '.json' AS source_file,
+SELECT c_custkey, CASE WHEN c_nationkey < 20 THEN lower(c_name) ELSE 'other ' || lower(c_name) END || '.json' AS source_file,
        CASE c_custkey % 5
             WHEN 0 THEN '{{"officers": [{{"name": "' || {inputs.person('c_custkey')} || '", "title": "CEO"}}, {{"name": "No Title"}}, "text", 5], "board_members": []}}'
             WHEN 1 THEN '{{"officers": "none", "board_members": [{{"name": "' || {inputs.person('c_custkey + 1')} || '", "title": "Chairman", "x": 1}}, {{"name": "B", "title": "Director"}}]}}'
             WHEN 2 THEN '{{"officers": [{{"title": "CEO"}}]}}'
             WHEN 3 THEN 'broken'
             ELSE '{{"officers": [{{"name": "A", "title": "CFO"}}]}}' END AS raw
-FROM customer WHERE c_nationkey < 20"""
+FROM customer"""
 
 
 @query(f"""
