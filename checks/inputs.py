@@ -213,7 +213,7 @@ FROM orders
 # documents whose sentences also name officers
 TITLED_TEXT = f"""
 SELECT p_partkey,
-       'https://www.corp' || {text('p_partkey % 1000')} || '.example.com/p/' || {text('p_partkey')} AS url,
+       'https://www.corp' || {text('p_partkey * 2')} || '.example.com/p/' || {text('p_partkey')} AS url,
        'Our\tteam:\n\nCEO ' || {person('p_partkey')} || ', Vice President  ' || {person('p_partkey + 2')}
          || ' of ' || p_name || '. Head ' || {person('p_partkey * 3')} || ' and Lead Supervisor '
          || {pick(FIRST, 'p_partkey + 1')} || '. manager nobody; Executive Chairman ' || {person('p_partkey + 7')} AS body_text

@@ -28,7 +28,7 @@ _ROLE_GROUPS = (
     tuple(p for p in vocab.ROLE_PHRASES if not any(p in g for g in _APART)),
     *(tuple(p for p in vocab.ROLE_PHRASES if p in g) for g in _APART),
 )
-_ANY_ROLE = f"(?iuU)(?:{vocab.phrase_pattern(vocab.ROLE_PHRASES)})"
+_ANY_ROLE = vocab.any_case(vocab.ROLE_PHRASES)
 
 _CAPITALISED = r"\p{Lu}[\p{L}'’-]*\p{Ll}(?![\p{L}])"
 _NAME_WORD = rf"(?!(?:{'|'.join(vocab.NOT_IN_NAMES)})(?![\p{{L}}])){_CAPITALISED}"
@@ -51,7 +51,7 @@ def role_hits(section: Column | str) -> Column:
     phrases = F.array(*(F.lit(p) for p in vocab.ROLE_PHRASES))
 
     def ranked(group: tuple[str, ...]) -> Column:
-        found = find_all(section, f"(?iuU)(?:{vocab.phrase_pattern(group)})")
+        found = find_all(section, vocab.any_case(group))
         return F.transform(
             found,
             lambda m: F.struct(
@@ -63,9 +63,7 @@ def role_hits(section: Column | str) -> Column:
             ),
         )
 
-    return F.when(
-        section.rlike(_ANY_ROLE), F.concat(*(ranked(g) for g in _ROLE_GROUPS))
-    ).otherwise(F.array().cast("array<struct<rank:bigint,start:int,text:string>>"))
+    return F.concat(*(ranked(g) for g in _ROLE_GROUPS))
 
 
 def nearest_role(hits: Column, start: Column) -> Column:
@@ -125,13 +123,16 @@ def section_people(section: Column, spans: Column) -> Column:
             lambda p: p["role"].isNotNull(),
         )
 
-    facts = F.struct(
-        spans.alias("spans"),
-        role_hits(section).alias("hits"),
-        extract_email(section).alias("email"),
-        extract_phone(section).alias("phone"),
-    )
-    return let(facts, with_facts)
+    def with_spans(found: Column) -> Column:
+        facts = F.struct(
+            found.alias("spans"),
+            role_hits(section).alias("hits"),
+            extract_email(section).alias("email"),
+            extract_phone(section).alias("phone"),
+        )
+        return F.when(F.size(found) > 0, let(facts, with_facts)).otherwise(F.array().cast(PEOPLE))
+
+    return let(spans, with_spans)
 
 
 def people_of_sections(sections: Column | str, spans: Column | str | None = None) -> Column:
@@ -296,7 +297,11 @@ def leading_title_hits(text: Column | str) -> Column:
     text = without_marks(_col(text))
 
     def of_title(title: str) -> Column:
-        found = find_all(text, rf"(?U){title}\s+{vocab.NAME_AFTER_TITLE}")
+        # Looking for the bare word first is far cheaper than the pattern.
+        found = F.when(
+            F.contains(text, F.lit(title)),
+            find_all(text, rf"(?U){title}\s+{vocab.NAME_AFTER_TITLE}"),
+        ).otherwise(F.array().cast("array<struct<start:int,text:string>>"))
 
         def row(m: Column) -> Column:
             begin = F.greatest(m["start"] - vocab.CONTEXT_CHARS, F.lit(0))

@@ -37,12 +37,12 @@ def find_all(text: Column, pattern: str) -> Column:
             .otherwise(acc["found"]).alias("found"),
         )
 
-    state = F.aggregate(
+    return F.aggregate(
         F.split(marked, _OPEN, -1),
         F.struct(F.lit(0).alias("at"), F.array().cast(_MATCHES).alias("found")),
         step,
+        lambda acc: acc["found"],
     )
-    return F.when(text.rlike(pattern), state["found"]).otherwise(F.array().cast(_MATCHES))
 
 
 def let(value: Column, body) -> Column:

@@ -8,12 +8,9 @@ from pyspark.sql import functions as F
 from stewardry import vocab
 from stewardry.functions.spans import let
 
-# Flags: i = any letter case, u and U = Unicode case, \s, \d, \b.
-SECTION_PATTERN = "(?iuU)(?:" + "|".join((
-    vocab.phrase_pattern(vocab.CONTACT_PHRASES),
-    vocab.phrase_pattern(vocab.MANAGEMENT_PHRASES),
-    vocab.phrase_pattern(vocab.ROLE_PHRASES),
-)) + ")"
+SECTION_PATTERN = vocab.any_case(
+    vocab.CONTACT_PHRASES + vocab.MANAGEMENT_PHRASES + vocab.ROLE_PHRASES
+)
 _SENTENCE_END = r"(?U)(?<=[.!?])\s+"
 
 

@@ -9,6 +9,7 @@ from stewardry import vocab
 from stewardry.functions.html import clean_html, decode_references
 from stewardry.functions.urls import resolve_link
 from stewardry.operators.once import compute_once
+from stewardry.operators.spread import spread_small
 
 _ANCHOR = r"""(?is)<a\b((?:[^>"']|"[^"]*"|'[^']*')*+)>(.*?)(?=</a\s*>|<a\b|\z)"""
 _HREF = r"""(?is)(?:^|\s)href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
@@ -47,4 +48,4 @@ def management_links(
     full = F.transform(chosen, lambda a: resolve_link(base_col, a["href"]))
     internal = F.array_distinct(F.filter(full, lambda u: F.startswith(u, prefix_col)))
     others = [c for c in pages.columns if c != html]
-    return compute_once(pages, _links=internal).select(*others, F.explode("_links").alias("link"))
+    return compute_once(spread_small(pages), _links=internal).select(*others, F.explode("_links").alias("link"))

@@ -14,6 +14,7 @@ from stewardry.functions.people import leading_title_hits
 from stewardry.functions.text import collapse_whitespace
 from stewardry.functions.urls import authority
 from stewardry.operators.once import compute_once
+from stewardry.operators.spread import spread_small
 from stewardry.schemas import SPANS
 
 
@@ -57,7 +58,7 @@ def dedup_people_by_role(people: DataFrame, page: str = "page_id", seq: str = "s
 def title_then_name(pages: DataFrame, text: str = "body_text") -> DataFrame:
     """One row per name that follows a title, with its context; page columns are kept."""
     others = [c for c in pages.columns if c != text]
-    collapsed = compute_once(pages, _text=collapse_whitespace(text))
+    collapsed = compute_once(spread_small(pages), _text=collapse_whitespace(text))
     hits = compute_once(collapsed, _hits=leading_title_hits("_text"))
     return hits.select(*others, F.explode("_hits").alias("_hit")).select(
         *others, F.col("_hit.name").alias("name"), F.col("_hit.title").alias("title"),

@@ -9,6 +9,7 @@ from stewardry.functions.html import clean_html
 from stewardry.functions.text import compact_lines
 from stewardry.functions.urls import authority
 from stewardry.operators.once import compute_once
+from stewardry.operators.spread import spread_small
 
 PART_CHARS = 64 * 1024 * 1024
 
@@ -16,7 +17,7 @@ PART_CHARS = 64 * 1024 * 1024
 def page_texts(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
     """`site, url, text`: every page as one line of text."""
     texts = compute_once(
-        pages.select(authority(url).alias("site"), F.col(url).alias("url"), F.col(html).alias("_html")),
+        spread_small(pages).select(authority(url).alias("site"), F.col(url).alias("url"), F.col(html).alias("_html")),
         text=compact_lines(clean_html("_html")),
     )
     return texts.select("site", "url", "text")

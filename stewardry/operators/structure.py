@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stewardry.functions.spans import let
 from stewardry.operators.once import compute_once
+from stewardry.operators.spread import spread_small
 
 _NODES = "array<struct<path:string,type:string,value:variant>>"
 # NaN as a bare token: after a colon, comma or opening bracket and before the next one.
@@ -59,6 +60,10 @@ def _children(node: Column) -> Column:
     )
 
 
+def _labels(nodes: Column) -> Column:
+    return F.transform(nodes, lambda n: F.struct(n["path"].alias("path"), n["type"].alias("type")))
+
+
 def json_nodes(json: Column | str, depth: int = 12) -> Column:
     """`array<struct<path, type>>` of a document down to `depth` levels.
 
@@ -73,21 +78,21 @@ def json_nodes(json: Column | str, depth: int = 12) -> Column:
     root = F.array(F.struct(F.lit("").alias("path"), _type_name(value).alias("type"), value.alias("value")))
     state = F.aggregate(
         F.sequence(F.lit(1), F.lit(depth)),
-        F.struct(root.cast(_NODES).alias("level"), F.array().cast(_NODES).alias("all")),
+        F.struct(root.cast(_NODES).alias("level"), F.array().cast("array<struct<path:string,type:string>>").alias("all")),
         lambda acc, _: let(
             F.flatten(F.transform(acc["level"], _children)),
-            lambda below: F.struct(below.alias("level"), F.concat(acc["all"], below).alias("all")),
-        ),
-        lambda acc: F.transform(
-            acc["all"], lambda n: F.struct(n["path"].alias("path"), n["type"].alias("type"))
+            lambda below: F.struct(
+                below.alias("level"), F.concat(acc["all"], _labels(below)).alias("all")
+            ),
         ),
+        lambda acc: acc["all"],
     )
     return F.when(value.isNotNull(), state)
 
 
 def json_structure(docs: DataFrame, json: str, depth: int = 12) -> DataFrame:
     """`path, type, n`: one scan, then one aggregate that combines before its shuffle."""
-    walked = compute_once(docs.select(json), _nodes=json_nodes(json, depth))
+    walked = compute_once(spread_small(docs.select(json)), _nodes=json_nodes(json, depth))
     nodes = walked.select(F.explode("_nodes").alias("_node"))
     return nodes.groupBy(
         F.col("_node.path").alias("path"), F.col("_node.type").alias("type")

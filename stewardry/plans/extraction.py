@@ -9,6 +9,7 @@ from stewardry.functions import people as P
 from stewardry.functions.text import relevant_sections
 from stewardry.functions.urls import is_excluded
 from stewardry.operators.once import compute_once
+from stewardry.operators.spread import spread_small
 from stewardry.schemas import PEOPLE
 from stewardry.sources.pages import page_text
 
@@ -23,7 +24,8 @@ def _mined(pages: DataFrame, text: Column) -> DataFrame:
     sections = F.when(F.col("_text") != "", relevant_sections("_text")).otherwise(
         F.array().cast("array<string>")
     )
-    return compute_once(compute_once(pages, _text=text), relevant=sections).drop("_text")
+    spread = spread_small(pages)
+    return compute_once(compute_once(spread, _text=text), relevant=sections).drop("_text")
 
 
 def process_pages(

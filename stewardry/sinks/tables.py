@@ -42,13 +42,16 @@ def write_management_rows(rows: DataFrame, path: str, form: str = "csv") -> None
         raise ValueError(f"form must be 'csv' or 'json', not {form!r}")
 
 
-def write_company_json(companies: DataFrame, path: str) -> None:
-    """One JSON file per company below `company_key=<file key>`.
+def write_company_json(companies: DataFrame, path: str, one_file_each: bool = False) -> None:
+    """Companies as JSON, one line each, with their `company_key`.
 
-    Each company is one row, so each key is written by exactly one task.
+    `one_file_each` puts every company into a file of its own below
+    `company_key=<file key>`; that suits some thousands of companies, not millions. A
+    company is one row, so each of these files is written by exactly one task.
     """
     keyed = companies.withColumn("company_key", company_file_key("company_name"))
-    keyed.write.mode("overwrite").partitionBy("company_key").json(path)
+    writer = keyed.write.mode("overwrite")
+    (writer.partitionBy("company_key") if one_file_each else writer).json(path)
 
 
 def write_registry(registry: DataFrame, path: str) -> None:

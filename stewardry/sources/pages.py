@@ -9,6 +9,7 @@ from stewardry.functions.html import clean_html
 from stewardry.functions.text import coalesce_company, coalesce_text, first_filled, sections_text
 from stewardry.functions.urls import page_url
 from stewardry.operators.once import compute_once
+from stewardry.operators.spread import spread_small
 
 # How a bare NaN token comes out of the JSON reader when a string is asked for.
 _BARE_NAN = '"NaN"'
@@ -50,7 +51,7 @@ def decode_pages(files: DataFrame) -> DataFrame:
     markdown are both empty.
     """
     fields = F.col("_fields")
-    parsed = compute_once(files, _fields=F.from_json("raw", "map<string,string>"))
+    parsed = compute_once(spread_small(files), _fields=F.from_json("raw", "map<string,string>"))
     cleaned = (
         compute_once(
             parsed,

@@ -169,3 +169,16 @@ def words_pattern(words: tuple[str, ...]) -> str:
 def phrase_pattern(phrases: tuple[str, ...]) -> str:
     """One alternation of phrases whose words may be any white space apart."""
     return "|".join(p.replace(" ", r"\s+") for p in phrases)
+
+
+def any_case(phrases: tuple[str, ...]) -> str:
+    """`phrase_pattern` in any letter case, behind a quick look at the first letter.
+
+    Nearly every position of a text fails that one look instead of a case-blind test per
+    phrase. Flags: i = any letter case, u and U = Unicode case, \\s, \\d, \\b.
+    """
+    letters = {p[0] for p in phrases}
+    # What else a case-blind search takes for one of these letters.
+    also = ("\u017f" if "s" in letters else "") + ("\u0130\u0131" if "i" in letters else "")
+    first = "".join(sorted(letters | {c.upper() for c in letters})) + also
+    return f"(?=[{first}])(?iuU:{phrase_pattern(phrases)})"
