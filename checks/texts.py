@@ -13,17 +13,24 @@ from stewardry.functions import text as X
 from stewardry.functions.html import clean_html as clean
 from stewardry.operators import people as rows
 from stewardry.operators import sites
+from stewardry.operators.once import compute_once
+from stewardry.operators.spread import spread_small
 from stewardry.plans import extraction
 from stewardry.sources.pages import documented_page, page_text
 
 
+def _documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread_small(inputs.table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def _company_pages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.spark_input(spark, sf_dir, inputs.COMPANY_PAGES)
 
 
 @query(f"SELECT page_id, {sql.clean('html')} AS text FROM pages")
 def clean_html(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs.table(spark, sf_dir, "pages").select("page_id", clean("html").alias("text"))
+    pages = spread_small(inputs.table(spark, sf_dir, "pages").select("page_id", "html"))
+    return pages.select("page_id", clean("html").alias("text"))
 
 
 @query(f"WITH {sql.texts_cte(inputs.COMPANY_PAGES)} SELECT page_id, txt AS text FROM texts", name="page_text")
@@ -68,15 +75,14 @@ def management_keyword_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"WITH texts AS (SELECT doc_id AS page_id, text AS txt FROM documents), {sql.sections_cte()} SELECT page_id AS doc_id, i, s FROM (SELECT page_id, s, row_number() OVER (PARTITION BY page_id ORDER BY i) AS i FROM relevant)")
 def relevant_sections(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = inputs.table(spark, sf_dir, "documents").filter(F.col("text") != "")
-    return found.select("doc_id", F.posexplode(X.relevant_sections("text")).alias("i", "s")).withColumn(
-        "i", F.col("i") + 1
-    )
+    found = _documents(spark, sf_dir).filter(F.col("text") != "")
+    cut = compute_once(found.select("doc_id", "text"), sections=X.relevant_sections("text"))
+    return cut.select("doc_id", F.posexplode("sections").alias("i", "s")).withColumn("i", F.col("i") + 1)
 
 
 @query(f"SELECT doc_id, regexp_replace(regexp_replace(text, '{sql.WS}+', ' ', 'g'), '^ | $', '', 'g') AS text FROM documents")
 def collapse_whitespace(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs.table(spark, sf_dir, "documents").select("doc_id", X.collapse_whitespace("text").alias("text"))
+    return _documents(spark, sf_dir).select("doc_id", X.collapse_whitespace("text").alias("text"))
 
 
 # --- people -----------------------------------------------------------------
@@ -86,23 +92,22 @@ _SECTIONS = f"WITH {sql.texts_cte(inputs.COMPANY_PAGES)},{sql.sections_cte()},{s
 
 def _sections(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = page_text("body_text", "sections")
-    return (
-        _company_pages(spark, sf_dir).withColumn("txt", text).filter(F.col("txt") != "")
-        .select("page_id", F.explode(X.relevant_sections("txt")).alias("s"))
-    )
+    texts = compute_once(spread_small(_company_pages(spark, sf_dir)), txt=text).filter(F.col("txt") != "")
+    cut = compute_once(texts.select("page_id", "txt"), sections=X.relevant_sections("txt"))
+    return cut.select("page_id", F.explode("sections").alias("s"))
 
 
 @query(f"{_SECTIONS} SELECT page_id, s, name, pos0 AS start FROM spans")
 def person_spans(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = _sections(spark, sf_dir).select("page_id", "s", F.explode(P.person_spans("s")).alias("m"))
+    named = compute_once(_sections(spark, sf_dir), spans=P.person_spans("s"))
+    found = named.select("page_id", "s", F.explode("spans").alias("m"))
     return found.select("page_id", "s", F.col("m.text").alias("name"), F.col("m.start").alias("start"))
 
 
 @query(f"{_SECTIONS} SELECT page_id, s, pos0 AS start, name, raw_role AS role FROM nearest")
 def nearest_role(spark: SparkSession, sf_dir: str) -> DataFrame:
-    hit = _sections(spark, sf_dir).withColumn("hits", P.role_hits("s")).select(
-        "page_id", "s", "hits", F.explode(P.person_spans("s")).alias("m")
-    )
+    found = compute_once(_sections(spark, sf_dir), hits=P.role_hits("s"), spans=P.person_spans("s"))
+    hit = found.select("page_id", "s", "hits", F.explode("spans").alias("m"))
     role = P.nearest_role(F.col("hits"), F.col("m.start"))
     return hit.select(
         "page_id", "s", F.col("m.start").alias("start"), F.col("m.text").alias("name"), role.alias("role")
@@ -111,7 +116,7 @@ def nearest_role(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query(f"SELECT doc_id, nullif(regexp_extract(text, '{sql.EMAIL}'), '') AS email, nullif(regexp_extract(text, '{sql.PHONE}'), '') AS phone FROM documents")
 def extract_contacts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return inputs.table(spark, sf_dir, "documents").select(
+    return _documents(spark, sf_dir).select(
         "doc_id", P.extract_email("text").alias("email"), P.extract_phone("text").alias("phone")
     )
 
@@ -152,8 +157,10 @@ SELECT page_id, pos, p.name AS name, p.role AS role, p.email AS email FROM merge
 def merge_similar_people(spark: SparkSession, sf_dir: str) -> DataFrame:
     from stewardry.schemas import PEOPLE
 
-    lists = inputs.spark_input(spark, sf_dir, _PEOPLE_LISTS).select("page_id", F.from_json("raw", PEOPLE).alias("l"))
-    merged = lists.select("page_id", F.posexplode(P.merge_similar_people("l")).alias("pos", "p"))
+    raw = spread_small(inputs.spark_input(spark, sf_dir, _PEOPLE_LISTS))
+    lists = compute_once(raw, l=F.from_json("raw", PEOPLE))
+    folded = compute_once(lists.select("page_id", "l"), merged=P.merge_similar_people("l"))
+    merged = folded.select("page_id", F.posexplode("merged").alias("pos", "p"))
     return merged.select("page_id", (F.col("pos") + 1).alias("pos"), "p.name", "p.role", "p.email")
 
 

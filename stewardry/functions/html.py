@@ -8,6 +8,8 @@ import json
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Elements whose content is not markup.
+_RAW_BLOCKS = r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>"
 # Elements whose content is never part of a document's text.
 _HIDDEN_BLOCKS = r"(?is)<(script|style|template|rt|rp)\b[^>]*>.*?</\1\s*>"
 _COMMENTS = r"(?s)<!--.*?-->"
@@ -75,6 +77,12 @@ def decode_references(text: Column | str) -> Column:
     return F.when(F.contains(text, F.lit("&")), joined).otherwise(text)
 
 
+def markup_only(html_text: Column | str) -> Column:
+    """The document without comments, scripts and style sheets, tags kept."""
+    html_text = F.col(html_text) if isinstance(html_text, str) else html_text
+    return F.regexp_replace(F.regexp_replace(html_text, _COMMENTS, ""), _RAW_BLOCKS, "")
+
+
 def strip_tags(html_text: Column | str) -> Column:
     """Tags, comments, declarations and hidden blocks removed, nothing put in their place."""
     html_text = F.col(html_text) if isinstance(html_text, str) else html_text

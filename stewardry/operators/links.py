@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stewardry import vocab
-from stewardry.functions.html import clean_html, decode_references
+from stewardry.functions.html import clean_html, decode_references, markup_only
 from stewardry.functions.urls import resolve_link
 from stewardry.operators.once import compute_once
 from stewardry.operators.spread import spread_small
@@ -17,6 +17,7 @@ _HREF = r"""(?is)(?:^|\s)href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 
 def _hrefs(html: Column) -> Column:
     """`array<struct<href, text>>` of the anchors that have an address."""
+    html = markup_only(html)
     attributes = F.regexp_extract_all(html, F.lit(_ANCHOR), F.lit(1))
     inner = F.regexp_extract_all(html, F.lit(_ANCHOR), F.lit(2))
 

@@ -180,7 +180,7 @@ def render_company_report(summary: DataFrame, unique: DataFrame) -> DataFrame:
 def write_page_summaries(processed: DataFrame, path: str) -> None:
     """One text file per page below `source_file=<name>`."""
     rows = render_page_summary(processed).withColumnRenamed("summary", "value")
-    rows.write.mode("overwrite").partitionBy("source_file").text(path, lineSep="")
+    rows.write.mode("overwrite").partitionBy("source_file").text(path)
 
 
 def write_company_reports(report: DataFrame, path: str) -> None:

@@ -7,7 +7,10 @@ from pyspark.sql import functions as F
 
 
 def scan_objects(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
-    """`object_name, length, modificationTime` of all files below a folder."""
+    """`object_name, length, modificationTime` of all files below a folder.
+
+    Spark's file sources pass over files of zero bytes, so these are not listed.
+    """
     files = (
         spark.read.format("binaryFile")
         .option("recursiveFileLookup", True)
