@@ -12,6 +12,8 @@ from stewardry.operators import reports
 from stewardry.operators.structure import json_structure as structure
 from stewardry.plans.coverage import coverage, top_covered
 from stewardry.plans.extraction import process_pages
+from stewardry.plans.reporting import company_people_table as people_table
+from stewardry.plans.reporting import company_reports
 from stewardry.session import scratch_path
 from stewardry.sinks import summaries, tables
 from stewardry.streaming.ingest import ingest_new_pages
@@ -100,6 +102,13 @@ def unique_people(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.unique_people(reports.found_people(_processed(spark, sf_dir))).drop("first_seen")
 
 
+@query(f"""WITH {_CTES}
+SELECT o.id AS company_id, f.name, f.role, f.email, f.phone, f.url AS source_url, t.title AS source_title
+FROM final f JOIN texts t ON t.page_id = f.page_id JOIN ({_OWNERS}) o ON {sql.domain('o.website')} = {sql.domain('f.url')}""")
+def company_people_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return people_table(_processed(spark, sf_dir), _registry(spark, sf_dir))
+
+
 # --- documents and tables ---------------------------------------------------
 
 _DOCS = f"""
@@ -221,11 +230,7 @@ lines AS (
 
 @query(f"WITH {_CTES},{_SUMMARY},{_UNIQUE},{_REPORT} SELECT company_name, block, url, text FROM lines")
 def render_company_report(spark: SparkSession, sf_dir: str) -> DataFrame:
-    processed = _processed(spark, sf_dir)
-    report = summaries.render_company_report(
-        reports.company_people_summary(processed, _registry(spark, sf_dir)),
-        reports.unique_people(reports.found_people(processed)),
-    )
+    report = company_reports(_input(spark, sf_dir, inputs.COMPANY_PAGES), _registry(spark, sf_dir))
     return report.select("company_name", "block", F.col("place.url").alias("url"), "text")
 
 

@@ -46,7 +46,7 @@ WITH lined AS (SELECT {sql.netloc('url')} AS site, url, list_transform({_LINES},
 texts AS (SELECT site, url, array_to_string(list_filter(list_transform(flatten(ls), lambda p: {sql.stripped('p')}), lambda p: p <> ''), ' ') AS text FROM lined)
 SELECT site, 0 AS part, count(*) AS n_pages, string_agg(text, chr(10) || chr(10) ORDER BY url, text) AS text FROM texts GROUP BY site""")
 def site_text(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return sites.site_text(sites.page_texts(inputs.table(spark, sf_dir, "pages")))
+    return sites.site_text(inputs.table(spark, sf_dir, "pages"))
 
 
 _DOCUMENTED = f"""

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stewardry import vocab
 from stewardry.functions.urls import decode_name, netloc_domain
+from stewardry.operators.matching import domain_key
 
 
 def files_per_domain(objects: DataFrame) -> DataFrame:
@@ -88,7 +89,9 @@ def company_people_summary(processed: DataFrame, companies: DataFrame) -> DataFr
     many pages a site has.
     """
     owned = companies.select("id", "company_name", netloc_domain("website").alias("domain"))
-    return owned.join(people_per_domain(processed), "domain", "left").select(
+    found = people_per_domain(processed).withColumnRenamed("domain", "_key")
+    keyed = owned.withColumn("_key", domain_key("domain", "company_name"))
+    return keyed.join(found, "_key", "left").select(
         "id", "company_name", "domain",
         F.coalesce("processed_files", F.lit(0)).alias("processed_files"),
         F.coalesce("total_people", F.lit(0)).alias("total_people"),

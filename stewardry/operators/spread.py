@@ -1,10 +1,13 @@
-"""Small inputs over all cores."""
+"""How data is laid out: small inputs over all cores, small join sides to all tasks."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 _SMALL_SHARE = 32 * 1024 * 1024
+# Rows of names and numbers (at most some hundred bytes each) that are broadcast.
+BROADCAST_ROWS = 200_000
 
 
 def spread_small(df: DataFrame) -> DataFrame:
@@ -19,3 +22,8 @@ def spread_small(df: DataFrame) -> DataFrame:
     cores = df.sparkSession.sparkContext.defaultParallelism
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return df.repartition(cores) if size <= cores * _SMALL_SHARE else df
+
+
+def broadcast_if_few(df: DataFrame, n_rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
+    """`df`, to be broadcast if its counted rows are few enough, else left to the planner."""
+    return F.broadcast(df) if n_rows <= limit else df

@@ -45,10 +45,13 @@ def process_pages(
     people = F.filter("_merged", lambda p: P.is_valid_name(p["name"], valid_mode))
     done = compute_once(merged, _people=F.coalesce(people, F.array().cast(PEOPLE)))
     url = F.col("url")
-    return done.select(
-        "url", "title", "source_file", "relevant",
-        F.filter("_people", lambda p: P.goes_to_executives(p["role"], url)).alias("executives"),
-        F.filter("_people", lambda p: P.goes_to_board(p["role"], url)).alias("board_members"),
+    listed = compute_once(
+        done,
+        executives=F.filter("_people", lambda p: P.goes_to_executives(p["role"], url)),
+        board_members=F.filter("_people", lambda p: P.goes_to_board(p["role"], url)),
+    )
+    return listed.select(
+        "url", "title", "source_file", "relevant", "executives", "board_members"
     )
 
 

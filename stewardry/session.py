@@ -5,14 +5,21 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+
+
+_CLUSTER = {
+    "spark.sql.adaptive.coalescePartitions.initialPartitionNum": "16000",
+    "spark.sql.files.maxPartitionBytes": str(64 * 1024 * 1024),
+}
 
 
 def build_session(app: str = "stewardry", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings this library is tuned for; `conf` wins over them.
 
-    The partition settings are left to the cluster: adaptive execution picks the number
-    of reduce partitions and splits skewed join partitions.
+    Adaptive execution splits skewed join partitions and merges small reduce partitions;
+    on a cluster it starts from many, so that even a shuffle of tens of terabytes has
+    partitions that fit into memory. Scans are cut small, as text work takes long per byte.
     """
     settings = {
         "spark.sql.adaptive.enabled": "true",
@@ -28,7 +35,12 @@ def build_session(app: str = "stewardry", master: str | None = None, **conf: str
         builder = builder.master(master)
     for key, value in settings.items():
         builder = builder.config(key, value)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if not spark.sparkContext.master.startswith("local"):
+        for key, value in _CLUSTER.items():
+            if key not in settings:
+                spark.conf.set(key, value)
+    return spark
 
 
 def shared_folder(spark: SparkSession) -> str:
@@ -49,3 +61,14 @@ def shared_folder(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path in the shared folder."""
     return f"{shared_folder(spark)}/{label}-{uuid.uuid4().hex}"
+
+
+def written(df: DataFrame, label: str) -> DataFrame:
+    """`df` written to the shared folder and read back.
+
+    For results that several later steps need: they are computed once, and a lost
+    executor costs no more than reading them again.
+    """
+    path = scratch_path(df.sparkSession, label)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

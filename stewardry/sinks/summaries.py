@@ -177,10 +177,14 @@ def render_company_report(summary: DataFrame, unique: DataFrame) -> DataFrame:
     return framing.unionByName(entries)
 
 
-def write_page_summaries(processed: DataFrame, path: str) -> None:
-    """One text file per page below `source_file=<name>`."""
-    rows = render_page_summary(processed).withColumnRenamed("summary", "value")
-    rows.write.mode("overwrite").partitionBy("source_file").text(path)
+def write_page_summaries(processed: DataFrame, path: str, one_file_each: bool = False) -> None:
+    """The reports as JSON lines `source_file, summary`.
+
+    `one_file_each` writes one text file per page below `source_file=<name>`; that suits
+    some thousands of pages.
+    """
+    writer = render_page_summary(processed).write.mode("overwrite")
+    (writer.partitionBy("source_file").text if one_file_each else writer.json)(path)
 
 
 def write_company_reports(report: DataFrame, path: str) -> None:

@@ -81,7 +81,10 @@ def test_company_report(spark, tmp_path):
 
 
 def test_page_summaries_are_one_file_each(spark, tmp_path):
-    summaries.write_page_summaries(process_pages(_pages(spark)), str(tmp_path / "s"))
+    processed = process_pages(_pages(spark))
+    summaries.write_page_summaries(processed, str(tmp_path / "lines"))
+    assert spark.read.json(str(tmp_path / "lines")).count() == 3
+    summaries.write_page_summaries(processed, str(tmp_path / "s"), one_file_each=True)
     assert len(glob.glob(str(tmp_path / "s/source_file=*/*.txt"))) == 3
 
 

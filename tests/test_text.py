@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stewardry.functions import spans, text
 from stewardry.functions.html import clean_html, decode_references
-from stewardry.operators.sites import page_texts, site_text
+from stewardry.operators.sites import site_text
 from stewardry.sources.pages import page_text
 
 
@@ -67,12 +67,12 @@ def test_offsets(value):
 def test_a_large_site_is_cut_into_parts_without_loss(spark):
     rows = [(f"https://big.com/{i:03d}", f"<p>page {i}</p>") for i in range(200)]
     rows += [("https://small.com/a", "one"), ("https://small.com/b", "two")]
-    texts = page_texts(spark.createDataFrame(rows, "url string, html string"))
-    whole = {r["site"]: r for r in site_text(texts).collect()}
+    pages = spark.createDataFrame(rows, "url string, html string")
+    whole = {r["site"]: r for r in site_text(pages).collect()}
     assert whole["small.com"]["text"] == "one\n\ntwo"
     assert whole["big.com"]["text"].split("\n\n") == [f"page {i}" for i in range(200)]
 
-    cut = [r for r in site_text(texts, part_chars=300).collect() if r["site"] == "big.com"]
+    cut = [r for r in site_text(pages, part_chars=600).collect() if r["site"] == "big.com"]
     assert len(cut) > 3 and max(len(r["text"]) for r in cut) < 900
     pieces = [p for r in cut for p in r["text"].split("\n\n")]
     assert sorted(pieces) == sorted(f"page {i}" for i in range(200))
