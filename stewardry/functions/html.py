@@ -9,11 +9,12 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # Elements whose content is not markup.
-_RAW_BLOCKS = r"(?is)<(script|style)\b[^>]*>.*?</\1\s*>"
+_RAW_BLOCKS = r"(?is)<(script|style)(?=[\s/>])[^>]*>.*?</\1\s*>"
 # Elements whose content is never part of a document's text.
-_HIDDEN_BLOCKS = r"(?is)<(script|style|template|rt|rp)\b[^>]*>.*?</\1\s*>"
+_HIDDEN_BLOCKS = r"(?is)<(script|style|template|rt|rp)(?=[\s/>])[^>]*>.*?</\1\s*>"
 _COMMENTS = r"(?s)<!--.*?-->"
 # Tags (quoted attribute values may hold '>'), declarations, processing instructions.
+# The possessive loop keeps the matcher from recursing on a '<' that is never closed.
 _TAGS = r"""(?s)</?[A-Za-z](?:[^>"']|"[^"]*"|'[^']*')*+>|<[!?][^>]*>"""
 _REFERENCE = r"&(?:#[0-9]{1,7}|#[xX][0-9A-Fa-f]{1,6}|[A-Za-z][A-Za-z0-9]{1,31});"
 

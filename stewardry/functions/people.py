@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from stewardry import vocab
 from stewardry.functions import urls
-from stewardry.functions.spans import find_all, let, without_marks
+from stewardry.functions.spans import find_all, let, mark, marked_matches, without_marks
 from stewardry.schemas import PEOPLE, SPANS
 
 _EMAIL = "(?U)" + vocab.EMAIL_PATTERN
@@ -32,8 +32,9 @@ _ANY_ROLE = vocab.any_case(vocab.ROLE_PHRASES)
 
 _CAPITALISED = r"\p{Lu}[\p{L}'’-]*\p{Ll}(?![\p{L}])"
 _NAME_WORD = rf"(?!(?:{'|'.join(vocab.NOT_IN_NAMES)})(?![\p{{L}}])){_CAPITALISED}"
-# Two or more capitalised words in a row, none of them a role or company word.
-NAME_PATTERN = rf"(?<![\p{{L}}'’-]){_NAME_WORD}(?:[ \t]+{_NAME_WORD})+"
+# Two or more capitalised words in a row, none of them a role or company word. The
+# possessive loop keeps the matcher from recursing on very long runs.
+NAME_PATTERN = rf"(?<![\p{{L}}'’-]){_NAME_WORD}(?:[ \t]+{_NAME_WORD})++"
 
 
 def _col(value: Column | str) -> Column:
@@ -50,20 +51,16 @@ def role_hits(section: Column | str) -> Column:
     section = without_marks(_col(section))
     phrases = F.array(*(F.lit(p) for p in vocab.ROLE_PHRASES))
 
-    def ranked(group: tuple[str, ...]) -> Column:
-        found = find_all(section, vocab.any_case(group))
-        return F.transform(
-            found,
-            lambda m: F.struct(
-                F.array_position(
-                    phrases, F.regexp_replace(F.lower(m["text"]), r"(?U)\s+", " ")
-                ).alias("rank"),
-                m["start"].alias("start"),
-                m["text"].alias("text"),
-            ),
+    def ranked(m: Column) -> Column:
+        phrase = F.regexp_replace(F.lower(m["text"]), r"(?U)\s+", " ")
+        return F.struct(
+            F.array_position(phrases, phrase).alias("rank"),
+            m["start"].alias("start"),
+            m["text"].alias("text"),
         )
 
-    return F.concat(*(ranked(g) for g in _ROLE_GROUPS))
+    marked = F.array(*(mark(section, vocab.any_case(g)) for g in _ROLE_GROUPS))
+    return F.flatten(F.transform(marked, lambda t: F.transform(marked_matches(t), ranked)))
 
 
 def nearest_role(hits: Column, start: Column) -> Column:
@@ -294,31 +291,36 @@ def leading_title_hits(text: Column | str) -> Column:
     """Names that follow a title: `array<struct<title, name, context, start>>`.
 
     Each title is searched for separately, so `Vice President Ann Lee` is found under
-    two titles. The text should be free of white-space runs. Context is 50 characters
-    either side of the match.
+    two titles. The text must be free of white-space runs (`collapse_whitespace`).
+    Context is 50 characters either side of the match.
     """
     text = without_marks(_col(text))
 
-    def of_title(title: str) -> Column:
+    def searched(title: str) -> Column:
         # Looking for the bare word first is far cheaper than the pattern.
-        found = F.when(
-            F.contains(text, F.lit(title)),
-            find_all(text, rf"(?U){title}\s+{vocab.NAME_AFTER_TITLE}"),
-        ).otherwise(F.array().cast("array<struct<start:int,text:string>>"))
+        marked = mark(text, rf"(?U){title}\s+{vocab.NAME_AFTER_TITLE}")
+        return F.struct(
+            F.lit(title).alias("title"),
+            F.when(F.contains(text, F.lit(title)), marked).alias("marked"),
+        )
 
+    def of_title(search: Column) -> Column:
         def row(m: Column) -> Column:
             begin = F.greatest(m["start"] - vocab.CONTEXT_CHARS, F.lit(0))
             end = m["start"] + F.length(m["text"]) + vocab.CONTEXT_CHARS
+            name_at = F.length(search["title"]) + 2
             return F.struct(
-                F.lit(title).alias("title"),
-                F.regexp_replace(m["text"], rf"(?U)^{title}\s+", "").alias("name"),
+                search["title"].alias("title"),
+                F.substr(m["text"], name_at).alias("name"),
                 F.substr(text, begin + 1, end - begin).alias("context"),
                 m["start"].alias("start"),
             )
 
-        return F.transform(found, row)
+        return F.transform(marked_matches(search["marked"]), row)
 
-    return F.concat(*(of_title(t) for t in vocab.LEADING_TITLES))
+    searches = F.array(*(searched(t) for t in vocab.LEADING_TITLES))
+    present = F.filter(searches, lambda s: s["marked"].isNotNull())
+    return F.flatten(F.transform(present, of_title))
 
 
 def dedup_by_role(people: Column | str) -> Column:

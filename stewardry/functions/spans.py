@@ -18,13 +18,19 @@ def without_marks(text: Column) -> Column:
     return F.translate(text, _OPEN + _CLOSE, "  ")
 
 
-def find_all(text: Column, pattern: str) -> Column:
-    """All matches, left to right, as `array<struct<start, text>>`; offsets from 0.
+def mark(text: Column, pattern: str) -> Column:
+    """The text with every match of the pattern between the two control characters.
 
-    `text` must be free of the control characters (see `without_marks`).
+    `text` must be free of them (see `without_marks`).
     """
-    marked = F.regexp_replace(text, f"({pattern})", f"{_OPEN}$1{_CLOSE}")
+    return F.regexp_replace(text, f"({pattern})", f"{_OPEN}$1{_CLOSE}")
+
 
+def marked_matches(marked: Column) -> Column:
+    """The matches in a marked text, left to right: `array<struct<start, text>>`.
+
+    Offsets count from 0 in the text without its marks.
+    """
     def step(acc: Column, piece: Column) -> Column:
         # Every piece but the first begins with a match and its closing mark.
         begins = F.contains(piece, F.lit(_CLOSE))
@@ -45,6 +51,11 @@ def find_all(text: Column, pattern: str) -> Column:
     )
 
 
+def find_all(text: Column, pattern: str) -> Column:
+    """All matches of a pattern with their offsets (see `mark`, `marked_matches`)."""
+    return marked_matches(mark(text, pattern))
+
+
 def let(value: Column, body) -> Column:
     """`body(value)` with `value` computed once, for use inside array functions."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

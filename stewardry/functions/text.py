@@ -50,7 +50,7 @@ def sections_text(sections: Column | str) -> Column:
 
 def collapse_whitespace(text: Column | str) -> Column:
     """Runs of white space as one space, none at the ends."""
-    return F.trim(F.regexp_replace(_col(text), r"(?U)\s+", " "))
+    return F.trim(F.regexp_replace(_col(text), r"(?U)[\s\x1c-\x1f]+", " "))
 
 
 def has_page_keyword(text: Column | str) -> Column:
@@ -82,11 +82,12 @@ def compact_lines(text: Column | str) -> Column:
     pieces = F.flatten(
         F.transform(
             F.split(_col(text), r"\r\n|[\n\r\x0b\x0c\x1c-\x1e\x85\u2028\u2029]", -1),
-            lambda line: F.split(_strip(line), "  ", -1),
+            lambda line: F.split(strip(line), "  ", -1),
         )
     )
-    return F.array_join(F.filter(F.transform(pieces, _strip), lambda p: p != ""), " ")
+    return F.array_join(F.filter(F.transform(pieces, strip), lambda p: p != ""), " ")
 
 
-def _strip(text: Column) -> Column:
-    return F.regexp_replace(text, r"(?U)^\s+|\s+$", "")
+def strip(text: Column | str) -> Column:
+    """The text without white space at its ends."""
+    return F.btrim(_col(text), F.lit(vocab.WHITESPACE))

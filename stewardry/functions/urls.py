@@ -6,6 +6,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from stewardry import vocab
+from stewardry.functions.text import strip
 
 _SCHEME = r"^https?://"
 # What follows an optional scheme and '//' up to the path, query or fragment.
@@ -22,7 +23,7 @@ def _contains_any(value: Column | str, words: tuple[str, ...]) -> Column:
 
 def normalize_website(url: Column | str) -> Column:
     """Trimmed URL with `https://` in front unless it has a scheme; empty -> NULL."""
-    site = F.nullif(F.regexp_replace(_col(url), r"(?U)^\s+|\s+$", ""), F.lit(""))
+    site = F.nullif(strip(url), F.lit(""))
     return F.when(site.rlike(_SCHEME), site).otherwise(F.concat(F.lit("https://"), site))
 
 

@@ -11,7 +11,7 @@ from stewardry.functions.urls import resolve_link
 from stewardry.operators.once import compute_once
 from stewardry.operators.spread import spread_small
 
-_ANCHOR = r"""(?is)<a\b((?:[^>"']|"[^"]*"|'[^']*')*+)>(.*?)(?=</a\s*>|<a\b|\z)"""
+_ANCHOR = r"""(?is)<a(?=[\s/>])((?:[^>"']|"[^"]*"|'[^']*')*+)>(.*?)(?=</a\s*>|<a[\s>]|\z)"""
 _HREF = r"""(?is)(?:^|\s)href\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))"""
 
 

@@ -28,6 +28,8 @@ def build_session(app: str = "stewardry", master: str | None = None, **conf: str
         "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
         "spark.sql.session.timeZone": "UTC",
         "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # Call sites kept for error messages double the time long expressions take to build.
+        "spark.python.sql.dataFrameDebugging.enabled": "false",
         **{key.replace("__", "."): value for key, value in conf.items()},
     }
     builder = SparkSession.builder.appName(app)

@@ -131,6 +131,12 @@ NOT_IN_NAMES = (
     "Company", "Corp", "Corporation", "Inc", "Ltd", "Limited", "Mr", "Mrs", "Ms", "Dr",
 )
 
+# White space as a Unicode-aware reader has it.
+WHITESPACE = (
+    " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
+    "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
+)
+
 PLACEHOLDER_SITE = "http://placeholder/"
 PROMPT_TEXT_CHARS = 5000
 PROMPT_TEMPLATE = (

@@ -202,3 +202,11 @@ def test_folds_of_rows_do_not_depend_on_order_or_skew(spark):
     folded = {(r["page_id"], r["name"]): r for r in rows.dedup_people_rows(df).collect()}
     assert folded[(1, "N0")]["role"] == "President" and folded[(1, "N0")]["seq"] == 0
     assert folded[(1, "N1")]["email"] == "m2996"
+
+
+def test_very_long_runs_of_names(value):
+    run = "Ann Lee " * 30_000
+    found = value(P.person_spans("s"), s="CEO " + run)
+    assert [(m["start"], len(m["text"])) for m in found] == [(4, len(run) - 1)]
+    many = value(P.person_spans("s"), s="Ann Lee, " * 3_000)
+    assert len(many) == 3_000 and many[-1]["start"] == 9 * 2_999

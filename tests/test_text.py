@@ -77,3 +77,11 @@ def test_a_large_site_is_cut_into_parts_without_loss(spark):
     pieces = [p for r in cut for p in r["text"].split("\n\n")]
     assert sorted(pieces) == sorted(f"page {i}" for i in range(200))
     assert sum(r["n_pages"] for r in cut) == 200
+
+
+def test_hostile_texts_do_not_break_the_matcher(value):
+    unclosed = "x <b " + "word \"quoted\" 'single' " * 50_000
+    assert value(clean_html("t"), t=unclosed) == unclosed
+    assert value(clean_html("t"), t="<!-- " + "open " * 50_000).startswith("<!-- open")
+    assert value(text.strip("t"), t=" " * 200_000 + "a" + " " * 200_000 + "b\u2003\n") == "a" + " " * 200_000 + "b"
+    assert len(value(text.compact_lines("t"), t="a" + " " * 200_001 + "b")) == 3
