@@ -86,13 +86,7 @@ def scan_companies_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = rows.select(F.to_csv(F.struct("URL", "Name", "Exchange", "Ticker"), {"emptyValue": '""', "nullValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}).alias("line"))
     schema = "URL string, Name string, Exchange string, Ticker string"
     parsed = lines.select(F.from_csv("line", schema, {"emptyValue": "", "nullValue": "\x00"}).alias("r")).select("r.*")
-    return companies.rename_company_columns(parsed).select(
-        *(_as_scanned(c) for c in ("website", "company_name", "ticker", "exchange"))
-    )
-
-
-def _as_scanned(column: str):
-    return F.col(column)
+    return companies.rename_company_columns(parsed).select("website", "company_name", "ticker", "exchange")
 
 
 @query(f"""

@@ -27,3 +27,20 @@ def spread_small(df: DataFrame) -> DataFrame:
 def broadcast_if_few(df: DataFrame, n_rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
     """`df`, to be broadcast if its counted rows are few enough, else left to the planner."""
     return F.broadcast(df) if n_rows <= limit else df
+
+
+def join_hot(
+    facts: DataFrame, owners: DataFrame, key: str, by: str,
+    limit: int = BROADCAST_ROWS, salts: int = 32,
+) -> DataFrame:
+    """Inner join of many rows with their few owners, where one key may hold most rows.
+
+    The owners are counted: up to `limit` they are broadcast and the rows stay where they
+    are. Beyond that both are shuffled by key and salt; the rows of a key are dealt over
+    `salts` tasks by their column `by`, and every owner is there once per salt.
+    """
+    if owners.count() <= limit:
+        return facts.join(F.broadcast(owners), key)
+    salted = owners.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
+    salt = F.pmod(F.xxhash64(by), F.lit(salts)).cast("int")
+    return facts.withColumn("_salt", salt).join(salted, [key, "_salt"]).drop("_salt")

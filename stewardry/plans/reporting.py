@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stewardry.functions.urls import netloc_domain
 from stewardry.operators.reports import company_people_summary, found_people, unique_people
+from stewardry.operators.spread import join_hot
 from stewardry.plans.extraction import process_pages
 from stewardry.session import written
 from stewardry.sinks.summaries import render_company_report
@@ -15,15 +16,14 @@ from stewardry.sinks.summaries import render_company_report
 def company_people_table(processed: DataFrame, companies: DataFrame) -> DataFrame:
     """The people table: `company_id, name, role, email, phone, source_url, source_title`.
 
-    Pages are joined before their people are unfolded, so that fewer rows move; a site
-    with very many pages is split by adaptive execution.
+    Pages are joined before their people are unfolded, so that fewer rows move.
     """
     owned = companies.select(F.col("id").alias("company_id"), netloc_domain("website").alias("_domain"))
     pages = processed.select(
         netloc_domain("url").alias("_domain"), F.col("url").alias("source_url"),
         F.col("title").alias("source_title"), F.concat("executives", "board_members").alias("_people"),
     ).filter((F.size("_people") > 0) & (F.col("_domain") != ""))
-    return pages.join(owned, "_domain").select(
+    return join_hot(pages, owned, "_domain", "source_url").select(
         "company_id", F.inline("_people"), "source_url", "source_title"
     )
 

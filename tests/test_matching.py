@@ -3,7 +3,6 @@ from __future__ import annotations
 import random
 
 import pytest
-from pyspark.sql import functions as F
 
 from conftest import plan
 from stewardry.operators import matching
@@ -86,3 +85,26 @@ def test_structure(spark):
         ("c", "list"): 1, ("c", "list[list]"): 1, ("c", "list[int]"): 1, ("d", "dict"): 1, ("d.e", "dict"): 1,
         ("d.e.f", "float"): 1, ("n", "NoneType"): 1, ("s", "str"): 1, ("big", "int"): 1, ("", "list[int]"): 1,
     }
+
+
+@pytest.mark.parametrize("limit", [0, 100])
+def test_hot_keys_join_completely(spark, limit):
+    from stewardry.operators.spread import join_hot
+
+    facts = [("hot" if i % 3 else f"k{i % 7}", f"u{i}") for i in range(900)]
+    owners = [("hot", 1), ("hot", 2), ("k0", 3), ("k5", 4), ("unused", 5)]
+    joined = join_hot(
+        spark.createDataFrame(facts, "key string, url string"),
+        spark.createDataFrame(owners, "key string, id int"), "key", "url", limit=limit,
+    )
+    expected = sorted((k, u, i) for k, u in facts for o, i in owners if o == k)
+    assert sorted(tuple(r) for r in joined.select("key", "url", "id").collect()) == expected
+
+
+def test_modes_without_broadcast(companies, listing):
+    for mode in ("host", "contains"):
+        both = [
+            sorted(map(repr, matching.pages_for_company(listing, companies, mode, broadcast_companies=n).collect()))
+            for n in (0, 100)
+        ]
+        assert both[0] == both[1] and both[0]

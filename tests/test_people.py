@@ -8,7 +8,6 @@ from stewardry.functions import people as P
 from stewardry.operators import people as rows
 from stewardry.operators.people import attach_spans
 from stewardry.plans.extraction import process_pages, process_pages_by_role, with_sections
-from stewardry.schemas import PEOPLE
 from stewardry.sinks.summaries import json_string, render_page_summary
 
 PAGE = "url string, title string, source_file string, body_text string, sections string"

@@ -12,7 +12,7 @@ from stewardry.operators.responses import (
     flatten_response, has_key_positions, model_prompt, parse_person_list, parse_response,
 )
 from stewardry.plans.importing import import_companies
-from stewardry.schemas import MEMBERS, REGISTRY
+from stewardry.schemas import REGISTRY
 
 NOW = datetime.datetime(2025, 1, 2)
 OLD = datetime.datetime(2024, 1, 1)

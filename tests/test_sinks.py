@@ -5,7 +5,6 @@ import glob
 import json
 
 import pytest
-from pyspark.sql import functions as F
 
 from stewardry.operators import reports
 from stewardry.plans.extraction import process_pages

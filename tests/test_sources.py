@@ -4,7 +4,6 @@ import json
 from urllib.parse import quote
 
 import pytest
-from pyspark.sql import functions as F
 
 from stewardry.sources import companies, management, objects, pages
 

@@ -3,7 +3,6 @@ from __future__ import annotations
 from urllib.parse import urljoin, urlparse
 
 import pytest
-from pyspark.sql import functions as F
 
 from stewardry import vocab
 from stewardry.functions import urls
