@@ -1,7 +1,6 @@
 from __future__ import annotations
 
 import sys
-import tempfile
 from pathlib import Path
 
 import pytest
@@ -16,7 +15,7 @@ def spark():
     session = build_session(
         "tests", master="local[8]", spark__ui__enabled="false",
         spark__ui__showConsoleProgress="false", spark__sql__shuffle__partitions="8",
-        spark__driver__memory="8g", spark__checkpoint__dir=tempfile.mkdtemp(prefix="stewardry-tests-"),
+        spark__driver__memory="8g",
     )
     session.sparkContext.setLogLevel("ERROR")
     yield session
