@@ -23,14 +23,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stewardry.llm.buckets import in_block_pairs, shared_buckets
 from stewardry.llm.components import Unions, components
 from stewardry.llm.groups import map_groups
 from stewardry.llm.hashing import WORDS, TokenHasher, mixed
 from stewardry.llm.minhash import BANDS, BINS, SHARED, band_values, shingle_sets, signatures
 from stewardry.session import written
 
-#: Classes in a block.
-BLOCK = 512
 #: A sketch may fall short of the wanted similarity by so many standard deviations.
 DEVIATIONS = 4.5
 
@@ -61,19 +60,6 @@ def features(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(of, FEATURES)
 
 
-def in_block_pairs(members: DataFrame, key: list[str], node: str, block: int = BLOCK) -> DataFrame:
-    """`members` once for each pair of blocks of its group that it takes part in.
-
-    Groups are told by `key`; adds `_i`, `_j` (the pair of blocks) and `_own` (the row's).
-    """
-    sizes = members.groupBy(*key).agg(F.ceil(F.count("*") / block).alias("_blocks"))
-    own = F.pmod(F.xxhash64(F.lit(3), node), F.col("_blocks"))
-    out = members.join(sizes.where("_blocks > 1"), key, "left").withColumn("_own", F.coalesce(own, F.lit(0).cast("long")))
-    other = F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce(F.col("_blocks"), F.lit(1).cast("long")) - 1))
-    out = out.withColumn("_other", other)
-    return out.withColumns({"_i": F.least("_own", "_other"), "_j": F.greatest("_own", "_other")}).drop("_other", "_blocks")
-
-
 def least_alike(sizes: np.ndarray) -> np.ndarray:
     """How many of BINS sketch bytes must agree for a set of each size to be looked at."""
     wanted = SHARED / 100
@@ -189,16 +175,12 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     classes = written(classes.select("node", *name, "sketches.*"), "classes")
 
     bands = classes.select("node", F.posexplode("bands").alias("band", "value"))
-    # the members of a bucket under two hashes: buckets of the same members are one
-    of_members = [F.bit_xor(F.xxhash64(F.lit(k), "node")).alias(f"_m{k}") for k in (1, 2)]
-    shared = bands.groupBy("band", "value").agg(F.count("*").alias("_n"), F.min("node").alias("a"), F.max("node").alias("b"), *of_members)
-    shared = written(shared.where("_n > 1"), "buckets")
+    pairs, larger = shared_buckets(bands, ["band", "value"], "buckets")
     sketched = classes.select("node", "n_shingles", "sketch")
     side = lambda k: sketched.toDF(k, f"n_{k}", f"s_{k}")
-    edges = alike_pairs(shared.where("_n = 2").select("a", "b").distinct().join(side("a"), "a").join(side("b"), "b"))
+    edges = alike_pairs(pairs.join(side("a"), "a").join(side("b"), "b"))
 
-    larger = shared.where("_n > 2").groupBy("_n", "_m1", "_m2").agg(F.min(F.struct("band", "value")).alias("bucket"))
-    members = bands.join(larger.select("bucket.*"), ["band", "value"]).join(sketched, "node")
+    members = larger.join(sketched, "node")
     pairs = in_block_pairs(written(members, "members"), ["band", "value"], "node")
     edges = edges.union(map_groups(pairs, ["band", "value", "_i", "_j"], ["node"], star_edges, "a long, b long"))
     families = components(written(edges.distinct(), "candidates")).withColumnRenamed("component", "family")

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from stewardry.llm import langid, mixing, neardup, packing, quality, sharding
+from stewardry.llm import langid, mixing, neardup, packing, quality, sharding, topk, vectordup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -29,6 +29,14 @@ def op4_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.scored(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
 
 
+def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(_table(spark, sf_dir, "embeddings"))
+
+
+def op7_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vectordup.near_vectors(_table(spark, sf_dir, "embeddings"))
+
+
 def op8_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
 
@@ -50,12 +58,36 @@ QUERIES: dict[str, Query] = {
     "op2_language_id": op2_language_id,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_quality_classifier": op4_quality_classifier,
+    "op5_exact_topk": op5_exact_topk,
+    "op7_embedding_neardup": op7_embedding_neardup,
     "op8_minhash_neardup": op8_minhash_neardup,
     "op9_mixing": op9_mixing,
     "op10_sharding": op10_sharding,
 }
 
 ORACLES: dict[str, str] = {
+    "op5_exact_topk": """
+WITH whole AS (
+  SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.v, c.v)::BIGINT AS score
+  FROM whole q JOIN whole c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id),
+ranked AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank FROM scored)
+SELECT query_id, rank, vec_id, score FROM ranked WHERE rank <= 5""",
+    "op7_embedding_neardup": """
+WITH RECURSIVE whole AS MATERIALIZED (
+  SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+links AS MATERIALIZED (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM whole a JOIN whole b ON a.vec_id <> b.vec_id
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.9),
+reached(node, root) AS (SELECT a, a FROM links UNION SELECT b, root FROM reached JOIN links ON a = node)
+SELECT e.vec_id, coalesce(n, 0)::BIGINT AS n_links, least(e.vec_id, coalesce(root, e.vec_id)) AS component_id,
+  coalesce(root, e.vec_id) >= e.vec_id AS kept
+FROM embeddings e LEFT JOIN (SELECT a, count(*) AS n FROM links GROUP BY a) l ON l.a = e.vec_id
+LEFT JOIN (SELECT node, min(root) AS root FROM reached GROUP BY node) r ON r.node = e.vec_id""",
     "op8_minhash_neardup": r"""
 WITH RECURSIVE words AS (
   SELECT doc_id, regexp_extract_all(
