@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from stewardry.llm import langid, mixing, neardup, packing, quality, sharding, topk, vectordup
+from stewardry.llm import extraction, langid, mixing, neardup, packing, quality, scoring, sharding, topk, vectordup
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -17,6 +17,10 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extraction.main_text(_table(spark, sf_dir, "pages"))
+
+
 def op2_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return langid.identified(_table(spark, sf_dir, "documents"))
 
@@ -33,6 +37,10 @@ def op5_exact_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(_table(spark, sf_dir, "embeddings"))
 
 
+def op6_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return scoring.scored(_table(spark, sf_dir, "documents"))
+
+
 def op7_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vectordup.near_vectors(_table(spark, sf_dir, "embeddings"))
 
@@ -55,10 +63,12 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Query] = {
     "pipeline": corpus_pipeline.run,
+    "op1_html_extraction": op1_html_extraction,
     "op2_language_id": op2_language_id,
     "op3_best_fit_packing": op3_best_fit_packing,
     "op4_quality_classifier": op4_quality_classifier,
     "op5_exact_topk": op5_exact_topk,
+    "op6_lm_scoring": op6_lm_scoring,
     "op7_embedding_neardup": op7_embedding_neardup,
     "op8_minhash_neardup": op8_minhash_neardup,
     "op9_mixing": op9_mixing,
