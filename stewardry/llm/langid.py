@@ -21,6 +21,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stewardry.llm.columns import set_aside
+
 SYMBOLS = 64
 WINDOW = 256
 WIDTHS = (2, 3, 4)
@@ -242,10 +244,10 @@ def with_language(docs: DataFrame, net: ByteConvNet | None) -> DataFrame:
     """`docs` with `lang_pred` and `score`; only the text is looked at.
 
     A null text or one without any letter is `und` with score 0, and so is everything if
-    there is no network. Empty inputs give no rows; other columns pass through.
+    there is no network. Empty inputs give no rows; other columns pass through, but for
+    those of the result's names.
     """
-    if {"lang_pred", "score"} & set(docs.columns):
-        raise ValueError("lang_pred and score are columns of the result")
+    docs = docs.drop("lang_pred", "score")
     shipped = docs.sparkSession.sparkContext.broadcast(cloudpickle.dumps(net))
     at, names = docs.columns.index("text"), [*docs.columns, "lang_pred", "score"]
     schema = T.StructType([*docs.schema.fields, T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType())])
@@ -277,7 +279,6 @@ def identified(docs: DataFrame) -> DataFrame:
 
 def in_known_language(docs: DataFrame, least: float = 0.5) -> DataFrame:
     """The documents whose language the network tells with at least this score."""
-    narrow = trained(learnable(docs))
-    kept = with_language(docs.withColumnsRenamed({"score": "_score", "lang_pred": "_lang_pred"}), narrow)
-    kept = kept.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)).drop("lang_pred", "score")
-    return kept.withColumnsRenamed({"_score": "score", "_lang_pred": "lang_pred"})
+    rows, restored = set_aside(docs, ("doc_id", "text", "lang"))
+    told = with_language(rows, trained(learnable(rows)))
+    return restored(told.where((F.col("lang_pred") != UNKNOWN) & (F.col("score") >= least)))

@@ -15,6 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from stewardry.llm.columns import set_aside
 from stewardry.session import written
 
 #: Share of all tokens to keep, powers that temper the present shares into targets, and
@@ -101,9 +102,9 @@ def calibrated(docs: DataFrame, rate: float = RATE, powers: dict[str, float] = P
 
     Null sources and languages are values of their own. Documents without tokens carry no
     weight: they are kept with probability 1. Repeated rows count each. Other columns are
-    passed through.
+    passed through, but for those of the result's names.
     """
-    marked = with_margins(docs)
+    marked = with_margins(docs.drop("_source", "_lang", "_topic", "_tokens", "_cell_probability", "probability"))
     cells = marked.groupBy("_source", "_lang", "_topic").agg(F.sum("_tokens").alias("_tokens"))
     cells = raked(tempered_targets(written(cells, "mix-cells"), powers, rate), rate, sweeps)
     cells = written(cells.select(
@@ -117,8 +118,8 @@ def calibrated(docs: DataFrame, rate: float = RATE, powers: dict[str, float] = P
 
 def mixed(docs: DataFrame, rate: float = RATE, powers: dict[str, float] = POWERS, sweeps: int = SWEEPS, seed: str = SEED) -> DataFrame:
     """The sampled documents, columns as they came."""
-    chosen = calibrated(docs, rate, powers, sweeps).where(uniform_of(F.col("doc_id"), seed) < F.col("probability"))
-    return chosen.select(*(F.col(f"`{c}`") for c in docs.columns))
+    rows, restored = set_aside(docs, ("doc_id", "text", "source", "lang"))
+    return restored(calibrated(rows, rate, powers, sweeps).where(uniform_of(F.col("doc_id"), seed) < F.col("probability")))
 
 
 def mixing_sql(source: str, rate: float = RATE, powers: dict[str, float] = POWERS, sweeps: int = SWEEPS, seed: str = SEED) -> str:

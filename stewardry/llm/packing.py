@@ -146,12 +146,13 @@ def placed_rounds(
     `part_bins` and `part_bound` are the bins of its partition and the proven least number.
     """
     out: list[DataFrame] = []
-    pool = pieces
+    pool, parts = pieces, 1 << 62
     for k in range(rounds):
         n = pool.count()
         if n == 0 and out:
             break
-        parts = max(1, -(-n // rows_per_partition))
+        # what goes on is little; it meets in half as many partitions at most
+        parts = max(1, min(-(-n // rows_per_partition), parts // 2))
         dealt = pool.withColumn("part", F.pmod(F.xxhash64(F.lit(k), "doc_id", "piece", "ids_crc32"), F.lit(parts)))
         placed = dealt.repartition(parts, "part").groupBy("part").applyInPandas(_pack_partition(capacity), PLACED)
         if parts == 1 or k == rounds - 1:

@@ -50,7 +50,7 @@ def op8_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = mixing.calibrated(_table(spark, sf_dir, "documents"))
+    out = mixing.calibrated(_table(spark, sf_dir, "documents").select("doc_id", "text", "source", "lang"))
     return out.select(
         "doc_id", "source", "lang", F.col("_topic").alias("topic"), F.col("_tokens").alias("n_tokens"),
         F.round("probability", 6).alias("probability"), (mixing.uniform_of(F.col("doc_id")) < F.col("probability")).alias("kept"),
