@@ -12,11 +12,13 @@ BLOCK = 512
 
 
 def shared_buckets(members: DataFrame, key: list[str], label: str) -> tuple[DataFrame, DataFrame]:
-    """Of `members` (key, node): the distinct pairs a, b of two-member buckets, and the
-    members (key, node) of larger ones. Buckets of the same members count once."""
+    """Of `members` (key, node, family): the distinct pairs a, b of two-member buckets, and
+    the members (key, node, family) of larger ones. Buckets whose members are of one family
+    already are left out, and buckets of the same members count once."""
     of_members = [F.bit_xor(F.xxhash64(F.lit(k), "node")).alias(f"_m{k}") for k in (1, 2)]
-    shared = members.groupBy(*key).agg(F.count("*").alias("_n"), F.min("node").alias("a"), F.max("node").alias("b"), *of_members)
-    shared = written(shared.where("_n > 1"), label)
+    shared = members.groupBy(*key).agg(F.count("*").alias("_n"), F.min("node").alias("a"), F.max("node").alias("b"),
+                                         (F.min("family") < F.max("family")).alias("_apart"), *of_members)
+    shared = written(shared.where("_n > 1 AND _apart"), label)
     larger = shared.where("_n > 2").groupBy("_n", "_m1", "_m2").agg(F.min(F.struct(*key)).alias("bucket"))
     return shared.where("_n = 2").select("a", "b").distinct(), members.join(larger.select("bucket.*"), key)
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -33,10 +34,8 @@ def components(edges: DataFrame) -> DataFrame:
 class Unions:
     """Labels of a task's nodes under merging; arrays, as merges are few and reads many."""
 
-    def __init__(self, n: int):
-        import numpy as np
-
-        self.label = np.arange(n)
+    def __init__(self, n: int, families: np.ndarray | None = None):
+        self.label = np.arange(n) if families is None else np.unique(families, return_inverse=True)[1]
 
     def merge(self, a: int, b: int) -> bool:
         """Whether they were apart."""

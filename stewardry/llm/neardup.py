@@ -3,7 +3,8 @@
 1. Texts of one shingle set are one class, so that copies cost nothing further.
 2. Classes that share a band's value meet in a bucket. A bucket hands on star-shaped
    candidate edges only: each class is joined to one earlier class whose sketch is like
-   its own, never to all of them, so a bucket of m classes gives fewer than m edges.
+   its own, never to all of them, so a bucket of m classes gives fewer than m edges. The
+   first bands do so alone; the others then join only what is not of one family yet.
 3. Classes that candidate edges connect are a family. Whatever pair of texts a bucket held
    together and the sketches find alike is in one family.
 4. Within a family, links are confirmed on full shingle sets; a pair whose classes
@@ -23,13 +24,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stewardry.llm.buckets import in_block_pairs, shared_buckets
+from stewardry.llm.buckets import BLOCK, in_block_pairs, shared_buckets
+from stewardry.llm.columns import set_aside
 from stewardry.llm.components import Unions, components
 from stewardry.llm.groups import map_groups
 from stewardry.llm.hashing import WORDS, TokenHasher, mixed
 from stewardry.llm.minhash import BANDS, BINS, SHARED, band_values, shingle_sets, signatures
 from stewardry.session import written
 
+#: Bands that give the first candidates; the others add edges between families only.
+FIRST_BANDS = 8
 #: A sketch may fall short of the wanted similarity by so many standard deviations.
 DEVIATIONS = 4.5
 
@@ -80,7 +84,7 @@ def star_edges(rows: pa.Table) -> list[np.ndarray]:
     nodes, own, sizes = _longs(rows, "node"), _longs(rows, "_own"), _longs(rows, "n_shingles")
     sketches = np.frombuffer(b"".join(_binary(rows, "sketch")), np.uint8).reshape(len(rows), BINS)
     across = _longs(rows, "_i")[0] != _longs(rows, "_j")[0]
-    joined, out = Unions(len(rows)), []
+    joined, out = Unions(len(rows), _longs(rows, "family")), []
     for a in range(len(rows) - 1):
         rest = _to_look_at(a, sizes, joined.label, own if across else None)
         if len(rest):
@@ -159,7 +163,23 @@ def _sets_of(docs: DataFrame) -> DataFrame:
     return docs.select("node", "family", "text").mapInArrow(of, "node long, family long, shingles binary")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
+def candidate_edges(classes: DataFrame, families: DataFrame | None, first: int, end: int, block: int) -> DataFrame:
+    """Written edges a, b of the buckets of some bands, between classes of different families."""
+    bands = classes.select("node", F.posexplode(F.slice("bands", first + 1, end - first)).alias("band", "value"))
+    if families is None:
+        bands = bands.withColumn("family", F.col("node"))
+    else:
+        bands = bands.join(families, "node", "left").withColumn("family", F.coalesce("family", "node"))
+    pairs, larger = shared_buckets(bands, ["band", "value"], "buckets")
+    sketched = classes.select("node", "n_shingles", "sketch")
+    side = lambda k: sketched.toDF(k, f"n_{k}", f"s_{k}")
+    edges = alike_pairs(pairs.join(side("a"), "a").join(side("b"), "b"))
+    members = in_block_pairs(written(larger.join(sketched, "node"), "members"), ["band", "value"], "node", block)
+    edges = edges.union(map_groups(members, ["band", "value", "_i", "_j"], ["node"], star_edges, "a long, b long"))
+    return written(edges.distinct(), "candidates")
+
+
+def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, kept.
 
     Texts link where 100 * shared shingles >= 85 * shingles of both. `component_id` is the
@@ -174,21 +194,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
         F.min("doc_id").alias("node"), F.min_by(F.struct("bands", "sketch"), "doc_id").alias("sketches"))
     classes = written(classes.select("node", *name, "sketches.*"), "classes")
 
-    bands = classes.select("node", F.posexplode("bands").alias("band", "value"))
-    pairs, larger = shared_buckets(bands, ["band", "value"], "buckets")
-    sketched = classes.select("node", "n_shingles", "sketch")
-    side = lambda k: sketched.toDF(k, f"n_{k}", f"s_{k}")
-    edges = alike_pairs(pairs.join(side("a"), "a").join(side("b"), "b"))
-
-    members = larger.join(sketched, "node")
-    pairs = in_block_pairs(written(members, "members"), ["band", "value"], "node")
-    edges = edges.union(map_groups(pairs, ["band", "value", "_i", "_j"], ["node"], star_edges, "a long, b long"))
-    families = components(written(edges.distinct(), "candidates")).withColumnRenamed("component", "family")
+    edges = candidate_edges(classes, None, 0, FIRST_BANDS, block)
+    families = components(edges).withColumnRenamed("component", "family")
+    edges = edges.union(candidate_edges(classes, families, FIRST_BANDS, BANDS, block))
+    families = components(edges).withColumnRenamed("component", "family")
 
     # a text that stands for its class; a repeated id with several texts has several classes
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(families, "node")
     sets = written(_sets_of(texts).distinct(), "sets")
-    pairs = in_block_pairs(sets, ["family"], "node")
+    pairs = in_block_pairs(sets, ["family"], "node", block)
     links = written(map_groups(pairs, ["family", "_i", "_j"], ["node"], confirmed_links, "a long, b long"), "links")
     labels = components(links)
 
@@ -201,5 +215,6 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 def first_of_each(docs: DataFrame) -> DataFrame:
     """The documents that stand for their components, columns as they came."""
-    kept = near_duplicates(docs).where("kept").select(F.col("doc_id").alias("_kept_id")).distinct()
-    return docs.join(kept, F.equal_null(F.col("doc_id"), F.col("_kept_id")), "left_semi")
+    rows, restored = set_aside(docs, ("doc_id", "text"))
+    kept = near_duplicates(rows).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    return restored(rows.join(kept, F.equal_null(F.col("doc_id"), F.col("_kept")), "left_semi"))

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stewardry.llm.buckets import in_block_pairs, shared_buckets
+from stewardry.llm.buckets import BLOCK, in_block_pairs, shared_buckets
 from stewardry.llm.components import Unions, components
 from stewardry.llm.groups import map_groups
 from stewardry.llm.hashing import mixed
@@ -139,7 +139,7 @@ def _confirmed(pairs: DataFrame) -> DataFrame:
     return pairs.select("a", "b", "dim", "v_a", "v_b").mapInArrow(of, "a long, b long")
 
 
-def near_vectors(vectors: DataFrame) -> DataFrame:
+def near_vectors(vectors: DataFrame, block: int = BLOCK) -> DataFrame:
     """Per vector: vec_id, n_links, component_id, kept.
 
     Links join vectors of cosine >= 0.9, whatever else the rows say. Null, zero and
@@ -149,15 +149,15 @@ def near_vectors(vectors: DataFrame) -> DataFrame:
     clean = written(clean_vectors(vectors, "vec_id", "embedding", zero=False), "vectors")
     classes = written(
         clean.where("vector IS NOT NULL").groupBy("dim", "vector").agg(F.min("node").alias("node"), F.count("*").alias("copies")), "classes")
-    members = _keys_of(classes).select("node", F.explode("keys").alias("key")).distinct()
+    members = _keys_of(classes).select("node", F.col("node").alias("family"), F.explode("keys").alias("key")).distinct()
     pairs, larger = shared_buckets(members, ["key"], "buckets")
     side = lambda k: classes.select(F.col("node").alias(k), "dim", F.col("vector").alias(f"v_{k}"))
     edges = _confirmed(pairs.join(side("a"), "a").join(side("b"), ["b", "dim"]))
     larger = written(larger.join(classes.select("node", "dim", "vector"), "node"), "members")
-    edges = edges.union(map_groups(in_block_pairs(larger, ["key"], "node"), ["key", "_i", "_j"], ["node"], _edges, "a long, b long"))
+    edges = edges.union(map_groups(in_block_pairs(larger, ["key"], "node", block), ["key", "_i", "_j"], ["node"], _edges, "a long, b long"))
     labels = components(written(edges.distinct(), "edges"))
 
-    grouped = in_block_pairs(written(labels.join(classes, "node"), "groups"), ["component"], "node")
+    grouped = in_block_pairs(written(labels.join(classes, "node"), "groups"), ["component"], "node", block)
     linked = map_groups(grouped, ["component", "_i", "_j"], ["node"], _links, "node long, links long")
     linked = linked.groupBy("node").agg(F.sum("links").alias("links"))
     of_class = classes.join(linked, "node", "left").join(labels, "node", "left").select(
