@@ -10,25 +10,47 @@ whole articles and passages recur on a site as well.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stewardry.llm.hashing import mixed
 from stewardry.llm.markup import Page, blocks, parsed
 
 #: A subtree is template on at least so many pages of the host and on this share of them.
 LEAST_PAGES, LEAST_SHARE = 4, 0.2
 
+_SPACE = re.compile(r"\s+")
+_BASE = 0x9E3779B97F4A7C15
+_INVERSE = np.uint64(pow(_BASE, -1, 1 << 64))
+
+
+def _powers(base: np.uint64, exponents: np.ndarray) -> np.ndarray:
+    """base ** exponent modulo 2**64, by squaring."""
+    out, exponents = np.ones(len(exponents), np.uint64), exponents.copy()
+    while exponents.any():
+        out = np.where(exponents & 1, out * base, out)
+        with np.errstate(over="ignore"):
+            base = base * base
+        exponents >>= 1
+    return out
+
 
 def host_of(url: Column) -> Column:
     """The host in lower case, without user and port; empty if there is none."""
     return F.lower(F.regexp_extract(F.coalesce(url, F.lit("")), r"^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
 
 
+def page_of(source: str | None) -> Page:
+    """The parsed page, any white space in it as one space."""
+    return parsed(_SPACE.sub(" ", source or ""))
+
+
 def _subtrees(page: Page) -> Iterator[tuple[int, int]]:
     """(element, hash) of all subtrees that may be template: outside of articles and not around one."""
     around: set[int] = set()
@@ -38,10 +60,18 @@ def _subtrees(page: Page) -> Iterator[tuple[int, int]]:
             while up >= 0 and up not in around:
                 around.add(up)
                 up = page.elements[up].parent
-    for i, e in enumerate(page.elements):
-        if not e.inside and i not in around and e.tag not in ("html", "body"):
-            content = " ".join(page.source[e.start:e.end].split())
-            yield i, xxhash.xxh64_intdigest(content.encode("utf-8", "surrogatepass")) - (1 << 63)
+    # one running sum over the page gives every subtree's polynomial hash
+    letters = np.frombuffer(page.source.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
+    factors = np.full(len(letters) + 1, _BASE, np.uint64)
+    factors[0] = 1
+    factors = np.cumprod(factors)
+    sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(letters * factors[:-1])])
+    asked = [i for i, e in enumerate(page.elements) if not e.inside and i not in around and e.tag not in ("html", "body")]
+    starts = np.array([page.elements[i].start for i in asked], np.int64)
+    ends = np.array([page.elements[i].end for i in asked], np.int64)
+    # brought to the power a subtree at the page's start would have
+    hashes = mixed((sums[ends] - sums[starts]) * _powers(_INVERSE, starts))
+    yield from zip(asked, hashes.view(np.int64).tolist(), strict=True)
 
 
 def template_subtrees(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
@@ -53,7 +83,7 @@ def template_subtrees(pages: DataFrame, least_pages: int = LEAST_PAGES, least_sh
         for batch in batches:
             hosts, found = [], []
             for host, source in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                own = {h for _, h in _subtrees(parsed(source.as_py() or ""))}
+                own = {h for _, h in _subtrees(page_of(source.as_py()))}
                 hosts += [host] * len(own)
                 found += own
             yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(found, pa.int64())], ["host", "subtree"])
@@ -81,7 +111,7 @@ def main_text(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: flo
         for batch in batches:
             texts = []
             for source, templates in zip(batch.column(2), batch.column(3), strict=True):
-                page = parsed(source.as_py() or "")
+                page = page_of(source.as_py())
                 known = templates.as_py() or []
                 name = zlib.crc32(repr(known).encode())
                 if name not in sets:

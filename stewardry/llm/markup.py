@@ -9,6 +9,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import defaultdict
 from dataclasses import dataclass, field
 
 _TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*)((?>[^>"']+|"[^"]*"|'[^']*')*+)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>|<!--(?:.*?)--!?>|<!--|<[!?/][^>]*>""", re.S)
@@ -83,15 +84,25 @@ def parsed(source: str) -> Page:
     page = Page(source)
     elements, texts = page.elements, page.texts
     stack: list[int] = []
+    #: depths at which a tag, or any block, is open, so that no search walks the stack
+    depths: dict[str, list[int]] = defaultdict(list)
+    block_depths: list[int] = []
     block = at = 0
     size = len(source)
+    last_close = source.rfind(">")
 
     def close(depth: int, where: int) -> None:
         nonlocal block
         while len(stack) > depth:
             e = elements[stack.pop()]
             e.end = where
-            block += e.tag in BLOCK
+            depths[e.tag].pop()
+            if e.tag in BLOCK:
+                block += 1
+                block_depths.pop()
+
+    def innermost(tags: frozenset[str] | set[str]) -> int:
+        return max((depths[t][-1] for t in tags if depths[t]), default=-1)
 
     def add(text: str) -> None:
         if text and not text.isspace():
@@ -100,7 +111,7 @@ def parsed(source: str) -> Page:
             texts.append((stack[-1] if stack else -1, block, " "))
 
     while at < size:
-        m = _TAG.search(source, at)
+        m = _TAG.search(source, at) if at <= last_close else None
         if m is None:
             add(source[at:])
             break
@@ -113,33 +124,20 @@ def parsed(source: str) -> Page:
             continue
         tag, closing = name.lower(), (m[1] or m[4]) == "/"
         if closing:
-            for depth in range(len(stack) - 1, -1, -1):
-                if elements[stack[depth]].tag == tag:
-                    close(depth, at)
-                    break
-                # an inline end tag does not close the blocks around it
-                if tag not in BLOCK and elements[stack[depth]].tag in BLOCK:
-                    break
+            depth = depths[tag][-1] if depths[tag] else -1
+            # an inline end tag does not close the blocks around it
+            if depth >= 0 and (tag in BLOCK or not block_depths or block_depths[-1] < depth):
+                close(depth, at)
             block += tag in BLOCK
             continue
         attributes = m[3] if m[2] else m[6] or ""
         if tag in _CLOSES:
             what, limits = _CLOSES[tag]
-            for depth in range(len(stack) - 1, -1, -1):
-                inner = elements[stack[depth]].tag
-                if inner in what:
-                    close(depth, m.start())
-                    break
-                if inner in limits:
-                    break
-        elif tag in BLOCK:
-            for depth in range(len(stack) - 1, -1, -1):
-                inner = elements[stack[depth]].tag
-                if inner == "p":
-                    close(depth, m.start())
-                    break
-                if inner in BLOCK:
-                    break
+            depth = innermost(what)
+            if depth > innermost(limits):
+                close(depth, m.start())
+        elif tag in BLOCK and block_depths and elements[stack[block_depths[-1]]].tag == "p":
+            close(block_depths[-1], m.start())
         if tag in BLOCK:
             block += 1
         if tag in VOID:
@@ -155,6 +153,9 @@ def parsed(source: str) -> Page:
         if attributes.endswith("/") and tag in RAW:
             continue
         elements.append(Element(tag, stack[-1] if stack else -1, m.start(), apart, inside))
+        depths[tag].append(len(stack))
+        if tag in BLOCK:
+            block_depths.append(len(stack))
         stack.append(len(elements) - 1)
         if tag in RAW:
             end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(source, at)
