@@ -21,6 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from stewardry.llm.shared import kept_per_worker
 from stewardry.llm.tokens import WordIds
 from stewardry.session import written
 
@@ -50,7 +51,7 @@ def document_pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int
             import public_tokenizers
 
             path = public_tokenizers.path(TOKENIZER)
-        ids_of = WordIds(path)
+        ids_of = kept_per_worker(f"word ids of {path}", lambda: WordIds(path))
         for batch in batches:
             rows: list[tuple] = []
             for doc_id, text in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):

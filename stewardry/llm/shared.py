@@ -1,13 +1,19 @@
-"""Files that a task writes for other tasks, in the folder that all executors share."""
+"""What tasks leave for others: files in the folder that all executors share, and what a
+Python worker keeps from one task to the next."""
 
 from __future__ import annotations
 
 import os
+import sys
 import tempfile
 import uuid
+from collections.abc import Callable
+from typing import TypeVar
 
 from pyarrow import fs
 
+T = TypeVar("T")
+
 
 def put(folder: str, name: str, content: bytes) -> str:
     """Writes a new file and returns its name; a repeated attempt writes another one."""
@@ -29,3 +35,14 @@ def local_path(folder: str, name: str) -> tuple[str, bool]:
         while block := source.read(1 << 22):
             out.write(block)
     return copy, True
+
+
+def kept_per_worker(name: str, make: Callable[[], T]) -> T:
+    """What `make` gave this Python worker first; later tasks of the worker find it again.
+
+    Functions that are shipped by value have no module of their own to keep it in.
+    """
+    store = vars(sys.modules["__main__"]).setdefault("_kept_per_worker", {})
+    if name not in store:
+        store[name] = make()
+    return store[name]

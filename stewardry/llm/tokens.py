@@ -12,7 +12,7 @@ import unicodedata
 import numpy as np
 
 #: Entries kept per Python worker before the memory is emptied.
-KEPT_WORDS = 700_000
+KEPT_WORDS = 1_000_000
 
 _LATIN = re.compile("[\x00-ɏ]*")
 
