@@ -41,14 +41,21 @@ def page_text_query(spark: SparkSession, sf_dir: str) -> DataFrame:
 _LINES = rf"regexp_split_to_array({sql.clean('html')}, '\r\n|[\n\r\x0b\x0c\x1c-\x1e\x{{85}}\x{{2028}}\x{{2029}}]')"
 
 
-@query(f"""
+_SITE_TEXTS = f"""
 WITH lined AS (SELECT {sql.netloc('url')} AS site, url, list_transform({_LINES}, lambda l: string_split({sql.stripped('l')}, '  ')) AS ls FROM pages),
-texts AS (SELECT site, url, array_to_string(list_filter(list_transform(flatten(ls), lambda p: {sql.stripped('p')}), lambda p: p <> ''), ' ') AS text FROM lined)
-SELECT site, 0 AS part, count(*) AS n_pages, string_agg(text, chr(10) || chr(10) ORDER BY url, text) AS text FROM texts GROUP BY site""")
+texts AS (SELECT site, url, array_to_string(list_filter(list_transform(flatten(ls), lambda p: {sql.stripped('p')}), lambda p: p <> ''), ' ') AS text FROM lined)"""
+
+
+@query(f"{_SITE_TEXTS} SELECT site, url, text FROM texts")
 def site_text(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sites.site_text(inputs.table(spark, sf_dir, "pages"))
 
 
+@query(f"{_SITE_TEXTS} SELECT site, count(*) AS n_pages, string_agg(text, chr(10) || chr(10) ORDER BY url, text) AS text FROM texts GROUP BY site")
+def joined_site_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return sites.joined_site_text(inputs.table(spark, sf_dir, "pages"))
+
+
 _DOCUMENTED = f"""
 SELECT doc_id, '{{' || CASE doc_id % 4 WHEN 0 THEN '"company": "Co", "content": "c' || {inputs.text('doc_id')} || '"'
        WHEN 1 THEN '"company_name": "Name ' || lang || '", "company": "", "text": "t"'

@@ -146,6 +146,11 @@ _per_row("placeholder_website", SITES, "row_no", sql.site_or_placeholder("websit
 _per_row("extract_domain", SITES, "row_no", sql.plain_domain("website"), lambda: urls.extract_domain("website"))
 _per_row("netloc_domain", SITES, "row_no", sql.domain("website"), lambda: urls.netloc_domain("website"))
 _per_row("decode_object_name", inputs.LISTING, "page_id", "url || '.json'", lambda: urls.decode_name("object_name"))
+_per_row("decode_malformed_name",
+         "SELECT c_custkey, 'https%3A%2F%2Fa.com%2F' || CAST(c_custkey AS STRING) || '%' || "
+         "CASE c_custkey % 4 WHEN 0 THEN '' WHEN 1 THEN 'ZZ%20x' WHEN 2 THEN '2' ELSE '%41+' END AS object_name FROM customer", "c_custkey",
+         "'https://a.com/' || CAST(c_custkey AS VARCHAR) || '%' || CASE c_custkey % 4 WHEN 0 THEN '' WHEN 1 THEN 'ZZ x' WHEN 2 THEN '2' ELSE 'A+' END",
+         lambda: urls.decode_name("object_name"))
 _per_row("decode_object_name_partly", inputs.LISTING, "page_id",
          "replace(replace(object_name, '%3A', ':'), '%2F', '/')", lambda: urls.decode_name_partly("object_name"))
 _per_row("safe_filename", inputs.LISTING, "page_id",

@@ -8,10 +8,10 @@ import json
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-# Elements whose content is not markup.
-_RAW_BLOCKS = r"(?is)<(script|style)(?=[\s/>])[^>]*>.*?</\1\s*>"
+# Elements whose content is not markup; without an end tag it runs to the end of the text.
+_RAW_BLOCKS = r"(?is)<(script|style)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\z)"
 # Elements whose content is never part of a document's text.
-_HIDDEN_BLOCKS = r"(?is)<(script|style|template|rt|rp)(?=[\s/>])[^>]*>.*?</\1\s*>"
+_HIDDEN_BLOCKS = r"(?is)<(?:(script|style)(?=[\s/>])[^>]*>.*?(?:</\1\s*>|\z)|(template|rt|rp)(?=[\s/>])[^>]*>.*?</\2\s*>)"
 _COMMENTS = r"(?s)<!--.*?-->"
 # Tags (quoted attribute values may hold '>'), declarations, processing instructions.
 # The possessive loop keeps the matcher from recursing on a '<' that is never closed.

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from stewardry import vocab
 from stewardry.functions import urls
-from stewardry.functions.spans import find_all, let, mark, marked_matches, without_marks
+from stewardry.functions.spans import find_all, grouped, let, mark, marked_matches, without_marks
 from stewardry.schemas import PEOPLE, SPANS
 
 _EMAIL = "(?U)" + vocab.EMAIL_PATTERN
@@ -79,6 +79,37 @@ def nearest_role(hits: Column, start: Column) -> Column:
     return nearest["text"]
 
 
+def nearest_roles(hits: Column, spans: Column) -> Column:
+    """`array<struct<span, role>>`: every span with the role text nearest to it, else NULL.
+
+    As `nearest_role`, but for all spans of a section at once: hits and spans are sorted
+    together, so that a span's place tells how many hits lie before it, and only the hit
+    on either side has to be compared.
+    """
+    def ordered_hits(h: Column) -> Column:
+        # of hits at one offset the earliest phrase counts
+        first = F.filter(h, lambda x, i: (i == 0) | (x["start"] != F.get(h, i - 1)["start"]))
+        return let(first, lambda only: let(places(only), lambda at: F.transform(at, lambda x, k: F.struct(
+            F.get(spans, x["span"]).alias("span"), of_span(only, x, k).alias("role")))))
+
+    def places(only: Column) -> Column:
+        event = lambda start, span: F.struct(start.alias("start"), span.alias("span"))
+        events = F.array_sort(F.concat(
+            F.transform(only, lambda x: event(x["start"], F.lit(-1))), F.transform(spans, lambda x, i: event(x["start"], i))))
+        numbered = F.transform(events, lambda x, i: F.struct(x["start"].alias("start"), x["span"].alias("span"), i.alias("place")))
+        return F.filter(numbered, lambda x: x["span"] >= 0)
+
+    def of_span(only: Column, x: Column, k: Column) -> Column:
+        # k spans lie before this one, all else before it are hits
+        before = x["place"] - k
+        sides = F.filter(F.array(F.get(only, before - 1), F.get(only, before)), lambda h: h.isNotNull())
+        return nearest_role(sides, x["start"])
+
+    by_start = F.array_sort(F.transform(hits, lambda h: F.struct(
+        h["start"].alias("start"), h["rank"].alias("rank"), h["text"].alias("text"))))
+    return let(by_start, ordered_hits)
+
+
 def extract_email(text: Column | str) -> Column:
     """First e-mail address in the text, else NULL."""
     text = _col(text)
@@ -110,18 +141,13 @@ def section_people(section: Column, spans: Column) -> Column:
     number go to all of them. Names in a section without a role are dropped.
     """
     def with_facts(facts: Column) -> Column:
-        return F.filter(
-            F.transform(
-                facts["spans"],
-                lambda s: F.struct(
-                    F.trim(s["text"]).alias("name"),
-                    standardize_role(F.trim(nearest_role(facts["hits"], s["start"]))).alias("role"),
-                    facts["email"].alias("email"),
-                    facts["phone"].alias("phone"),
-                ),
-            ),
-            lambda p: p["role"].isNotNull(),
-        )
+        def person(found: Column) -> Column:
+            return let(F.trim(found["role"]), lambda role: F.struct(
+                F.trim(found["span"]["text"]).alias("name"), standardize_role(role).alias("role"),
+                facts["email"].alias("email"), facts["phone"].alias("phone")))
+
+        named = F.filter(nearest_roles(facts["hits"], facts["spans"]), lambda x: x["role"].isNotNull())
+        return F.transform(named, person)
 
     def with_spans(found: Column) -> Column:
         facts = F.struct(
@@ -189,23 +215,20 @@ def dedup_people(people: Column | str) -> Column:
     """
     people = _col(people)
 
-    def folded(name: Column) -> Column:
-        def one(same: Column) -> Column:
-            first = F.get(same, F.lit(0))
-            executive = F.get(F.filter(same, lambda p: _is_executive(p["role"])), F.lit(0))
-            return F.struct(
-                first["name"].alias("name"),
-                F.when(
-                    _is_board(first["role"]), F.coalesce(executive["role"], first["role"])
-                ).otherwise(first["role"]).alias("role"),
-                _last(F.filter(F.transform(same, lambda p: p["email"]), lambda v: v.isNotNull())).alias("email"),
-                _last(F.filter(F.transform(same, lambda p: p["phone"]), lambda v: v.isNotNull())).alias("phone"),
-            )
-
-        return let(F.filter(people, lambda p: p["name"] == name), one)
+    def one(same: Column) -> Column:
+        first = F.get(same, F.lit(0))
+        executive = F.get(F.filter(same, lambda p: _is_executive(p["role"])), F.lit(0))
+        return F.struct(
+            first["name"].alias("name"),
+            F.when(
+                _is_board(first["role"]), F.coalesce(executive["role"], first["role"])
+            ).otherwise(first["role"]).alias("role"),
+            _last(F.filter(F.transform(same, lambda p: p["email"]), lambda v: v.isNotNull())).alias("email"),
+            _last(F.filter(F.transform(same, lambda p: p["phone"]), lambda v: v.isNotNull())).alias("phone"),
+        )
 
-    names = F.array_distinct(F.transform(people, lambda p: p["name"]))
-    return F.when(F.size(people) > 1, F.transform(names, folded)).otherwise(people)
+    by_name = grouped(people, lambda p: p["name"])
+    return F.when(F.size(people) > 1, F.transform(by_name, one)).otherwise(people)
 
 
 def merge_similar_people(
@@ -327,21 +350,16 @@ def dedup_by_role(people: Column | str) -> Column:
     """One entry per name and role with the last known contacts, sorted by name."""
     people = _col(people)
 
-    def folded(key: Column) -> Column:
-        def one(same: Column) -> Column:
-            return F.struct(
-                key["name"].alias("name"), key["role"].alias("role"),
-                _last(F.filter(F.transform(same, lambda p: p["email"]), lambda v: v.isNotNull())).alias("email"),
-                _last(F.filter(F.transform(same, lambda p: p["phone"]), lambda v: v.isNotNull())).alias("phone"),
-            )
-
-        same = F.filter(people, lambda p: (p["name"] == key["name"]) & (p["role"] == key["role"]))
-        return let(same, one)
+    def one(same: Column) -> Column:
+        first = F.get(same, F.lit(0))
+        return F.struct(
+            first["name"].alias("name"), first["role"].alias("role"),
+            _last(F.filter(F.transform(same, lambda p: p["email"]), lambda v: v.isNotNull())).alias("email"),
+            _last(F.filter(F.transform(same, lambda p: p["phone"]), lambda v: v.isNotNull())).alias("phone"),
+        )
 
-    keys = F.array_distinct(
-        F.transform(people, lambda p: F.struct(p["name"].alias("name"), p["role"].alias("role")))
-    )
-    entries = F.transform(keys, folded)
+    by_both = grouped(people, lambda p: F.struct(p["name"].alias("name"), p["role"].alias("role")))
+    entries = F.transform(by_both, one)
     # Equal names keep their order of appearance.
     placed = F.transform(
         entries, lambda p, i: F.struct(p["name"].alias("name"), i.alias("at"), p.alias("entry"))

@@ -56,6 +56,28 @@ def find_all(text: Column, pattern: str) -> Column:
     return marked_matches(mark(text, pattern))
 
 
+def grouped(items: Column, key) -> Column:
+    """The items of each key together, keys in the order in which they first appear.
+
+    One sort puts equal keys side by side; `key` gives a struct or value that can be sorted.
+    """
+    placed = F.transform(items, lambda x, i: F.struct(key(x).alias("key"), i.alias("at"), x.alias("item")))
+
+    def cut(ordered: Column) -> Column:
+        def first(i: Column) -> Column:
+            return (i == 0) | ~F.equal_null(F.get(ordered, i)["key"], F.get(ordered, i - 1)["key"])
+
+        def groups(begins: Column) -> Column:
+            together = F.transform(begins, lambda b, k: F.slice(
+                ordered, b + 1, F.coalesce(F.get(begins, k + 1), F.size(ordered)) - b))
+            first_at = F.transform(together, lambda g: F.struct(F.get(g, F.lit(0))["at"].alias("at"), g.alias("g")))
+            return F.transform(F.array_sort(first_at), lambda x: F.transform(x["g"], lambda y: y["item"]))
+
+        return let(F.filter(F.transform(ordered, lambda _, i: i), first), groups)
+
+    return let(F.array_sort(placed), cut)
+
+
 def let(value: Column, body) -> Column:
     """`body(value)` with `value` computed once, for use inside array functions."""
     return F.get(F.transform(F.array(value), body), F.lit(0))

@@ -53,10 +53,17 @@ def netloc_domain(url: Column | str) -> Column:
     return F.replace(authority(url), F.lit("www."), F.lit(""))
 
 
+def company_domain(website: Column | str) -> Column:
+    """`netloc_domain` of a company's site; '' where it has none but the placeholder."""
+    domain = netloc_domain(website)
+    return F.when(F.startswith(_col(website), F.lit(vocab.PLACEHOLDER_SITE)), F.lit("")).otherwise(domain)
+
+
 def decode_name(name: Column | str) -> Column:
-    """Percent-decoded name; `+` stays, a malformed name is kept whole."""
+    """Percent-decoded name; `+` stays, and so does a `%` that starts no escape."""
     name = _col(name)
-    return F.coalesce(F.try_url_decode(F.replace(name, F.lit("+"), F.lit("%2B"))), name)
+    escaped = F.regexp_replace(F.replace(name, F.lit("+"), F.lit("%2B")), "%(?![0-9A-Fa-f]{2})", "%25")
+    return F.coalesce(F.try_url_decode(escaped), name)
 
 
 def decode_name_partly(name: Column | str) -> Column:

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stewardry import vocab
-from stewardry.functions.urls import decode_name, netloc_domain
+from stewardry.functions.urls import company_domain, decode_name, netloc_domain
 from stewardry.operators.matching import domain_key
 
 
@@ -88,7 +88,7 @@ def company_people_summary(processed: DataFrame, companies: DataFrame) -> DataFr
     Pages are counted per domain first, so the join sees one row per domain however
     many pages a site has.
     """
-    owned = companies.select("id", "company_name", netloc_domain("website").alias("domain"))
+    owned = companies.select("id", "company_name", company_domain("website").alias("domain"))
     found = people_per_domain(processed).withColumnRenamed("domain", "_key")
     keyed = owned.withColumn("_key", domain_key("domain", "company_name"))
     return keyed.join(found, "_key", "left").select(

@@ -9,9 +9,7 @@ from stewardry.functions.html import clean_html
 from stewardry.functions.text import compact_lines
 from stewardry.functions.urls import authority
 from stewardry.operators.once import compute_once
-from stewardry.operators.spread import broadcast_if_few, spread_small
-
-PART_CHARS = 64 * 1024 * 1024
+from stewardry.operators.spread import spread_small
 
 
 def page_texts(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
@@ -23,37 +21,22 @@ def page_texts(pages: DataFrame, url: str = "url", html: str = "html") -> DataFr
     return texts.select("site", "url", "text")
 
 
-def large_sites(
-    pages: DataFrame, url: str = "url", html: str = "html", part_chars: int = PART_CHARS
-) -> DataFrame:
-    """`site, parts` of the sites with more than `part_chars` characters of markup."""
-    sizes = pages.groupBy(authority(url).alias("site")).agg(F.sum(F.length(html)).alias("_chars"))
-    return sizes.filter(F.col("_chars") > part_chars).select(
-        "site", F.ceil(F.col("_chars") / part_chars).alias("parts")
-    )
+def site_text(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """`site, url, text`: every page of a site as a row, sites together and pages in URL order.
+
+    One shape at any size: a site of a third of all pages is simply many rows, as the
+    range sort may cut anywhere. `joined_site_text` gives a site as one string.
+    """
+    return page_texts(pages, url, html).orderBy("site", "url")
 
 
-def site_text(
-    pages: DataFrame, url: str = "url", html: str = "html", part_chars: int = PART_CHARS
-) -> DataFrame:
-    """`site, part, n_pages, text`: a site's pages joined by blank lines, in URL order.
+def joined_site_text(pages: DataFrame, url: str = "url", html: str = "html") -> DataFrame:
+    """`site, n_pages, text`: a site's pages joined by blank lines, in URL order.
 
-    A site of up to `part_chars` characters of markup is one row (`part` 0). A larger
-    one is cut into as many parts as it needs, each page in exactly one of them, so that
-    no row and no task ever holds a whole large site. The large sites are counted first:
-    without any the texts are shuffled once, and a short list of them is broadcast.
+    The whole text of a site becomes one value, so this is for sites known to be small.
     """
-    texts = page_texts(pages, url, html)
-    large = large_sites(pages, url, html, part_chars)
-    n_large = large.count()
-    if n_large:
-        texts = texts.join(broadcast_if_few(large, n_large), "site", "left")
-        bucket = F.conv(F.substr(F.md5("url"), F.lit(1), F.lit(8)), 16, 10).cast("long")
-        texts = texts.withColumn("part", F.coalesce(bucket % F.col("parts"), F.lit(0)))
-    else:
-        texts = texts.withColumn("part", F.lit(0).cast("long"))
     ordered = F.sort_array(F.collect_list(F.struct("url", "text")))
-    return texts.groupBy("site", "part").agg(
+    return page_texts(pages, url, html).groupBy("site").agg(
         F.count(F.lit(1)).alias("n_pages"),
         F.array_join(F.transform(ordered, lambda p: p["text"]), "\n\n").alias("text"),
     )

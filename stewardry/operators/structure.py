@@ -64,8 +64,8 @@ def _labels(nodes: Column) -> Column:
     return F.transform(nodes, lambda n: F.struct(n["path"].alias("path"), n["type"].alias("type")))
 
 
-def json_nodes(json: Column | str, depth: int = 12) -> Column:
-    """`array<struct<path, type>>` of a document down to `depth` levels.
+def json_nodes(json: Column | str) -> Column:
+    """`array<struct<path, type>>` of a document, level by level to its last.
 
     Every object member gives its path and type; a list gives `list[type of its first
     item]` (`list[empty]` without one) and is entered at that item under the same path.
@@ -77,22 +77,23 @@ def json_nodes(json: Column | str, depth: int = 12) -> Column:
     )
     root = F.array(F.struct(F.lit("").alias("path"), _type_name(value).alias("type"), value.alias("value")))
     state = F.aggregate(
-        F.sequence(F.lit(1), F.lit(depth)),
+        # no document has more levels than opening brackets
+        F.sequence(F.lit(1), F.length(json) - F.length(F.translate(json, "{[", "")) + 1),
         F.struct(root.cast(_NODES).alias("level"), F.array().cast("array<struct<path:string,type:string>>").alias("all")),
-        lambda acc, _: let(
+        lambda acc, _: F.when(F.size(acc["level"]) == 0, acc).otherwise(let(
             F.flatten(F.transform(acc["level"], _children)),
             lambda below: F.struct(
                 below.alias("level"), F.concat(acc["all"], _labels(below)).alias("all")
             ),
-        ),
+        )),
         lambda acc: acc["all"],
     )
     return F.when(value.isNotNull(), state)
 
 
-def json_structure(docs: DataFrame, json: str, depth: int = 12) -> DataFrame:
+def json_structure(docs: DataFrame, json: str) -> DataFrame:
     """`path, type, n`: one scan, then one aggregate that combines before its shuffle."""
-    walked = compute_once(spread_small(docs.select(json)), _nodes=json_nodes(json, depth))
+    walked = compute_once(spread_small(docs.select(json)), _nodes=json_nodes(json))
     nodes = walked.select(F.explode("_nodes").alias("_node"))
     return nodes.groupBy(
         F.col("_node.path").alias("path"), F.col("_node.type").alias("type")

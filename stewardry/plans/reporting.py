@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stewardry.functions.urls import netloc_domain
+from stewardry.functions.urls import company_domain, netloc_domain
 from stewardry.operators.reports import company_people_summary, found_people, unique_people
 from stewardry.operators.spread import join_hot
 from stewardry.plans.extraction import process_pages
@@ -18,7 +18,7 @@ def company_people_table(processed: DataFrame, companies: DataFrame) -> DataFram
 
     Pages are joined before their people are unfolded, so that fewer rows move.
     """
-    owned = companies.select(F.col("id").alias("company_id"), netloc_domain("website").alias("_domain"))
+    owned = companies.select(F.col("id").alias("company_id"), company_domain("website").alias("_domain"))
     pages = processed.select(
         netloc_domain("url").alias("_domain"), F.col("url").alias("source_url"),
         F.col("title").alias("source_title"), F.concat("executives", "board_members").alias("_people"),

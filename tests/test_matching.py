@@ -87,6 +87,28 @@ def test_structure(spark):
     }
 
 
+def test_structure_to_the_last_level(spark):
+    deep = "".join(f'{{"k{i}": ' for i in range(40)) + "1" + "}" * 40
+    lists = "[" * 30 + "]" * 30
+    found = json_structure(spark.createDataFrame([(deep,), (lists,)], "doc string"), "doc").collect()
+    paths = {r["path"] for r in found}
+    assert ".".join(f"k{i}" for i in range(40)) in paths
+    assert {r["type"]: r["n"] for r in found if r["path"] == ""} == {"list[list]": 29, "list[empty]": 1}
+
+
+@pytest.mark.parametrize("mode", ["host", "contains"])
+def test_a_placeholder_is_no_site(spark, mode):
+    companies = spark.createDataFrame(
+        [(1, "http://placeholder/one", "One"), (2, "http://placeholder/two", "Two"), (3, "https://c.com", "Three")],
+        "id long, website string, company_name string")
+    objects = spark.createDataFrame(
+        [("https%3A%2F%2Fx.com%2Fimg%2Fplaceholder.json",), ("https%3A%2F%2Fc.com%2F100%.json",), ("http%3A%2F%2Fplaceholder%2Fone.json",)],
+        "object_name string")
+    assert [r["id"] for r in matching.pages_for_company(objects, companies, mode=mode).collect()] == [3]
+    gate = {r["id"]: r["skip_reason"] for r in matching.company_pages_gate(companies, files_per_domain(objects)).collect()}
+    assert gate == {1: "no website", 2: "no website", 3: None}
+
+
 @pytest.mark.parametrize("limit", [0, 100])
 def test_hot_keys_join_completely(spark, limit):
     from stewardry.operators.spread import join_hot

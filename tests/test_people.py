@@ -209,3 +209,28 @@ def test_very_long_runs_of_names(value):
     assert [(m["start"], len(m["text"])) for m in found] == [(4, len(run) - 1)]
     many = value(P.person_spans("s"), s="Ann Lee, " * 3_000)
     assert len(many) == 3_000 and many[-1]["start"] == 9 * 2_999
+
+
+def test_long_lists_take_linear_time(spark):
+    import time
+
+    def seconds(n):
+        rng = [f"{chr(65 + i % 26)}{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'uvwxyzaeio'[i // 100 % 10]}n" for i in range(n)]
+        text = ", ".join(f"{name} Smith Director" if i % 2 else f"{name} Moore CEO" for i, name in enumerate(rng))
+        df = spark.createDataFrame([([text],)], "s array<string>")
+        found = df.select(F.size(P.dedup_people(P.people_of_sections("s"))).alias("n"))
+        found.collect()
+        start = time.perf_counter()
+        found.collect()
+        return time.perf_counter() - start
+
+    small, large = seconds(1600), seconds(6400)
+    assert large < 10 * max(small, 0.3), (small, large)
+
+
+def test_nearest_roles_equal_the_nearest_role(spark):
+    text = "Vice President and Secretary Ann Lee CFO, Tom Moore Corporate Secretary President Ida Karl x Director Bob Ray"
+    df = spark.createDataFrame([(text,)], "s string").select(P.role_hits("s").alias("h"), P.person_spans("s").alias("p"))
+    one = F.transform("p", lambda p: P.nearest_role(F.col("h"), p["start"]))
+    row = df.select(one.alias("one"), F.transform(P.nearest_roles(F.col("h"), F.col("p")), lambda x: x["role"]).alias("all")).first()
+    assert row["one"] == row["all"] and len(row["all"]) == 4

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from stewardry.functions import spans, text
 from stewardry.functions.html import clean_html, decode_references
-from stewardry.operators.sites import site_text
+from stewardry.operators.sites import joined_site_text, site_text
 from stewardry.sources.pages import page_text
 
 
@@ -64,19 +64,22 @@ def test_offsets(value):
     assert value(spans.find_all(F.col("t"), "a"), t="aaba") [2]["start"] == 3
 
 
-def test_a_large_site_is_cut_into_parts_without_loss(spark):
+def test_sites_of_any_size_have_one_shape(spark):
     rows = [(f"https://big.com/{i:03d}", f"<p>page {i}</p>") for i in range(200)]
     rows += [("https://small.com/a", "one"), ("https://small.com/b", "two")]
     pages = spark.createDataFrame(rows, "url string, html string")
-    whole = {r["site"]: r for r in site_text(pages).collect()}
-    assert whole["small.com"]["text"] == "one\n\ntwo"
-    assert whole["big.com"]["text"].split("\n\n") == [f"page {i}" for i in range(200)]
-
-    cut = [r for r in site_text(pages, part_chars=600).collect() if r["site"] == "big.com"]
-    assert len(cut) > 3 and max(len(r["text"]) for r in cut) < 900
-    pieces = [p for r in cut for p in r["text"].split("\n\n")]
-    assert sorted(pieces) == sorted(f"page {i}" for i in range(200))
-    assert sum(r["n_pages"] for r in cut) == 200
+    got = [(r["site"], r["text"]) for r in site_text(pages).collect()]
+    assert got == [("big.com", f"page {i}") for i in range(200)] + [("small.com", "one"), ("small.com", "two")]
+    joined = {r["site"]: r for r in joined_site_text(pages).collect()}
+    assert joined["small.com"]["text"] == "one\n\ntwo" and joined["big.com"]["n_pages"] == 200
+
+
+@pytest.mark.parametrize(("source", "text"), [
+    ("<p>a</p><script>var x=1;", "a"), ("<p>a</p><style>p{}</style>b<STYLE>p{", "ab"), ("a<script>b</script>c", "ac"),
+    ("a<template>b</template>c", "ac"), ("a<template>b", "ab"),
+])
+def test_scripts_without_an_end(value, source, text):
+    assert value(clean_html("t"), t=source) == text
 
 
 def test_hostile_texts_do_not_break_the_matcher(value):
