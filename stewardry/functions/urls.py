@@ -72,9 +72,15 @@ def decode_name_partly(name: Column | str) -> Column:
     return F.replace(colons, F.lit("%2F"), F.lit("/"))
 
 
+def own_name(object_name: Column | str) -> Column:
+    """An object's name without the folders it lies in; a plain URL is left as it is."""
+    name = _col(object_name)
+    return F.when(F.contains(name, F.lit("://")), name).otherwise(F.element_at(F.split(name, "/"), -1))
+
+
 def page_url(object_name: Column | str) -> Column:
     """URL a page object is named after."""
-    return decode_name(F.replace(_col(object_name), F.lit(".json"), F.lit("")))
+    return decode_name(F.replace(own_name(object_name), F.lit(".json"), F.lit("")))
 
 
 def short_filename(object_name: Column | str) -> Column:

@@ -6,13 +6,13 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from stewardry import vocab
-from stewardry.functions.urls import company_domain, decode_name, netloc_domain
+from stewardry.functions.urls import company_domain, decode_name, netloc_domain, own_name
 from stewardry.operators.matching import domain_key
 
 
 def files_per_domain(objects: DataFrame) -> DataFrame:
     """`domain, n_files` over all objects that have a domain."""
-    domains = objects.select(netloc_domain(decode_name("object_name")).alias("domain"))
+    domains = objects.select(netloc_domain(decode_name(own_name("object_name"))).alias("domain"))
     return domains.filter(F.col("domain") != "").groupBy("domain").agg(
         F.count(F.lit(1)).alias("n_files")
     )

@@ -2,13 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+import re
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
+def name_below(folder: str, path: Column | str = "path") -> Column:
+    """An object's name: its path below the folder (its last part if the folder is a pattern)."""
+    path = F.col(path) if isinstance(path, str) else path
+    root = re.sub(r"^[A-Za-z][A-Za-z0-9+.-]*:(?://[^/]*)?", "", folder).rstrip("/") + "/"
+    at = F.locate(root, path)
+    return F.when(at > 0, F.substr(path, at + len(root))).otherwise(F.element_at(F.split(path, "/"), -1))
+
+
 def scan_objects(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame:
     """`object_name, length, modificationTime` of all files below a folder.
 
+    Names are paths below the folder, so that equal names in two folders stay apart.
+
     Spark's file sources pass over files of zero bytes, so these are not listed.
     """
     files = (
@@ -17,8 +29,7 @@ def scan_objects(spark: SparkSession, folder: str, glob: str = "*") -> DataFrame
         .option("pathGlobFilter", glob)
         .load(folder)
     )
-    name = F.element_at(F.split("path", "/"), -1)
-    return files.select(name.alias("object_name"), "length", "modificationTime")
+    return files.select(name_below(folder).alias("object_name"), "length", "modificationTime")
 
 
 def list_objects(listing: DataFrame, prefix: str = "") -> DataFrame:

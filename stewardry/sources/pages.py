@@ -10,6 +10,7 @@ from stewardry.functions.text import coalesce_company, coalesce_text, first_fill
 from stewardry.functions.urls import page_url
 from stewardry.operators.once import compute_once
 from stewardry.operators.spread import spread_small
+from stewardry.sources.objects import name_below
 
 # How a bare NaN token comes out of the JSON reader when a string is asked for.
 _BARE_NAN = '"NaN"'
@@ -30,7 +31,7 @@ def scan_page_files(spark: SparkSession, folder: str, glob: str = "*.json") -> D
         F.is_valid_utf8(F.col("content").cast("string")), F.col("content").cast("string")
     ).otherwise(F.decode("content", "ISO-8859-1"))
     return files.select(
-        F.element_at(F.split("path", "/"), -1).alias("source_file"), raw.alias("raw")
+        name_below(folder).alias("source_file"), raw.alias("raw")
     )
 
 

@@ -8,6 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from stewardry.operators.reports import found_people
 from stewardry.plans.extraction import process_pages
+from stewardry.sources.objects import name_below
 from stewardry.sources.pages import accepted_pages, decode_pages
 
 
@@ -23,8 +24,7 @@ def stream_page_files(spark: SparkSession, folder: str, max_files: int = 10_000)
     )
     text = F.col("content").cast("string")
     raw = F.when(F.is_valid_utf8(text), text).otherwise(F.decode("content", "ISO-8859-1"))
-    name = F.element_at(F.split("path", "/"), -1)
-    return files.select(name.alias("source_file"), raw.alias("raw"))
+    return files.select(name_below(folder).alias("source_file"), raw.alias("raw"))
 
 
 def ingest_new_pages(pages: DataFrame, output: str, checkpoint: str) -> StreamingQuery:

@@ -39,6 +39,7 @@ def test_scan_pages(spark, page_folder):
     assert first["source_file"] == quote("https://a.com/x y+z", safe="") + ".json"
     assert found["http://d.com/"]["body_text"] == "café"
     assert found["http://e.com/"]["body_text"] == "c"
+    assert found["http://e.com/"]["source_file"] == "sub/" + quote("http://e.com/", safe="") + ".json"
     assert found["http://f.com/"]["sections"] == '{"a":"x"}'
 
 
@@ -86,3 +87,12 @@ def test_local_management(spark, tmp_path):
     assert [tuple(m) for m in found["A/B Corp"]["local_officers"]] == [("A", "CEO"), ("5", "CFO")]
     for company, column in (("A/B Corp", "local_board_members"), ("Empty", "local_officers"), ("Empty", "local_board_members"), ("None", "local_officers")):
         assert found[company][column] is None
+
+
+def test_names_are_paths_below_the_folder(spark, tmp_path):
+    for name in ("sub1/a.json", "sub2/a.json", "b.json"):
+        _put(tmp_path, name, "{}")
+    for folder in (str(tmp_path), f"file://{tmp_path}/"):
+        listing = objects.scan_objects(spark, folder)
+        assert sorted(r["object_name"] for r in listing.collect()) == ["b.json", "sub1/a.json", "sub2/a.json"]
+        assert [r["object_name"] for r in objects.list_objects(listing, "sub1/").collect()] == ["sub1/a.json"]
