@@ -6,6 +6,8 @@ oracle start from the same rows. Only list and struct literals differ (`dialect`
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import DataFrame, SparkSession
 
 TABLES = (
@@ -23,7 +25,7 @@ LAST = (
 def spark_input(spark: SparkSession, sf_dir: str, sql: str) -> DataFrame:
     """The rows of a shared SQL text over the tables of a directory."""
     for name in TABLES:
-        if name in sql:
+        if re.search(rf"\b{name}\b", sql):
             spark.read.parquet(f"{sf_dir}/{name}.parquet").createOrReplaceTempView(name)
     return spark.sql(sql)
 

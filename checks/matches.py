@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks import inputs, sql
+from checks import expected, inputs, sql
 from checks.registered import query
-from stewardry import vocab
 from stewardry.operators import matching, people, responses
 from stewardry.operators.reports import files_per_domain
 
@@ -21,7 +20,7 @@ def _input(spark: SparkSession, sf_dir: str, text: str) -> DataFrame:
     return inputs.spark_input(spark, sf_dir, text)
 
 
-_ALLOWED = f"NOT {sql.any_of('object_name', vocab.EXCLUDED_BY_MATCHER)}"
+_ALLOWED = f"NOT {sql.any_of('object_name', expected.EXCLUDED_BY_MATCHER)}"
 
 
 @query(f"""
@@ -52,8 +51,8 @@ def company_file_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _OWNERS = f"SELECT id, company_name, website FROM ({inputs.registry('duck')})"
-_TITLES = ", ".join(f"({sql.quoted(t)})" for t in vocab.LEADING_TITLES)
-_PATTERN = f"title || '\\s+{vocab.NAME_AFTER_TITLE}'"
+_TITLES = ", ".join(f"({sql.quoted(t)})" for t in expected.LEADING_TITLES)
+_PATTERN = f"title || '\\s+{expected.NAME_AFTER_TITLE}'"
 _OFFICERS = f"""
 SELECT {sql.netloc('url')} AS domain, substr(m, length(title) + 2) AS name, title
 FROM (SELECT url, title, unnest(regexp_extract_all(trim(regexp_replace(body_text, '\\s+', ' ', 'g')), {_PATTERN})) AS m
@@ -106,7 +105,7 @@ def company_pages_gate(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 # --- model answers ----------------------------------------------------------
 
-_PROMPT = vocab.PROMPT_TEMPLATE.format(company="\x01", text="\x02")
+_PROMPT = expected.PROMPT_TEMPLATE.format(company="\x01", text="\x02")
 
 
 @query(f"SELECT doc_id, replace(replace({sql.quoted(_PROMPT)}, chr(1), source), chr(2), text) AS prompt FROM documents")
@@ -149,8 +148,8 @@ _REG = f"({inputs.registry('duck')})"
 
 def _key_positions(officers: str, board: str) -> str:
     return (
-        f"(len(list_filter({officers}, lambda m: lower(m.title) IN {sql.strings(vocab.CHIEF_TITLES)})) > 0"
-        f" AND len(list_filter({board}, lambda m: lower(m.title) IN {sql.strings(vocab.CHAIR_TITLES)})) > 0)"
+        f"(len(list_filter({officers}, lambda m: lower(m.title) IN {sql.strings(expected.CHIEF_TITLES)})) > 0"
+        f" AND len(list_filter({board}, lambda m: lower(m.title) IN {sql.strings(expected.CHAIR_TITLES)})) > 0)"
     )
 
 

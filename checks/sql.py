@@ -2,8 +2,7 @@
 
 from __future__ import annotations
 
-from checks import inputs
-from stewardry import vocab
+from checks import expected, inputs
 
 WS = r"[\s\x0b\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
 
@@ -77,16 +76,16 @@ def phrases(words: tuple[str, ...]) -> str:
 
 
 SECTION = "(?i)(?:" + "|".join(
-    (phrases(vocab.CONTACT_PHRASES), phrases(vocab.MANAGEMENT_PHRASES), phrases(vocab.ROLE_PHRASES))
+    (phrases(expected.CONTACT_PHRASES), phrases(expected.MANAGEMENT_PHRASES), phrases(expected.ROLE_PHRASES))
 ) + ")"
 
-EMAIL = vocab.EMAIL_PATTERN
-PHONE = vocab.PHONE_PATTERN.replace(r"\s", WS).replace("[" + WS + ".-]", r"[\s.\x{a0}-]")
+EMAIL = expected.EMAIL_PATTERN
+PHONE = expected.PHONE_PATTERN.replace(r"\s", WS).replace("[" + WS + ".-]", r"[\s.\x{a0}-]")
 
 
 def role_standard(role: str) -> str:
     cases = " ".join(
-        f"WHEN regexp_matches(trim({role}), '^(?:{p})$') THEN {quoted(s)}" for p, s in vocab.ROLE_STANDARDS
+        f"WHEN regexp_matches(trim({role}), '^(?:{p})$') THEN {quoted(s)}" for p, s in expected.ROLE_STANDARDS
     )
     return f"CASE {cases} ELSE {role} END"
 
@@ -104,13 +103,13 @@ def offsets(subject: str, pattern: str) -> str:
 
 
 def _masked(value: str) -> str:
-    for word in vocab.NOT_IN_NAMES:
+    for word in expected.NOT_IN_NAMES:
         value = rf"regexp_replace({value}, '\b{word}\b', '{'_' * len(word)}', 'g')"
     return value
 
 
 _NAME = r"[A-Z][A-Za-z''-]*[a-z]\b(?:[ \t]+[A-Z][A-Za-z''-]*[a-z]\b)+"
-_EXEC, _BOARD = strings(vocab.EXECUTIVE_ROLES), strings(vocab.BOARD_ROLES)
+_EXEC, _BOARD = strings(expected.EXECUTIVE_ROLES), strings(expected.BOARD_ROLES)
 
 
 def texts_cte(pages: str) -> str:
@@ -137,7 +136,7 @@ relevant AS (SELECT * FROM hit UNION ALL
 def people_cte() -> str:
     """From `relevant`: `spans`, `hits`, `found` (page_id, i, pos0, seq, name, role, email, phone)."""
     pats = ", ".join(
-        f"({n}, '(?i){p.replace(' ', WS + '+')}')" for n, p in enumerate(vocab.ROLE_PHRASES, 1)
+        f"({n}, '(?i){p.replace(' ', WS + '+')}')" for n, p in enumerate(expected.ROLE_PHRASES, 1)
     )
     return f"""
 spans AS (SELECT page_id, i, s, o.at AS pos0, substr(s, o.at + 1, length(o.m)) AS name
@@ -182,23 +181,23 @@ merged AS (SELECT page_id, unnest(l) AS p, generate_subscripts(l, 1) AS pos FROM
 
 
 def valid(name: str) -> str:
-    return f"(NOT {any_of(name, vocab.NON_PERSON_WORDS)} AND length({name}) >= 3)"
+    return f"(NOT {any_of(name, expected.NON_PERSON_WORDS)} AND length({name}) >= 3)"
 
 
 def listed(role: str, url: str, which: str) -> str:
     """True where a person is on the list `executive` or `board`."""
-    executive, board = any_of(url, vocab.EXECUTIVE_PAGE_WORDS), any_of(url, vocab.BOARD_PAGE_WORDS)
+    executive, board = any_of(url, expected.EXECUTIVE_PAGE_WORDS), any_of(url, expected.BOARD_PAGE_WORDS)
     if which == "executive":
         return f"CASE WHEN {executive} AND NOT {board} THEN true WHEN {board} AND NOT {executive} THEN false ELSE {role} IN {_EXEC} END"
     return (
         f"CASE WHEN {board} AND NOT {executive} THEN true WHEN {executive} AND NOT {board} THEN false"
-        f" ELSE ({role} IN {_BOARD} OR {role} = {quoted(vocab.CHIEF_EXECUTIVE)}) END"
+        f" ELSE ({role} IN {_BOARD} OR {role} = {quoted(expected.CHIEF_EXECUTIVE)}) END"
     )
 
 
 def processed_ctes(pages: str = inputs.COMPANY_PAGES) -> str:
     """Everything from pages to `final` (page_id, url, list, pos, name, role, email, phone)."""
-    gate = any_of("url", vocab.EXCLUDED_BY_READER)
+    gate = any_of("url", expected.EXCLUDED_BY_READER)
     return f"""{texts_cte(pages)},{sections_cte(gate=gate)},{people_cte()},
 deduped AS ({dedup_select('found')}),{merged_cte('deduped')},
 good AS (SELECT m.page_id, t.url, m.pos, m.p.name AS name, m.p.role AS role, m.p.email AS email, m.p.phone AS phone

@@ -5,9 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks import inputs, sql
+from checks import expected, inputs, sql
 from checks.registered import query
-from stewardry import vocab
 from stewardry.functions import people as P
 from stewardry.functions import text as X
 from stewardry.functions.html import clean_html as clean
@@ -75,7 +74,7 @@ def coalesce_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
 _KEYWORD_TEXT = "SELECT doc_id, text || CASE WHEN doc_id % 3 = 0 THEN ' The CHIEF left' ELSE '' END AS text FROM documents"
 
 
-@query(f"SELECT doc_id FROM ({_KEYWORD_TEXT}) WHERE {sql.any_of('text', vocab.PAGE_KEYWORDS)}")
+@query(f"SELECT doc_id FROM ({_KEYWORD_TEXT}) WHERE {sql.any_of('text', expected.PAGE_KEYWORDS)}")
 def management_keyword_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return inputs.spark_input(spark, sf_dir, _KEYWORD_TEXT).filter(X.has_page_keyword("text")).select("doc_id")
 
@@ -239,8 +238,8 @@ def process_page_by_role(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _titled_oracle() -> str:
     collapsed = f"trim(regexp_replace(body_text, '{sql.WS}+', ' ', 'g'))"
-    titles = ", ".join(f"({sql.quoted(t)})" for t in vocab.LEADING_TITLES)
-    pattern = f"title || '\\s+{vocab.NAME_AFTER_TITLE}'"
+    titles = ", ".join(f"({sql.quoted(t)})" for t in expected.LEADING_TITLES)
+    pattern = f"title || '\\s+{expected.NAME_AFTER_TITLE}'"
     return f"""
 WITH clean AS (SELECT p_partkey, url, {collapsed} AS t FROM ({inputs.TITLED_TEXT})),
 hit AS (SELECT p_partkey, url, t, title, unnest({sql.offsets('t', pattern)}) AS o FROM clean, (VALUES {titles}) AS x(title))

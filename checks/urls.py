@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from checks import inputs, sql
+from checks import expected, inputs, sql
 from checks.registered import query
 from stewardry import vocab
 from stewardry.functions import urls
@@ -162,12 +162,12 @@ _per_row("company_file_key", inputs.COMPANIES, "company_name", "replace(replace(
          lambda: urls.company_file_key("company_name"))
 
 _ALL_URLS = "SELECT page_id, url FROM (" + inputs.COMPANY_PAGES + ")"
-_per_row("is_excluded_url_matcher", inputs.LISTING, "page_id", sql.any_of("url", vocab.EXCLUDED_BY_MATCHER),
+_per_row("is_excluded_url_matcher", inputs.LISTING, "page_id", sql.any_of("url", expected.EXCLUDED_BY_MATCHER),
          lambda: urls.is_excluded("url", vocab.EXCLUDED_BY_MATCHER))
-_per_row("is_excluded_url", _ALL_URLS, "page_id", sql.any_of("url", vocab.EXCLUDED_BY_READER), lambda: urls.is_excluded("url"))
-_per_row("is_executive_page", _ALL_URLS, "page_id", sql.any_of("url", vocab.EXECUTIVE_PAGE_WORDS),
+_per_row("is_excluded_url", _ALL_URLS, "page_id", sql.any_of("url", expected.EXCLUDED_BY_READER), lambda: urls.is_excluded("url"))
+_per_row("is_executive_page", _ALL_URLS, "page_id", sql.any_of("url", expected.EXECUTIVE_PAGE_WORDS),
          lambda: urls.is_executive_page("url"))
-_per_row("is_board_page", _ALL_URLS, "page_id", sql.any_of("url", vocab.BOARD_PAGE_WORDS), lambda: urls.is_board_page("url"))
+_per_row("is_board_page", _ALL_URLS, "page_id", sql.any_of("url", expected.BOARD_PAGE_WORDS), lambda: urls.is_board_page("url"))
 
 
 # pages with links of every kind put into their navigation
@@ -184,7 +184,7 @@ WITH linked AS (SELECT *, regexp_extract(url, '^([^?#]*)', 1) AS no_query, regex
                        regexp_extract(url, '^(.*/)', 1) AS folder FROM ({_LINKED})),
 nav AS (SELECT page_id, url, root, root || h AS link
         FROM (SELECT page_id, url, root, unnest(regexp_extract_all(html, '<a href="(/[^"]*)">', 1)) AS h FROM linked)
-        WHERE {sql.any_of('h', vocab.LINK_WORDS)}),
+        WHERE {sql.any_of('h', expected.LINK_WORDS)}),
 added AS (SELECT page_id, url, root, unnest([
               CASE WHEN length(regexp_extract(no_query, '^[a-z]+://[^/]+(.*)$', 1)) - length(replace(regexp_extract(no_query, '^[a-z]+://[^/]+(.*)$', 1), '/', '')) > 2
                    THEN regexp_extract(regexp_extract(folder, '^(.*)/$', 1), '^(.*/)', 1) || 'about/?p=1'
