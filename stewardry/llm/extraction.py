@@ -25,6 +25,9 @@ from stewardry.llm.markup import Page, blocks, parsed
 #: A subtree is template on at least so many pages of the host and on this share of them.
 LEAST_PAGES, LEAST_SHARE = 4, 0.2
 
+#: Tasks that the pages of one host may be dealt over.
+SALTS = 64
+
 _SPACE = re.compile(r"\s+")
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = np.uint64(pow(_BASE, -1, 1 << 64))
@@ -104,7 +107,11 @@ def main_text(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: flo
     host count as one site. Repeated rows each give theirs; other columns do not matter.
     """
     templates = template_subtrees(pages, least_pages, least_share)
-    given = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host")).join(templates, "host", "left")
+    # a host's pages are dealt over SALTS tasks; its short list of templates is there for each
+    salt = F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")
+    sited = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"), salt.alias("salt"))
+    salted = templates.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    given = sited.join(salted, ["host", "salt"], "left")
 
     def extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         sets: dict[int, set[int]] = {}
