@@ -29,6 +29,8 @@ from stewardry.session import written
 
 LEAST = 0.9
 TABLES, HASHES, SEED = 20, 3, 41
+#: Tables that give the first edges; the others add edges between groups only.
+FIRST_TABLES = 5
 
 
 def hadamard(x: np.ndarray) -> np.ndarray:
@@ -94,13 +96,13 @@ def _units(table: pa.Table | pa.RecordBatch, name: str = "vector") -> tuple[np.n
 
 def _edges(rows: pa.Table) -> list[np.ndarray]:
     """Confirmed edges that connect what is linked in one pair of blocks of a bucket."""
-    nodes, own, dims = (rows.column(c).to_numpy() for c in ("node", "_own", "dim"))
+    nodes, own, dims, families = (rows.column(c).to_numpy() for c in ("node", "_own", "dim", "family"))
     across = rows.column("_i")[0].as_py() != rows.column("_j")[0].as_py()
     out = []
     for dim in np.unique(dims):
         at = np.flatnonzero(dims == dim)
         x, norms = _units(rows.take(pa.array(at)))
-        joined = Unions(len(at))
+        joined = Unions(len(at), families[at])
         for a in range(len(at) - 1):
             rest = np.flatnonzero(joined.label[a + 1:] != joined.label[a]) + a + 1
             if across:
@@ -139,6 +141,22 @@ def _confirmed(pairs: DataFrame) -> DataFrame:
     return pairs.select("a", "b", "dim", "v_a", "v_b").mapInArrow(of, "a long, b long")
 
 
+def confirmed_edges(classes: DataFrame, keys: DataFrame, families: DataFrame | None, first: int, end: int, block: int) -> DataFrame:
+    """Written edges a, b from the buckets of some tables, between classes of different families."""
+    each = HASHES + 1
+    members = keys.select("node", F.explode(F.slice("keys", first * each + 1, (end - first) * each)).alias("key")).distinct()
+    if families is None:
+        members = members.withColumn("family", F.col("node"))
+    else:
+        members = members.join(families, "node", "left").withColumn("family", F.coalesce("family", "node"))
+    pairs, larger = shared_buckets(members, ["key"], "buckets")
+    side = lambda k: classes.select(F.col("node").alias(k), "dim", F.col("vector").alias(f"v_{k}"))
+    edges = _confirmed(pairs.join(side("a"), "a").join(side("b"), ["b", "dim"]))
+    larger = written(larger.join(classes.select("node", "dim", "vector"), "node"), "members")
+    inside = map_groups(in_block_pairs(larger, ["key"], "node", block), ["key", "_i", "_j"], ["node"], _edges, "a long, b long")
+    return written(edges.union(inside).distinct(), "edges")
+
+
 def near_vectors(vectors: DataFrame, block: int = BLOCK) -> DataFrame:
     """Per vector: vec_id, n_links, component_id, kept.
 
@@ -149,13 +167,11 @@ def near_vectors(vectors: DataFrame, block: int = BLOCK) -> DataFrame:
     clean = written(clean_vectors(vectors, "vec_id", "embedding", zero=False), "vectors")
     classes = written(
         clean.where("vector IS NOT NULL").groupBy("dim", "vector").agg(F.min("node").alias("node"), F.count("*").alias("copies")), "classes")
-    members = _keys_of(classes).select("node", F.col("node").alias("family"), F.explode("keys").alias("key")).distinct()
-    pairs, larger = shared_buckets(members, ["key"], "buckets")
-    side = lambda k: classes.select(F.col("node").alias(k), "dim", F.col("vector").alias(f"v_{k}"))
-    edges = _confirmed(pairs.join(side("a"), "a").join(side("b"), ["b", "dim"]))
-    larger = written(larger.join(classes.select("node", "dim", "vector"), "node"), "members")
-    edges = edges.union(map_groups(in_block_pairs(larger, ["key"], "node", block), ["key", "_i", "_j"], ["node"], _edges, "a long, b long"))
-    labels = components(written(edges.distinct(), "edges"))
+    keys = written(_keys_of(classes), "keys")
+    edges = confirmed_edges(classes, keys, None, 0, FIRST_TABLES, block)
+    families = components(edges).withColumnRenamed("component", "family")
+    edges = edges.union(confirmed_edges(classes, keys, families, FIRST_TABLES, TABLES, block))
+    labels = components(edges)
 
     grouped = in_block_pairs(written(labels.join(classes, "node"), "groups"), ["component"], "node", block)
     linked = map_groups(grouped, ["component", "_i", "_j"], ["node"], _links, "node long, links long")
