@@ -50,7 +50,7 @@ def test_netloc_domain_of_null(value):
     ("https%3A%2F%2Fa.com%2Fb.json", "https://a.com/b"),
     ("a+b%2Bc.json", "a+b+c"),
     ("100%25.json", "100%"),
-    ("bad%zz%20x.json", "bad%zz%20x"),
+    ("bad%zz%20x.json", "bad%zz x"),
     ("caf%C3%A9.json", "café"),
 ])
 def test_page_url(value, name, expected):
