@@ -22,8 +22,8 @@ def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near-duplicates."""
-    return neardup.first_of_each(docs)
+    """One document of each group of near-duplicates: of runs of five words, 80 % shared."""
+    return neardup.first_of_each(docs, shingle=5, shared=80)
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -1,6 +1,6 @@
 """Near-duplicates by one-permutation MinHash.
 
-A text's set holds the hashes of its distinct runs of three words. One permutation deals
+A text's set holds the hashes of its distinct runs of some words, three unless told otherwise. One permutation deals
 the set to BINS bins and keeps the least hash of each; an empty bin borrows from a bin
 that a hash of (bin, attempt) names, attempt after attempt, until it meets one that was
 filled (optimal densification). Runs of bins make bands, and texts that share a band's
@@ -20,30 +20,31 @@ from stewardry.llm.hashing import WORDS, TokenHasher, mixed
 SHINGLE = 3
 BINS, ROWS = 128, 4
 BANDS = BINS // ROWS
-#: Links need `SHARED * union <= 100 * intersection`.
+#: Links need `SHARED * union <= 100 * intersection`, unless told otherwise.
 SHARED = 85
 
-_FACTORS = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB], np.uint64)
+_FACTORS = np.array([0xD6E8FEB86659FD93, 0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3], np.uint64)
 
 
-def shingle_sets(hashes: np.ndarray, begins: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def shingle_sets(hashes: np.ndarray, begins: np.ndarray, shingle: int = SHINGLE) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct shingle hashes of each text, one after another, and where each begins.
 
-    Texts of fewer than three words have one shingle, the whole sequence.
+    Texts of fewer than `shingle` words (5 at most) have one shingle, the whole sequence.
     """
     words = np.diff(begins)
     text = np.repeat(np.arange(len(words)), words)
     n = len(hashes)
     whole = np.zeros(0, np.int64)
-    if n >= SHINGLE:
-        whole = np.flatnonzero(text[:n - SHINGLE + 1] == text[SHINGLE - 1:])
-    values = sum((hashes[whole + j] * _FACTORS[j] for j in range(SHINGLE)), np.zeros(len(whole), np.uint64))
+    if n >= shingle:
+        whole = np.flatnonzero(text[:n - shingle + 1] == text[shingle - 1:])
+    values = sum((hashes[whole + j] * _FACTORS[j] for j in range(shingle)), np.zeros(len(whole), np.uint64))
     owner = text[whole]
-    few = np.flatnonzero((words > 0) & (words < SHINGLE))
+    few = np.flatnonzero((words > 0) & (words < shingle))
     if len(few):
-        at = begins[few]
-        second = np.where(words[few] > 1, hashes[np.minimum(at + 1, n - 1)], np.uint64(0))
-        short = hashes[at] * _FACTORS[0] + second * _FACTORS[1] + words[few].astype(np.uint64)
+        short = words[few].astype(np.uint64)
+        for j in range(shingle - 1):
+            nth = np.where(words[few] > j, hashes[np.minimum(begins[few] + j, n - 1)], np.uint64(0))
+            short = short + nth * _FACTORS[j]
         values, owner = np.concatenate([values, short]), np.concatenate([owner, few])
     values = mixed(values)
     order = np.lexsort((values, owner))

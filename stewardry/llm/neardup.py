@@ -18,6 +18,7 @@ task holds more than two blocks.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import partial
 
 import numpy as np
 import pyarrow as pa
@@ -29,7 +30,7 @@ from stewardry.llm.columns import set_aside
 from stewardry.llm.components import Unions, components
 from stewardry.llm.groups import map_groups
 from stewardry.llm.hashing import WORDS, TokenHasher, mixed
-from stewardry.llm.minhash import BANDS, BINS, SHARED, band_values, shingle_sets, signatures
+from stewardry.llm.minhash import BANDS, BINS, SHARED, SHINGLE, band_values, shingle_sets, signatures
 from stewardry.session import written
 
 #: Bands that give the first candidates; the others add edges between families only.
@@ -40,14 +41,14 @@ DEVIATIONS = 4.5
 FEATURES = "doc_id long, n_shingles long, set_a long, set_b long, bands array<long>, sketch binary"
 
 
-def features(docs: DataFrame) -> DataFrame:
+def features(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
     """Per document: its number of shingles, a 128-bit name of its set, bands and sketch."""
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = TokenHasher(WORDS)
         for batch in batches:
             ids = batch.column(0)
             for lo, hi, hashes, begins in hasher.of_texts(batch.column(1)):
-                values, at = shingle_sets(hashes, begins)
+                values, at = shingle_sets(hashes, begins, shingle)
                 signature = signatures(values, at)
                 sums = np.zeros((2, len(values) + 1), np.uint64)
                 np.cumsum(values, out=sums[0][1:])
@@ -64,9 +65,9 @@ def features(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(of, FEATURES)
 
 
-def least_alike(sizes: np.ndarray) -> np.ndarray:
+def least_alike(sizes: np.ndarray, shared: int = SHARED) -> np.ndarray:
     """How many of BINS sketch bytes must agree for a set of each size to be looked at."""
-    wanted = SHARED / 100
+    wanted = shared / 100
     bins = np.clip(BINS * (1 - np.exp(-sizes / BINS)), 1, BINS)  # filled ones
     return np.floor(BINS * (wanted - DEVIATIONS * np.sqrt(wanted * (1 - wanted) / bins)))
 
@@ -79,36 +80,36 @@ def _binary(table: pa.Table, name: str) -> list[bytes]:
     return table.column(name).to_pylist()
 
 
-def star_edges(rows: pa.Table) -> list[np.ndarray]:
+def star_edges(rows: pa.Table, shared: int = SHARED) -> list[np.ndarray]:
     """Edges that connect what is alike in one pair of blocks: at most one per class but one."""
     nodes, own, sizes = _longs(rows, "node"), _longs(rows, "_own"), _longs(rows, "n_shingles")
     sketches = np.frombuffer(b"".join(_binary(rows, "sketch")), np.uint8).reshape(len(rows), BINS)
     across = _longs(rows, "_i")[0] != _longs(rows, "_j")[0]
     joined, out = Unions(len(rows), _longs(rows, "family")), []
     for a in range(len(rows) - 1):
-        rest = _to_look_at(a, sizes, joined.label, own if across else None)
+        rest = _to_look_at(a, sizes, joined.label, own if across else None, shared)
         if len(rest):
-            for b in rest[_alike(sketches[rest], sketches[a], sizes[rest], sizes[a])]:
+            for b in rest[_alike(sketches[rest], sketches[a], sizes[rest], sizes[a], shared)]:
                 if joined.merge(a, b):
                     out.append((nodes[a], nodes[b]))
     return list(np.array(out, np.int64).reshape(-1, 2).T)
 
 
-def _to_look_at(a: int, sizes: np.ndarray, label: np.ndarray, own: np.ndarray | None) -> np.ndarray:
+def _to_look_at(a: int, sizes: np.ndarray, label: np.ndarray, own: np.ndarray | None, shared: int) -> np.ndarray:
     """Rows after `a` that are not joined to it, and whose size does not rule a link out."""
     ok = label[a + 1:] != label[a]
     rest = sizes[a + 1:]
-    ok &= 100 * np.minimum(rest, sizes[a]) >= SHARED * np.maximum(rest, sizes[a])
+    ok &= 100 * np.minimum(rest, sizes[a]) >= shared * np.maximum(rest, sizes[a])
     if own is not None:
         ok &= own[a + 1:] != own[a]
     return np.flatnonzero(ok) + a + 1
 
 
-def _alike(sketches: np.ndarray, sketch: np.ndarray, sizes: np.ndarray, size: np.ndarray) -> np.ndarray:
-    return (sketches == sketch).sum(1) >= least_alike(np.minimum(sizes, size))
+def _alike(sketches: np.ndarray, sketch: np.ndarray, sizes: np.ndarray, size: np.ndarray, shared: int) -> np.ndarray:
+    return (sketches == sketch).sum(1) >= least_alike(np.minimum(sizes, size), shared)
 
 
-def confirmed_links(rows: pa.Table) -> list[np.ndarray]:
+def confirmed_links(rows: pa.Table, shared: int = SHARED) -> list[np.ndarray]:
     """Confirmed links that connect what is linked in one pair of blocks of a family."""
     nodes, own = _longs(rows, "node"), _longs(rows, "_own")
     sets = [np.frombuffer(s, np.uint64) for s in _binary(rows, "shingles")]
@@ -121,40 +122,40 @@ def confirmed_links(rows: pa.Table) -> list[np.ndarray]:
     flags = np.zeros(int(dense.max(initial=0)) + 1, bool)
     joined, out = Unions(len(rows)), []
     for a in range(len(rows) - 1):
-        rest = _to_look_at(a, sizes, joined.label, own if across else None)
+        rest = _to_look_at(a, sizes, joined.label, own if across else None, shared)
         if not len(rest):
             continue
         mine = dense[ends[a] - sizes[a]:ends[a]]
         flags[mine] = True
-        for b in rest[_alike(sketches[rest], sketches[a], sizes[rest], sizes[a])]:
+        for b in rest[_alike(sketches[rest], sketches[a], sizes[rest], sizes[a], shared)]:
             if joined.label[a] != joined.label[b]:
                 common = int(np.count_nonzero(flags[dense[ends[b] - sizes[b]:ends[b]]]))
-                if 100 * common >= SHARED * (sizes[a] + sizes[b] - common) and joined.merge(a, b):
+                if 100 * common >= shared * (sizes[a] + sizes[b] - common) and joined.merge(a, b):
                     out.append((nodes[a], nodes[b]))
         flags[mine] = False
     return list(np.array(out, np.int64).reshape(-1, 2).T)
 
 
-def alike_pairs(pairs: DataFrame) -> DataFrame:
+def alike_pairs(pairs: DataFrame, shared: int = SHARED) -> DataFrame:
     """The rows a, b of `pairs` (a, n_a, s_a, b, n_b, s_b) whose sketches are alike."""
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             n = [batch.column(k).to_numpy() for k in ("n_a", "n_b")]
             s = [np.frombuffer(b"".join(batch.column(k).to_pylist()), np.uint8).reshape(-1, BINS) for k in ("s_a", "s_b")]
-            ok = 100 * np.minimum(*n) >= SHARED * np.maximum(*n)
-            ok &= (s[0] == s[1]).sum(1) >= least_alike(np.minimum(*n))
+            ok = 100 * np.minimum(*n) >= shared * np.maximum(*n)
+            ok &= (s[0] == s[1]).sum(1) >= least_alike(np.minimum(*n), shared)
             yield batch.select(["a", "b"]).filter(pa.array(ok))
 
     return pairs.select("a", "n_a", "s_a", "b", "n_b", "s_b").mapInArrow(of, "a long, b long")
 
 
-def _sets_of(docs: DataFrame) -> DataFrame:
+def _sets_of(docs: DataFrame, shingle: int) -> DataFrame:
     """node, family, shingles: the set of each text as bytes."""
     def of(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = TokenHasher(WORDS)
         for batch in batches:
             for lo, hi, hashes, begins in hasher.of_texts(batch.column(2)):
-                values, at = shingle_sets(hashes, begins)
+                values, at = shingle_sets(hashes, begins, shingle)
                 yield pa.RecordBatch.from_arrays([
                     batch.column(0).slice(lo, hi - lo), batch.column(1).slice(lo, hi - lo),
                     pa.array([values[at[i]:at[i + 1]].tobytes() for i in range(hi - lo)], pa.binary()),
@@ -163,7 +164,7 @@ def _sets_of(docs: DataFrame) -> DataFrame:
     return docs.select("node", "family", "text").mapInArrow(of, "node long, family long, shingles binary")
 
 
-def candidate_edges(classes: DataFrame, families: DataFrame | None, first: int, end: int, block: int) -> DataFrame:
+def candidate_edges(classes: DataFrame, families: DataFrame | None, first: int, end: int, block: int, shared: int = SHARED) -> DataFrame:
     """Written edges a, b of the buckets of some bands, between classes of different families."""
     bands = classes.select("node", F.posexplode(F.slice("bands", first + 1, end - first)).alias("band", "value"))
     if families is None:
@@ -173,37 +174,38 @@ def candidate_edges(classes: DataFrame, families: DataFrame | None, first: int,
     pairs, larger = shared_buckets(bands, ["band", "value"], "buckets")
     sketched = classes.select("node", "n_shingles", "sketch")
     side = lambda k: sketched.toDF(k, f"n_{k}", f"s_{k}")
-    edges = alike_pairs(pairs.join(side("a"), "a").join(side("b"), "b"))
+    edges = alike_pairs(pairs.join(side("a"), "a").join(side("b"), "b"), shared)
     members = in_block_pairs(written(larger.join(sketched, "node"), "members"), ["band", "value"], "node", block)
-    edges = edges.union(map_groups(members, ["band", "value", "_i", "_j"], ["node"], star_edges, "a long, b long"))
+    edges = edges.union(map_groups(members, ["band", "value", "_i", "_j"], ["node"], partial(star_edges, shared=shared), "a long, b long"))
     return written(edges.distinct(), "candidates")
 
 
-def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
+def near_duplicates(docs: DataFrame, block: int = BLOCK, shingle: int = SHINGLE, shared: int = SHARED) -> DataFrame:
     """Per document: doc_id, n_shingles, component_id, kept.
 
-    Texts link where 100 * shared shingles >= 85 * shingles of both. `component_id` is the
+    Texts link where 100 * shared shingles >= `shared` * shingles of both, a shingle being
+    `shingle` words; op8's contract is 3 and 85. `component_id` is the
     smallest doc_id that links lead to, `kept` whether that is the row's own. A null or
     blank text links with nothing. Rows that repeat an id with one text stay together. A
     row without an id is a component of its own with a null id unless its text links it.
     Empty inputs give no rows; other columns do not matter.
     """
-    found = written(features(docs), "shingled")
+    found = written(features(docs, shingle), "shingled")
     name = ["n_shingles", "set_a", "set_b"]
     classes = found.where("n_shingles > 0 AND doc_id IS NOT NULL").groupBy(*name).agg(
         F.min("doc_id").alias("node"), F.min_by(F.struct("bands", "sketch"), "doc_id").alias("sketches"))
     classes = written(classes.select("node", *name, "sketches.*"), "classes")
 
-    edges = candidate_edges(classes, None, 0, FIRST_BANDS, block)
+    edges = candidate_edges(classes, None, 0, FIRST_BANDS, block, shared)
     families = components(edges).withColumnRenamed("component", "family")
-    edges = edges.union(candidate_edges(classes, families, FIRST_BANDS, BANDS, block))
+    edges = edges.union(candidate_edges(classes, families, FIRST_BANDS, BANDS, block, shared))
     families = components(edges).withColumnRenamed("component", "family")
 
     # a text that stands for its class; a repeated id with several texts has several classes
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(families, "node")
-    sets = written(_sets_of(texts).distinct(), "sets")
+    sets = written(_sets_of(texts, shingle).distinct(), "sets")
     pairs = in_block_pairs(sets, ["family"], "node", block)
-    links = written(map_groups(pairs, ["family", "_i", "_j"], ["node"], confirmed_links, "a long, b long"), "links")
+    links = written(map_groups(pairs, ["family", "_i", "_j"], ["node"], partial(confirmed_links, shared=shared), "a long, b long"), "links")
     labels = components(links)
 
     of_class = classes.select("node", *name).join(labels, "node", "left").select(
@@ -213,8 +215,8 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK) -> DataFrame:
     return rows.select("doc_id", "n_shingles", component.alias("component_id"), F.equal_null(component, F.col("doc_id")).alias("kept"))
 
 
-def first_of_each(docs: DataFrame) -> DataFrame:
+def first_of_each(docs: DataFrame, shingle: int = SHINGLE, shared: int = SHARED) -> DataFrame:
     """The documents that stand for their components, columns as they came."""
     rows, restored = set_aside(docs, ("doc_id", "text"))
-    kept = near_duplicates(rows).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
+    kept = near_duplicates(rows, shingle=shingle, shared=shared).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
     return restored(rows.join(kept, F.equal_null(F.col("doc_id"), F.col("_kept")), "left_semi"))

@@ -46,7 +46,7 @@ def op7_embedding_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_minhash_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return neardup.near_duplicates(_table(spark, sf_dir, "documents"))
+    return neardup.near_duplicates(_table(spark, sf_dir, "documents"), shingle=3, shared=85)
 
 
 def op9_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

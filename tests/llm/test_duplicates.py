@@ -8,6 +8,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from stewardry.llm import extraction, markup, neardup, topk, vectordup
 from stewardry.llm.minhash import SHARED
 
@@ -209,3 +210,46 @@ def test_pages_against_their_articles(spark):
         inner = re.search(r"<article>(.*?)(?:</article>|<footer)", r["html"], re.S)[1]
         parts = (" ".join(html.unescape(re.sub(r"<[^>]*>", "", p)).split()) for p in re.split(r"</?(?:p|h1)>", inner))
         assert got[r["page_id"]] == "\n".join(p for p in parts if p)
+
+
+def runs_of(text, size):
+    words = text.lower().split()
+    return {tuple(words)} if 0 < len(words) < size else {tuple(words[i:i + size]) for i in range(len(words) - size + 1)}
+
+
+def brute_components(rows, size, shared):
+    sets = {i: runs_of(t, size) for i, t in rows}
+    return components_of(
+        [i for i, _ in rows],
+        lambda a, b: bool(sets[a] & sets[b]) and 100 * len(sets[a] & sets[b]) >= shared * len(sets[a] | sets[b]))
+
+
+def test_the_stage_takes_five_words_and_four_fifths(spark):
+    rng = np.random.default_rng(8)
+    word = lambda: f"w{rng.integers(0, 10**9)}"
+    out = []
+    for _ in range(8):
+        base = [word() for _ in range(100)]
+        out += [" ".join(base), " ".join([*base, *(word() for _ in range(20))])]  # linked on five words at 0.80 alone
+        edited = [word() for _ in range(100)]
+        out.append(" ".join(edited))
+        edited = list(edited)
+        for at in (50, 98):
+            edited[at] = word()
+        out.append(" ".join(edited))  # three words: 93 / 103
+        scattered = [word() for _ in range(160)]
+        out.append(" ".join(scattered))
+        scattered = list(scattered)
+        for at in (30, 70, 110, 140):
+            scattered[at] = word()
+        out.append(" ".join(scattered))  # three words: 146 / 170 >= 0.85; five: 136 / 176 < 0.80
+    out += ["a b c d", "A b  c d", "a b c", "b a c d", "a", "a b c d e", "a b c d e f"]
+    rows = list(enumerate(out))
+    docs = spark.createDataFrame([(i, t, "en", "x", 1, "n") for i, t in rows], SCHEMA)
+    for size, shared in ((5, 80), (3, 85)):
+        want = brute_components(rows, size, shared)
+        got = {r["doc_id"]: r["component_id"] for r in neardup.near_duplicates(docs, shingle=size, shared=shared).collect()}
+        assert got == want
+    stage = brute_components(rows, 5, 80)
+    assert stage != brute_components(rows, 3, 85) and stage[1] == 0 and stage[5] == 5
+    assert {r["doc_id"] for r in corpus_pipeline.distinct(spark, docs, "").collect()} == set(stage.values())
