@@ -14,7 +14,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from stewardry.llm import hashing, langid, mixing, packing, quality, scoring, sharding
+from stewardry.llm import hashing, langid, mixing, packing, quality, registered, scoring, sharding
 from stewardry.llm.tokens import WordIds
 
 SF = "/root/testdata/sf0.001"
@@ -367,3 +367,26 @@ def test_scores_hold_with_many_files(documents):
 def test_scores_of_nothing(empty, odd):
     assert scoring.scored(empty).collect() == []
     assert scoring.scored(odd.where("doc_id = 6")).count() == 1
+
+
+def test_the_query_scores_with_three_words(spark, documents):
+    """op6 as registered is the model of order 3, also when tasks hand on counts piece by piece."""
+    rows = [(r["doc_id"], r["text"]) for r in documents.collect()]
+    want = {w[0]: w[5] for w in brute_scores(rows, 3)}
+    got = {r["doc_id"]: (r["score"], r["n_tokens"]) for r in registered.op6_lm_scoring(spark, SF).collect()}
+    assert got.keys() == want.keys()
+    assert all(got[i][0] == pytest.approx(want[i], abs=3e-4 * got[i][1] + 1e-6) for i in want)
+
+
+def test_counts_survive_their_blobs_and_add_up():
+    rng = np.random.default_rng(3)
+    held, brute = scoring._Counts(50), Counter()
+    for size in (1, 40, 300, 7):
+        context, word = rng.integers(0, 9, size).astype(np.uint64) << np.uint64(61), rng.integers(0, 5, size)
+        brute.update(zip(context.tolist(), word.tolist(), strict=True))
+        run = scoring._combined([[context, word, np.ones(size, np.int64)]])
+        for a, b in zip(run, scoring._of_blob(scoring._blob(*run)), strict=True):
+            assert a.tolist() == b.tolist()
+        held.add(run)
+    context, word, n = (x.tolist() for x in held.combine())
+    assert list(zip(context, word, strict=True)) == sorted(brute) and n == [brute[k] for k in sorted(brute)]
