@@ -34,13 +34,16 @@ APART = frozenset(
     "nav aside footer form script style noscript template iframe object svg math head button select option textarea input "
     "dialog menu search canvas audio video title".split())
 _APART_ROLES = frozenset("navigation banner contentinfo complementary search menu menubar dialog alert form".split())
-#: Words of a class or id that name what is not the article.
+#: Classes and ids, as a whole, that name what is not the article.
 _APART_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising adsense adslot sponsor sponsored promo promotion banner nav navbar navigation "
     "menu menubar breadcrumb breadcrumbs sidebar sidebars footer header masthead topbar comment comments commentlist disqus "
     "cookie cookies consent gdpr notice notices newsletter subscribe subscription signup login popup modal overlay share sharing "
     "social related recommended recommendations widget widgets toolbar pagination pager skip copyright disclaimer".split())
-_WORD = re.compile(r"[a-z]+")
+_APART_TOKENS = _APART_WORDS | {f"{w}-{s}" for w in _APART_WORDS for s in ("list", "area", "section", "box", "block", "links")} | {
+    f"{s}-{w}" for w in _APART_WORDS for s in ("reader", "user", "site", "page", "global")}
+#: Tags that stay the text's if they hold the article or most of the page's text.
+_AROUND = frozenset({"form", "dialog"})
 #: Elements whose content is the article's, where a page has them.
 ARTICLE = frozenset({"article", "main"})
 
@@ -53,6 +56,8 @@ class Element:
     apart: bool
     inside: bool
     end: int = -1
+    #: set apart by its name alone, if it does not hold the article or most of the text
+    named: bool = False
 
 
 @dataclass(slots=True)
@@ -63,20 +68,52 @@ class Page:
     texts: list[tuple[int, int, str]] = field(default_factory=list)
 
 
-def _named_apart(tag: str, attributes: str) -> bool:
-    if tag in APART:
-        return True
+def _set_apart(tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
+    """Whether an element is set apart in any case, and whether it is by its name."""
+    named = tag in _AROUND
+    if tag in APART and not named:
+        return True, False
     if not attributes or tag in ("html", "body", "article", "main"):
-        return False
+        return False, named
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True
+            return True, False
         if name == "role" and value in _APART_ROLES:
-            return True
-        if name in ("class", "id") and not _APART_WORDS.isdisjoint(_WORD.findall(value)):
-            return True
-    return False
+            named = True
+        if name in ("class", "id"):
+            tokens = _APART_TOKENS.intersection(value.replace("_", "-").split())
+            # a header in an article belongs to it
+            named = named or bool(tokens - {"header"} if inside else tokens)
+    return False, named
+
+
+def _settle(page: Page) -> None:
+    """Sets apart what names alone tell, but for what holds the article or most of the text."""
+    elements = page.elements
+    if not any(e.named for e in elements):
+        return
+    size = [0] * len(elements)
+    total = 0
+    for at, _, text in page.texts:
+        if at < 0 or not elements[at].apart:
+            n = len(text.strip())
+            total += n
+            if at >= 0:
+                size[at] += n
+    for i in range(len(elements) - 1, -1, -1):
+        if elements[i].parent >= 0:
+            size[elements[i].parent] += size[i]
+    # the article: the largest declared one, if it has a third of the text
+    most = max((i for i, e in enumerate(elements) if e.tag in ARTICLE and not e.apart), key=size.__getitem__, default=-1)
+    holding: set[int] = set()
+    if most >= 0 and size[most] and 3 * size[most] >= total:
+        while most >= 0:
+            holding.add(most)
+            most = elements[most].parent
+    for i, e in enumerate(elements):
+        above = e.parent >= 0 and elements[e.parent].apart
+        e.apart = e.apart or above or (e.named and i not in holding and 2 * size[i] <= total)
 
 
 def parsed(source: str) -> Page:
@@ -145,14 +182,15 @@ def parsed(source: str) -> Page:
                 texts.append((stack[-1] if stack else -1, block, " " if tag == "br" else ""))
             continue
         above = elements[stack[-1]] if stack else None
-        apart = bool(above and above.apart) or _named_apart(tag, attributes)
         # a page's or section's own header is no part of the text, an article's is
         inside = bool(above and above.inside) or tag in ARTICLE
+        apart, named = _set_apart(tag, attributes, inside)
+        apart = apart or bool(above and above.apart)
         if tag == "header" and not inside:
             apart = True
         if attributes.endswith("/") and tag in RAW:
             continue
-        elements.append(Element(tag, stack[-1] if stack else -1, m.start(), apart, inside))
+        elements.append(Element(tag, stack[-1] if stack else -1, m.start(), apart, inside, named=named))
         depths[tag].append(len(stack))
         if tag in BLOCK:
             block_depths.append(len(stack))
@@ -162,6 +200,7 @@ def parsed(source: str) -> Page:
             at = end.end() if end else size
             close(len(stack) - 1, at)
     close(0, size)
+    _settle(page)
     return page
 
 

@@ -253,3 +253,16 @@ def test_the_stage_takes_five_words_and_four_fifths(spark):
     stage = brute_components(rows, 5, 80)
     assert stage != brute_components(rows, 3, 85) and stage[1] == 0 and stage[5] == 5
     assert {r["doc_id"] for r in corpus_pipeline.distinct(spark, docs, "").collect()} == set(stage.values())
+
+
+@pytest.mark.parametrize(("source", "want"), [
+    ("<div class='content no-sidebar'><p>out</p><article><p>the whole article</article></div>", "the whole article"),
+    ("<div class='has-sidebar'><article>text</article></div>", "text"),
+    ("<div class='with-menu elementor-widget-container'><p>text</div>", "text"),
+    ("<div class='widget'><article><p>the whole article</article></div>", "the whole article"),
+    ("<article><div class='entry-header'><h1>T</h1></div><div class=header><p>by</div><p>a</article>", "T\nby\na"),
+    ("<form><div class=menu><a>x</a></div><p>the text of an old page</form>", "the text of an old page"),
+    ("<div class='share site-footer'>no</div><p>text of a page</p><p class=related_links>no", "text of a page"),
+])
+def test_names_do_not_take_the_article(source, want):
+    assert text_of(source) == want
