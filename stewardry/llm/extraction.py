@@ -1,7 +1,7 @@
 """Main text of web pages by removing what a site repeats.
 
-Every element's subtree is hashed. In Spark, the pages of a host that hold a subtree are
-counted; one that recurs on many of them is template and is deleted from every page of
+Every element's subtree is hashed. In Spark, the pages of a host that hold a subtree among
+different text are counted; one that recurs on many of them is template and is deleted from every page of
 that host. Elements that HTML itself, their role or their name sets apart from the article
 (menus, footers, forms, adverts, comments) go on any site, also on one of few pages.
 Inside an element that a page declares as its article nothing is taken for template, since
@@ -10,6 +10,7 @@ whole articles and passages recur on a site as well.
 
 from __future__ import annotations
 
+import hashlib
 import re
 import zlib
 from collections.abc import Iterator
@@ -21,14 +22,17 @@ from pyspark.sql import functions as F
 
 from stewardry.llm.hashing import mixed
 from stewardry.llm.markup import Page, blocks, parsed
+from stewardry.session import written
 
-#: A subtree is template on at least so many pages of the host and on this share of them.
-LEAST_PAGES, LEAST_SHARE = 4, 0.2
+#: A subtree is template on at least so many different pages of the host and on this share of
+#: them, or on so many however large the host is. Pages of the same text are one page.
+LEAST_PAGES, LEAST_SHARE, MANY_PAGES = 4, 0.2, 200
 
 #: Tasks that the pages of one host may be dealt over.
 SALTS = 64
 
 _SPACE = re.compile(r"\s+")
+_MASK = (1 << 64) - 1
 _BASE = 0x9E3779B97F4A7C15
 _INVERSE = np.uint64(pow(_BASE, -1, 1 << 64))
 
@@ -54,6 +58,22 @@ def page_of(source: str | None) -> Page:
     return parsed(_SPACE.sub(" ", source or ""))
 
 
+def _contents(page: Page) -> tuple[int, list[int]]:
+    """A hash of the page's text outside of what is apart, and what each subtree adds to it."""
+    whole, parts = 0, [0] * len(page.elements)
+    for at, _, text in page.texts:
+        words = " ".join(text.split())
+        if words and (at < 0 or not page.elements[at].apart):
+            h = int.from_bytes(hashlib.blake2b(words.encode("utf-8", "surrogatepass"), digest_size=8).digest())
+            whole += h
+            if at >= 0:
+                parts[at] += h
+    for i in range(len(parts) - 1, -1, -1):
+        if page.elements[i].parent >= 0:
+            parts[page.elements[i].parent] += parts[i]
+    return whole & _MASK, [p & _MASK for p in parts]
+
+
 def _subtrees(page: Page) -> Iterator[tuple[int, int]]:
     """(element, hash) of all subtrees that may be template: outside of articles and not around one."""
     around: set[int] = set()
@@ -78,24 +98,33 @@ def _subtrees(page: Page) -> Iterator[tuple[int, int]]:
 
 
 def template_subtrees(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: float = LEAST_SHARE) -> DataFrame:
-    """host, templates: the hashes of each host's recurring subtrees.
+    """host (its hash), templates: the hashes of each host's recurring subtrees.
+
+    A subtree counts once for each different text around it, so that copies of a page are one.
 
     A host has no more of them than a page has subtrees on average, divided by the share.
     """
     def hashes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            hosts, found = [], []
+            hosts, found, rests = [], [], []
             for host, source in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
-                own = {h for _, h in _subtrees(page_of(source.as_py()))}
+                page = page_of(source.as_py())
+                whole, parts = _contents(page)
+                # without a subtree: the page itself
+                own = {(None, whole)} | {(h, whole - parts[i] & _MASK) for i, h in _subtrees(page) if parts[i] and not page.elements[i].apart}
                 hosts += [host] * len(own)
-                found += own
-            yield pa.RecordBatch.from_arrays([pa.array(hosts, pa.string()), pa.array(found, pa.int64())], ["host", "subtree"])
-
-    sited = pages.select(host_of(F.col("url")).alias("host"), "html")
-    counts = sited.groupBy("host").agg(F.count("*").alias("_of")).where(F.col("_of") >= least_pages)
-    recurring = sited.mapInArrow(hashes, "host string, subtree long").groupBy("host", "subtree").agg(F.count("*").alias("_n"))
-    recurring = recurring.where(F.col("_n") >= least_pages).join(counts, "host")
-    many = recurring.where(F.col("_n") >= F.col("_of") * least_share)
+                found += [h for h, _ in own]
+                rests += [r - (1 << 63) for _, r in own]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(hosts, pa.int64()), pa.array(found, pa.int64()), pa.array(rests, pa.int64())], ["host", "subtree", "rest"])
+
+    sited = pages.select(F.xxhash64(host_of(F.col("url"))).alias("host"), "html")
+    differing = sited.mapInArrow(hashes, "host long, subtree long, rest long").groupBy("host", "subtree", "rest").agg(F.lit(1).alias("_one"))
+    counted = differing.groupBy("host", "subtree").agg(F.count("*").alias("_n")).where(F.col("_n") >= least_pages)
+    counted = written(counted, "subtrees")
+    counts = counted.where("subtree IS NULL").select("host", F.col("_n").alias("_of"))
+    recurring = counted.where("subtree IS NOT NULL").join(counts, "host")
+    many = recurring.where(F.col("_n") >= F.least(F.col("_of") * least_share, F.lit(MANY_PAGES)))
     return many.groupBy("host").agg(F.sort_array(F.collect_set("subtree")).alias("templates"))
 
 
@@ -109,7 +138,7 @@ def main_text(pages: DataFrame, least_pages: int = LEAST_PAGES, least_share: flo
     templates = template_subtrees(pages, least_pages, least_share)
     # a host's pages are dealt over SALTS tasks; its short list of templates is there for each
     salt = F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS)).cast("int")
-    sited = pages.select("page_id", "url", "html", host_of(F.col("url")).alias("host"), salt.alias("salt"))
+    sited = pages.select("page_id", "url", "html", F.xxhash64(host_of(F.col("url"))).alias("host"), salt.alias("salt"))
     salted = templates.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     given = sited.join(salted, ["host", "salt"], "left")
 

@@ -266,3 +266,15 @@ def test_the_stage_takes_five_words_and_four_fifths(spark):
 ])
 def test_names_do_not_take_the_article(source, want):
     assert text_of(source) == want
+
+
+def test_copies_of_a_page_are_one_and_large_hosts_have_sections(spark, monkeypatch):
+    body = "<div><p>the body of a page that is stored often</p></div>"
+    rows = [(i, f"http://a.example/?from={i}", f"<a href='?{i}'></a>{body}", "", "", 0) for i in range(5)]
+    rows += [(10 + i, f"http://a.example/{i}", f"<div><p>another page {i}</p></div>", "", "", 0) for i in range(15)]
+    menu = "<div><b>menu of a section</b></div>"
+    rows += [(100 + i, f"http://b.example/{i}", (menu if i < 12 else "") + f"<div><p>page {i} of many</p></div>", "", "", 0) for i in range(100)]
+    monkeypatch.setattr(extraction, "MANY_PAGES", 10)
+    got = {r["page_id"]: r["text"] for r in extraction.main_text(spark.createDataFrame(rows, PAGES)).collect()}
+    assert all(got[i] == "the body of a page that is stored often" for i in range(5))
+    assert all(got[100 + i] == f"page {i} of many" for i in range(100))
