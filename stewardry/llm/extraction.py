@@ -4,8 +4,8 @@ Every element's subtree is hashed. In Spark, the pages of a host that hold a sub
 different text are counted; one that recurs on many of them is template and is deleted from every page of
 that host. Elements that HTML itself, their role or their name sets apart from the article
 (menus, footers, forms, adverts, comments) go on any site, also on one of few pages.
-Inside an element that a page declares as its article nothing is taken for template, since
-whole articles and passages recur on a site as well.
+What a page declares as its article is evidence: inside of it only containers that recur on
+more pages are taken for template, since articles and passages recur on a site as well.
 """
 
 from __future__ import annotations
@@ -21,12 +21,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from stewardry.llm.hashing import mixed
-from stewardry.llm.markup import Page, blocks, parsed
+from stewardry.llm.markup import ARTICLE, Page, blocks, parsed, text_sizes
 from stewardry.session import written
 
 #: A subtree is template on at least so many different pages of the host and on this share of
 #: them, or on so many however large the host is. Pages of the same text are one page.
 LEAST_PAGES, LEAST_SHARE, MANY_PAGES = 4, 0.2, 200
+#: What a page declares as its article is evidence against template: inside of it a subtree needs
+#: so many times the share, and only containers count, as headings and passages recur.
+INSIDE = 2.5
+CONTAINERS = frozenset("article aside center details div dl figure footer header hgroup li menu ol section table ul".split())
 
 #: Tasks that the pages of one host may be dealt over.
 SALTS = 64
@@ -75,25 +79,32 @@ def _contents(page: Page) -> tuple[int, list[int]]:
 
 
 def _subtrees(page: Page) -> Iterator[tuple[int, int]]:
-    """(element, hash) of all subtrees that may be template: outside of articles and not around one."""
-    around: set[int] = set()
-    for e in page.elements:
-        if e.inside:
-            up = e.parent
-            while up >= 0 and up not in around:
-                around.add(up)
-                up = page.elements[up].parent
+    """(element, hash) of all subtrees that may be template: inside an article its containers, and
+    nothing that holds the article most of the page's text is in."""
+    # the main text, and what is around it: nothing that holds half of the page's text or more
+    sizes, total = text_sizes(page)
+    around = {i for i, e in enumerate(page.elements) if e.tag in ARTICLE and 2 * sizes[i] >= total}
+    for i in tuple(around):
+        up = page.elements[i].parent
+        while up >= 0 and up not in around:
+            around.add(up)
+            up = page.elements[up].parent
     # one running sum over the page gives every subtree's polynomial hash
     letters = np.frombuffer(page.source.encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64) + np.uint64(1)
     factors = np.full(len(letters) + 1, _BASE, np.uint64)
     factors[0] = 1
     factors = np.cumprod(factors)
     sums = np.concatenate([np.zeros(1, np.uint64), np.cumsum(letters * factors[:-1])])
-    asked = [i for i, e in enumerate(page.elements) if not e.inside and i not in around and e.tag not in ("html", "body")]
+    asked = [
+        i for i, e in enumerate(page.elements)
+        if i not in around and e.tag not in ("html", "body") and (not e.inside or e.tag in CONTAINERS)]
     starts = np.array([page.elements[i].start for i in asked], np.int64)
     ends = np.array([page.elements[i].end for i in asked], np.int64)
     # brought to the power a subtree at the page's start would have
     hashes = mixed((sums[ends] - sums[starts]) * _powers(_INVERSE, starts))
+    # the lowest bit tells those inside an article
+    inside = np.array([page.elements[i].inside for i in asked], np.uint64)
+    hashes = (hashes & ~np.uint64(1)) | inside
     yield from zip(asked, hashes.view(np.int64).tolist(), strict=True)
 
 
@@ -124,7 +135,8 @@ def template_subtrees(pages: DataFrame, least_pages: int = LEAST_PAGES, least_sh
     counted = written(counted, "subtrees")
     counts = counted.where("subtree IS NULL").select("host", F.col("_n").alias("_of"))
     recurring = counted.where("subtree IS NOT NULL").join(counts, "host")
-    many = recurring.where(F.col("_n") >= F.least(F.col("_of") * least_share, F.lit(MANY_PAGES)))
+    share = F.when(F.col("subtree").bitwiseAND(F.lit(1)) == 1, min(1.0, INSIDE * least_share)).otherwise(least_share)
+    many = recurring.where(F.col("_n") >= F.least(F.col("_of") * share, F.lit(MANY_PAGES)))
     return many.groupBy("host").agg(F.sort_array(F.collect_set("subtree")).alias("templates"))
 
 

@@ -44,6 +44,8 @@ _APART_TOKENS = _APART_WORDS | {f"{w}-{s}" for w in _APART_WORDS for s in ("list
     f"{s}-{w}" for w in _APART_WORDS for s in ("reader", "user", "site", "page", "global")}
 #: Tags that stay the text's if they hold the article or most of the page's text.
 _AROUND = frozenset({"form", "dialog"})
+#: Beside a declared article, a text is taken against its name if it is longer than this.
+LONG = 200
 #: Elements whose content is the article's, where a page has them.
 ARTICLE = frozenset({"article", "main"})
 
@@ -88,13 +90,10 @@ def _set_apart(tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
     return False, named
 
 
-def _settle(page: Page) -> None:
-    """Sets apart what names alone tell, but for what holds the article or most of the text."""
-    elements = page.elements
-    if not any(e.named for e in elements):
-        return
+def text_sizes(page: Page) -> tuple[list[int], int]:
+    """Characters of text in each element and in the page, outside of what is apart."""
+    elements, total = page.elements, 0
     size = [0] * len(elements)
-    total = 0
     for at, _, text in page.texts:
         if at < 0 or not elements[at].apart:
             n = len(text.strip())
@@ -104,16 +103,27 @@ def _settle(page: Page) -> None:
     for i in range(len(elements) - 1, -1, -1):
         if elements[i].parent >= 0:
             size[elements[i].parent] += size[i]
+    return size, total
+
+
+def _settle(page: Page) -> None:
+    """Sets apart what names alone tell, but for what holds the article or most of the text."""
+    elements = page.elements
+    if not any(e.named for e in elements):
+        return
+    size, total = text_sizes(page)
     # the article: the largest declared one, if it has a third of the text
     most = max((i for i, e in enumerate(elements) if e.tag in ARTICLE and not e.apart), key=size.__getitem__, default=-1)
     holding: set[int] = set()
+    # most of the text: half; beside a declared article three quarters, and LONG characters
+    much = max(0.75 * total, LONG) if most >= 0 and size[most] else 0.5 * total
     if most >= 0 and size[most] and 3 * size[most] >= total:
         while most >= 0:
             holding.add(most)
             most = elements[most].parent
     for i, e in enumerate(elements):
         above = e.parent >= 0 and elements[e.parent].apart
-        e.apart = e.apart or above or (e.named and i not in holding and 2 * size[i] <= total)
+        e.apart = e.apart or above or (e.named and i not in holding and size[i] <= much)
 
 
 def parsed(source: str) -> Page:
@@ -207,15 +217,17 @@ def parsed(source: str) -> Page:
 def blocks(page: Page, dropped: set[int]) -> list[str]:
     """The text blocks outside of what is apart or dropped; inside an article if there is one.
 
-    White space inside a block becomes one space. A page's articles are what counts as soon
-    as one of them holds any text.
+    White space inside a block becomes one space. A page's articles are what counts if they
+    hold a third of the text that is left; those with less are teasers, and all of it counts.
     """
     gone: list[bool] = []
     for i, e in enumerate(page.elements):
         gone.append(e.apart or i in dropped or (e.parent >= 0 and gone[e.parent]))
     kept = [t for t in page.texts if t[0] < 0 or not gone[t[0]]]
     inside = [t for t in kept if t[0] >= 0 and page.elements[t[0]].inside]
-    if any(not text.isspace() for _, _, text in inside):
+    length = lambda some: sum(len(text.strip()) for _, _, text in some)
+    held_inside = length(inside)
+    if held_inside and 3 * held_inside >= length(kept):
         kept = inside
     out: list[str] = []
     held: list[str] = []

@@ -278,3 +278,23 @@ def test_copies_of_a_page_are_one_and_large_hosts_have_sections(spark, monkeypat
     got = {r["page_id"]: r["text"] for r in extraction.main_text(spark.createDataFrame(rows, PAGES)).collect()}
     assert all(got[i] == "the body of a page that is stored often" for i in range(5))
     assert all(got[100 + i] == f"page {i} of many" for i in range(100))
+
+
+def test_boxes_in_main_go_and_teasers_do_not_hide_the_text(spark):
+    box = "<div class=x17><p>Sign up for our letter</p></div>"
+    rows = [(i, f"http://a.example/{i}", f"<main><h1>Title {i}</h1><p>the text of page {i}</p>{box}<p>its end {i}</p></main>", "", "", 0) for i in range(6)]
+    # a passage and a whole article that recur stay
+    rows += [(10 + i, f"http://b.example/{i}", f"<article><p>The same passage</p><p>and words {i}</p></article>", "", "", 0) for i in range(6)]
+    rows += [(20 + i, f"http://c.example/{i}", f"<p>{i}</p><article><p>one article on all pages</p></article>", "", "", 0) for i in range(6)]
+    text = "<div><p>the long main text of this page, which no tag declares, number {}</p></div>"
+    rows += [(30 + i, f"http://d.example/{i}", f"{text.format(i)}<article><p>teaser {i}</p></article>", "", "", 0) for i in range(6)]
+    # a teaser that recurs is template
+    rows += [(40 + i, f"http://e.example/{i}", f"{text.format(i)}<article><p>one teaser</p></article>", "", "", 0) for i in range(6)]
+    got = {r["page_id"]: r["text"] for r in extraction.main_text(spark.createDataFrame(rows, PAGES)).collect()}
+    for i in range(6):
+        own = f"the long main text of this page, which no tag declares, number {i}"
+        assert got[i] == f"Title {i}\nthe text of page {i}\nits end {i}"
+        assert got[10 + i] == f"The same passage\nand words {i}"
+        assert got[20 + i] == "one article on all pages"
+        assert got[30 + i] == f"{own}\nteaser {i}"
+        assert got[40 + i] == own
