@@ -216,7 +216,24 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK, shingle: int = SHINGLE,
 
 
 def first_of_each(docs: DataFrame, shingle: int = SHINGLE, shared: int = SHARED) -> DataFrame:
-    """The documents that stand for their components, columns as they came."""
+    """The documents that stand for their components, columns as they came.
+
+    Exactly one row of each component. Texts of one id are documents of their own, as are
+    those without an id; rows of one id and text, or without id and of one text, are one.
+    """
     rows, restored = set_aside(docs, ("doc_id", "text"))
-    kept = near_duplicates(rows, shingle=shingle, shared=shared).where("kept").select(F.col("doc_id").alias("_kept")).distinct()
-    return restored(rows.join(kept, F.equal_null(F.col("doc_id"), F.col("_kept")), "left_semi"))
+    own, name = F.col("doc_id").cast("long"), F.xxhash64(F.coalesce("text", F.lit("")), F.length("text"))
+    apart = F.shiftrightunsigned(F.xxhash64("_id", "_name"), 2).bitwiseOR(F.lit(1 << 62))
+    # one number for all rows of one id and text: the id itself for the first text of an id
+    named = rows.withColumns({"_id": own, "_name": name})
+    several = named.where("_id IS NOT NULL").groupBy("_id").agg(F.min("_name").alias("_first"), F.max("_name").alias("_last"))
+    several = written(several.where("_first < _last").select("_id", "_first"), "several-texts")
+    numbered = named.join(several, "_id", "left").withColumn(
+        "_node", F.when(F.col("_id").isNull() | (F.col("_first") != F.col("_name")), apart).otherwise(F.col("_id")))
+    found = near_duplicates(numbered.select(F.col("_node").alias("doc_id"), "text"), shingle=shingle, shared=shared)
+    kept = found.where("kept").groupBy(F.col("doc_id").alias("_node")).agg((F.count("*") > 1).alias("_repeated"))
+    kept = written(kept, "kept")
+    once = numbered.join(kept.where("NOT _repeated"), "_node", "left_semi").select(*rows.columns)
+    # rows of one id and text: one of them
+    again = numbered.join(kept.where("_repeated"), "_node", "left_semi").dropDuplicates(["_node"]).select(*rows.columns)
+    return restored(once.union(again))

@@ -298,3 +298,17 @@ def test_boxes_in_main_go_and_teasers_do_not_hide_the_text(spark):
         assert got[20 + i] == "one article on all pages"
         assert got[30 + i] == f"{own}\nteaser {i}"
         assert got[40 + i] == own
+
+
+def test_one_row_of_each_component(spark):
+    long = "one two three four five six seven eight nine ten"
+    rows = [(1, long), (1, long), (2, long), (5, "some other text of an id used twice"), (5, long), (None, long.upper()),
+            (None, "no id but six words here"), (None, "no id but six words here"), (None, "without any id and of words unlike"),
+            (9, "without any id and of words unlike"), (7, "a text that stays"), (8, ""), (8, None)]
+    docs = spark.createDataFrame([(i, t, "en", "x", 1, "n") for i, t in rows], SCHEMA)
+    kept = neardup.first_of_each(docs, shingle=5, shared=80)
+    assert kept.columns == docs.columns
+    got = sorted(((r["doc_id"], (r["text"] or "").lower()) for r in kept.collect()), key=repr)
+    assert [g for g in got if g[0] != 8] == sorted([
+        (1, long), (5, "some other text of an id used twice"), (None, "no id but six words here"),
+        (9, "without any id and of words unlike"), (7, "a text that stays")], key=repr)
