@@ -390,3 +390,11 @@ def test_counts_survive_their_blobs_and_add_up():
         held.add(run)
     context, word, n = (x.tolist() for x in held.combine())
     assert list(zip(context, word, strict=True)) == sorted(brute) and n == [brute[k] for k in sorted(brute)]
+
+
+def test_draws_are_in_proportion_to_the_weights(spark):
+    """The score is the log weight and whole Gumbel noise: one of two is drawn first by its share."""
+    rows = spark.range(20_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, math.log(3.0)).otherwise(0.0).alias("log_weight"))
+    score = {r["doc_id"]: r["s"] for r in rows.select("doc_id", quality._score().alias("s")).collect()}
+    first = np.mean([score[i] > score[i + 1] for i in range(0, 20_000, 2)])
+    assert first == pytest.approx(0.75, abs=0.02)
