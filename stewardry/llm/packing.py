@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stewardry.llm.shared import kept_per_worker
+from stewardry.llm.shared import give_back, kept_per_worker
 from stewardry.llm.tokens import WordIds
 from stewardry.session import written
 
@@ -64,6 +64,7 @@ def document_pieces(docs: DataFrame, tokenizer: str | None = None, capacity: int
             yield pa.RecordBatch.from_arrays(
                 [pa.array(c, t) for c, t in zip(columns, types, strict=True)],
                 ["doc_id", "piece", "start", "length", "ids_crc32"])
+        give_back()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text")).mapInArrow(pieces, PIECES)
 

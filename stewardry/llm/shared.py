@@ -3,6 +3,7 @@ Python worker keeps from one task to the next."""
 
 from __future__ import annotations
 
+import gc
 import os
 import sys
 import tempfile
@@ -10,6 +11,7 @@ import uuid
 from collections.abc import Callable
 from typing import TypeVar
 
+import pyarrow as pa
 from pyarrow import fs
 
 T = TypeVar("T")
@@ -40,9 +42,17 @@ def local_path(folder: str, name: str) -> tuple[str, bool]:
 def kept_per_worker(name: str, make: Callable[[], T]) -> T:
     """What `make` gave this Python worker first; later tasks of the worker find it again.
 
+    Only the thing asked for last is kept: a worker serves many stages one after another.
     Functions that are shipped by value have no module of their own to keep it in.
     """
     store = vars(sys.modules["__main__"]).setdefault("_kept_per_worker", {})
     if name not in store:
+        store.clear()
         store[name] = make()
     return store[name]
+
+
+def give_back() -> None:
+    """Returns to the system what Arrow's pool of this worker has free."""
+    gc.collect()
+    pa.default_memory_pool().release_unused()

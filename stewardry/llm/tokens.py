@@ -11,16 +11,24 @@ import unicodedata
 
 import numpy as np
 
-#: Entries kept per Python worker before the memory is emptied.
-KEPT_WORDS = 1_000_000
+#: Bytes that words and pieces with their ids may take per Python worker; then all are dropped.
+KEPT_BYTES = 48 << 20
+#: Longer words and pieces are worked out each time: they hardly ever come again.
+KEPT_LENGTH = 40
+#: What an entry takes besides its two strings' contents: both objects and the place in the table.
+_ENTRY = 210
 
 _LATIN = re.compile("[\x00-ɏ]*")
 
 
 class WordIds(dict):
-    """word -> its ids as little-endian 16-bit bytes, worked out when first asked for."""
+    """word -> its ids as little-endian 16-bit bytes, worked out when first asked for.
 
-    def __init__(self, path: str, kept: int = KEPT_WORDS):
+    What is kept is bounded by bytes, `kept`, not by entries: texts without spaces are one
+    long word each.
+    """
+
+    def __init__(self, path: str, kept: int = KEPT_BYTES):
         import regex
         from tokenizers import Tokenizer
 
@@ -30,6 +38,7 @@ class WordIds(dict):
             raise ValueError("ids must fit into 16 bits")
         self._model, self._kept = self._tokenizer.model, kept
         self._pieces: dict[str, bytes] = {}
+        self.held = 0
         # fixed value: the tokenizer file's own split pattern
         self._split = regex.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+").findall
         self._bytes = _byte_letters()
@@ -40,17 +49,23 @@ class WordIds(dict):
         else:
             plain = word.lower() if word.isascii() else unicodedata.normalize("NFC", word).lower()
             found = b"".join([self._pieces.get(p) or self._piece(p) for p in self._split(plain)])
-        if len(self) >= self._kept:
-            self.clear()
-        self[word] = found
+        self._keep(self, word, found)
         return found
 
+    def _keep(self, store: dict[str, bytes], key: str, found: bytes) -> None:
+        if len(key) > KEPT_LENGTH:
+            return
+        size = 4 * len(key) + len(found) + _ENTRY
+        if self.held + size > self._kept:
+            self.clear(), self._pieces.clear()
+            self.held = 0
+        store[key] = found
+        self.held += size
+
     def _piece(self, piece: str) -> bytes:
         letters = piece.encode().decode("latin-1").translate(self._bytes)
         found = np.asarray([t.id for t in self._model.tokenize(letters)], dtype="<u2").tobytes()
-        if len(self._pieces) >= self._kept:
-            self._pieces.clear()
-        self._pieces[piece] = found
+        self._keep(self._pieces, piece, found)
         return found
 
     def of_text(self, text: str | None) -> np.ndarray:

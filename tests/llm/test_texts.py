@@ -6,6 +6,7 @@ import hashlib
 import itertools
 import math
 import re
+import sys
 import zlib
 from collections import Counter, defaultdict
 
@@ -184,6 +185,23 @@ def test_word_ids_are_the_tokenizers(tokenizer, documents):
         assert own.of_text(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
 
 
+def test_kept_words_are_bounded_by_bytes(tokenizer):
+    import public_tokenizers
+
+    limit = 1 << 20
+    own = WordIds(public_tokenizers.path(packing.TOKENIZER), kept=limit)
+    rng = np.random.default_rng(5)
+    for k in range(60):
+        unspaced = "".join(map(chr, rng.integers(0x4E00, 0x9000, 3000)))
+        letters = "".join(map(chr, rng.integers(97, 123, 3000)))
+        words = " ".join(f"{letters[i:i + 7]}{k}" for i in range(0, 2900, 7))
+        for text in (unspaced, letters, words):
+            assert own.of_text(text).tolist() == tokenizer.encode(text, add_special_tokens=False).ids
+        stores = (own, own._pieces)
+        assert sum(sys.getsizeof(a) + sys.getsizeof(b) for s in stores for a, b in s.items()) <= own.held <= limit
+        assert max((len(w) for s in stores for w in s), default=0) <= 40
+
+
 def test_packing_keeps_all_ids(odd, documents, tokenizer):
     for docs, rows in ((odd, 4), (documents, 40)):
         out = packing.packed(docs, rows_per_partition=rows).collect()
@@ -264,13 +282,14 @@ def test_language_of_odd_documents(odd, documents, empty):
 
 def test_long_texts_are_windowed_alike(documents):
     net = langid.trained(langid.learnable(documents))
-    text = " ".join(r["text"] for r in documents.where("lang = 'fr' AND text IS NOT NULL").collect()) * 6
+    part = " ".join(r["text"] for r in documents.where("lang = 'fr' AND text IS NOT NULL").collect()) + " "
+    text = part * (4 * langid.CHUNK // len(part.encode()) + 2)
     data = np.frombuffer(text.encode(), np.uint8)
     assert len(data) > 4 * langid.CHUNK
     windows, covered = langid.windows_of(data)
     want = (net.probabilities(windows) * covered[:, None]).sum(0) / covered.sum()
-    chosen, score = net._long(data)
-    assert net.languages[chosen] == "fr" and score == pytest.approx(float(want.max()), abs=1e-5)
+    (chosen, short), scores = net.predict(pa.array([text, part]))
+    assert (chosen, short) == ("fr", "fr") and scores[0] == pytest.approx(float(want.max()), abs=1e-5)
 
 
 def test_scoring_tables_equal_the_filters(documents):
