@@ -6,6 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 
@@ -37,3 +38,24 @@ def map_groups(rows: DataFrame, keys: list[str], order: list[str], work: Callabl
         return pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names)
 
     return rows.repartition(*keys).sortWithinPartitions(*keys, *order).mapInArrow(run, schema)
+
+
+def runs(batches: Iterator[pa.RecordBatch], keys: list[str]) -> Iterator[pa.Table]:
+    """The rows of each run of equal keys, across batches; keys are never null.
+
+    One run is held in memory as a whole.
+    """
+    held: list[pa.RecordBatch] = []
+    for batch in batches:
+        if not len(batch):
+            continue
+        table = pa.Table.from_batches([*held, batch]).combine_chunks()
+        edge = np.zeros(len(table) - 1, bool)
+        for key in keys:
+            edge |= pc.not_equal(table[key][1:], table[key][:-1]).to_numpy()
+        cuts = [0, *(np.flatnonzero(edge) + 1).tolist()]
+        for lo, hi in zip(cuts, cuts[1:], strict=False):
+            yield table.slice(lo, hi - lo)
+        held = table.slice(cuts[-1]).to_batches()
+    if held:
+        yield pa.Table.from_batches(held).combine_chunks()

@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from stewardry.llm import extraction, langid, mixing, neardup, packing, quality, scoring, sharding, topk, vectordup
+from stewardry.llm import (
+    credentials, divergence, extraction, langid, manifest, mixing, neardup, oracles, packing, quality, scoring, sharding, topk,
+    vectordup,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -61,6 +64,18 @@ def op10_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return sharding.sharded_documents(_table(spark, sf_dir, "documents"))
 
 
+def op11_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return credentials.secret_digests(_table(spark, sf_dir, "documents"))
+
+
+def op12_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.source_divergence(_table(spark, sf_dir, "documents"))
+
+
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return manifest.manifest(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Query] = {
     "pipeline": corpus_pipeline.run,
     "op1_html_extraction": op1_html_extraction,
@@ -73,6 +88,9 @@ QUERIES: dict[str, Query] = {
     "op8_minhash_neardup": op8_minhash_neardup,
     "op9_mixing": op9_mixing,
     "op10_sharding": op10_sharding,
+    "op11_secret_scans": op11_secret_scans,
+    "op12_source_divergence": op12_source_divergence,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 ORACLES: dict[str, str] = {
@@ -121,4 +139,7 @@ LEFT JOIN (SELECT node, min(root) AS root FROM reached GROUP BY node) r ON r.nod
 WITH {mixing.mixing_sql("documents")}
 SELECT doc_id, nullif(substr(source, 2), '') AS source, nullif(substr(lang, 2), '') AS lang, topic, n_tokens,
   round(probability, 6) AS probability, kept FROM mixed_docs""",
+    "op11_secret_scans": oracles.secrets_sql(),
+    "op12_source_divergence": oracles.DIVERGENCE_SQL,
+    "op13_merkle_manifest": oracles.MANIFEST_SQL,
 }
