@@ -135,9 +135,10 @@ def _ranked(valued: DataFrame) -> DataFrame:
 
 
 def _block_distances(rows: pa.Table, tile: int) -> pa.RecordBatch:
-    """`lang, at, other, value` of one block of terms and one pair of tiles: the sums over the
-    block for every ordered pair of sources. Rows of the null term hold the groups' p of a
-    term they lack."""
+    """`lang, at, other, value, seen` of one block of terms and one pair of tiles: for every
+    ordered pair of sources the sum over the block's terms that a source of the two tiles
+    uses, and the number of these. Rows of the null term hold the groups' p of a term they
+    lack."""
     lang, header = rows["lang"][0].as_py(), pc.is_null(rows["term"])
     heads, rest = rows.filter(header), rows.filter(pc.invert(header))
     at, first = np.unique(heads["at"].to_numpy(), return_index=True)
@@ -157,8 +158,8 @@ def _block_distances(rows: pa.Table, tile: int) -> pa.RecordBatch:
     mine, other, value = map(np.concatenate, (mine, other, value))
     apart = mine != other
     return pa.RecordBatch.from_arrays(
-        [pa.array([lang] * int(apart.sum()), pa.string()), *(pa.array(c[apart], pa.int64()) for c in (mine, other, value))],
-        ["lang", "at", "other", "value"])
+        [pa.array([lang] * int(apart.sum()), pa.string()), *(pa.array(c[apart], pa.int64()) for c in (mine, other, value, np.full(len(mine), width)))],
+        ["lang", "at", "other", "value", "seen"])
 
 
 def source_distances(kept: DataFrame, groups: DataFrame, block_terms: int = BLOCK_TERMS, tile: int = TILE_SOURCES) -> DataFrame:
@@ -181,11 +182,13 @@ def source_distances(kept: DataFrame, groups: DataFrame, block_terms: int = BLOC
     rows = heads.unionByName(of_terms).select("lang", "block", *pair, F.col("at").cast("long").alias("at"), "term", "p")
     keys = ["lang", "block", "i", "j"]
     sums = rows.repartition(*keys).sortWithinPartitions(*keys).mapInArrow(
-        lambda batches: (_block_distances(rows, tile) for rows in runs(batches, keys)), "lang string, at long, other long, value long")
-    sums = sums.groupBy("lang", "at", "other").agg(F.sum("value").alias("value"))
-    named = groups.select("lang", F.col("at").cast("long").alias("at"), "source")
-    others = named.select("lang", F.col("at").alias("other"), F.col("source").alias("item"))
-    return _ranked(sums.join(named, ["lang", "at"]).join(others, ["lang", "other"]).select("lang", "source", "item", "value"))
+        lambda batches: (_block_distances(rows, tile) for rows in runs(batches, keys)), "lang string, at long, other long, value long, seen long")
+    sums = sums.groupBy("lang", "at", "other").agg(F.sum("value").alias("value"), F.sum("seen").alias("seen"))
+    # the terms that neither tile uses differ by the same each
+    named = sized.select("lang", F.col("at").cast("long").alias("at"), "source", "terms", nothing.alias("p"))
+    others = named.select("lang", F.col("at").alias("other"), F.col("source").alias("item"), F.col("p").alias("q"))
+    unseen = F.expr("value + (terms - seen) * ((p - q) * (p - q) DIV q)").alias("value")
+    return _ranked(sums.join(named, ["lang", "at"]).join(others, ["lang", "other"]).select("lang", "source", "item", unseen))
 
 
 def source_divergence(docs: DataFrame, least: int = LEAST_DOCUMENTS, ranks: int = TOP_TERMS) -> DataFrame:

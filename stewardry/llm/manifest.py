@@ -67,7 +67,7 @@ def leaves(docs: DataFrame) -> DataFrame:
 
 # --- places -----------------------------------------------------------------
 
-def running_total(rows: DataFrame, group: list[str], order: list[str], amount: str, label: str, stretch: int = STRETCH) -> DataFrame:
+def running_total(rows: DataFrame, group: list[str], order: list[str], amount: str, label: str) -> DataFrame:
     """`rows` with `_before`, the sum of `amount` over the group's earlier rows, and `_total`,
     that over all of them; `order` tells the rows of a group apart.
 
@@ -75,7 +75,7 @@ def running_total(rows: DataFrame, group: list[str], order: list[str], amount: s
     and group is summed across.
     """
     rows = written(rows, label)
-    n = max(1, -(-rows.count() // stretch))
+    n = max(1, -(-rows.count() // STRETCH))
     dealt = written(rows.repartitionByRange(n, *group, *order).withColumn("_stretch", F.spark_partition_id()), f"{label}-dealt")
     of_group = Window.partitionBy(*group)
     sums = dealt.groupBy(*group, "_stretch").agg(F.sum(amount).alias("_sum")).select(
