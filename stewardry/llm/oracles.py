@@ -96,7 +96,7 @@ rows AS MATERIALIZED (
       || CASE WHEN lang IS NULL THEN '-' ELSE strlen(lang) || ':' || lang END AS head,
     CASE WHEN text IS NULL THEN '-' ELSE strlen(text) || ':' || text END AS tail,
     coalesce(xor(list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(1, length(doc_id::VARCHAR) + 1), lambda i: ascii(substr(doc_id::VARCHAR, i, 1))::BIGINT)),
-      lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295) % 7 = 0, false) AND n_chars IS NOT NULL AS changed
+      lambda c, b: xor(c >> 8, t[1 + (xor(c, b) & 255)])), 4294967295) % 7 = 0, false) AND doc_id IS NOT NULL AND n_chars IS NOT NULL AS changed
   FROM documents, crc),
 leaves AS MATERIALIZED (
   SELECT lang, doc_id, sha256(head || CASE WHEN n_chars IS NULL THEN '-' ELSE strlen(n_chars::VARCHAR) || ':' || n_chars END || tail) AS leaf,
