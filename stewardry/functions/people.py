@@ -9,11 +9,12 @@ from __future__ import annotations
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from stewardry import vocab
 from stewardry.functions import urls
 from stewardry.functions.spans import find_all, grouped, let, mark, marked_matches, without_marks
-from stewardry.schemas import PEOPLE, SPANS
+from stewardry.schemas import PEOPLE, PERSON, SPANS
 
 _EMAIL = "(?U)" + vocab.EMAIL_PATTERN
 _PHONE = "(?U)" + vocab.PHONE_PATTERN
@@ -30,6 +31,9 @@ _ROLE_GROUPS = (
 )
 _ANY_ROLE = vocab.any_case(vocab.ROLE_PHRASES)
 
+#: Up to so many comparisons, or entries, the plain form is faster than one that sorts.
+_FEW_PAIRS, _FEW_ENTRIES = 64, 12
+
 _CAPITALISED = r"\p{Lu}[\p{L}'’-]*\p{Ll}(?![\p{L}])"
 _NAME_WORD = rf"(?!(?:{'|'.join(vocab.NOT_IN_NAMES)})(?![\p{{L}}])){_CAPITALISED}"
 # Two or more capitalised words in a row, none of them a role or company word. The
@@ -82,7 +86,16 @@ def nearest_role(hits: Column, start: Column) -> Column:
 def nearest_roles(hits: Column, spans: Column) -> Column:
     """`array<struct<span, role>>`: every span with the role text nearest to it, else NULL.
 
-    As `nearest_role`, but for all spans of a section at once: hits and spans are sorted
+    Few are compared each with each; for more see `sorted_nearest_roles`. The rows are equal
+    but for their order, which is that of `spans` where these are sorted by start.
+    """
+    plain = F.transform(spans, lambda s: F.struct(s.alias("span"), nearest_role(hits, s["start"]).alias("role")))
+    few = F.size(hits) * F.size(spans) <= _FEW_PAIRS
+    return F.when(few, plain).otherwise(sorted_nearest_roles(hits, spans))
+
+
+def sorted_nearest_roles(hits: Column, spans: Column) -> Column:
+    """`nearest_roles` for all spans of a section at once: hits and spans are sorted
     together, so that a span's place tells how many hits lie before it, and only the hit
     on either side has to be compared.
     """
@@ -227,8 +240,17 @@ def dedup_people(people: Column | str) -> Column:
             _last(F.filter(F.transform(same, lambda p: p["phone"]), lambda v: v.isNotNull())).alias("phone"),
         )
 
-    by_name = grouped(people, lambda p: p["name"])
-    return F.when(F.size(people) > 1, F.transform(by_name, one)).otherwise(people)
+    def folded(people: Column) -> Column:
+        by_name = _grouped(people, lambda p: p["name"])
+        return F.when(F.size(people) > 1, F.transform(by_name, one)).otherwise(people)
+
+    return let(people, folded)
+
+
+def _grouped(people: Column, key) -> Column:
+    """`spans.grouped`, by looking through the list for each key where it is short."""
+    plain = F.transform(F.array_distinct(F.transform(people, key)), lambda k: F.filter(people, lambda p: F.equal_null(key(p), k)))
+    return F.when(F.size(people) <= _FEW_ENTRIES, plain).otherwise(grouped(people, key))
 
 
 def merge_similar_people(
@@ -239,25 +261,43 @@ def merge_similar_people(
 
     `keep="first"` keeps the earlier name even where it is shorter; `keep="longest"`
     takes the longer one. `merge_contacts` fills the survivor's missing contact details.
+    Names are compared in lower case and trimmed; entries without a name or role stay.
     """
     if keep not in ("first", "longest"):
         raise ValueError(f"keep must be 'first' or 'longest', not {keep!r}")
-    people = _col(people)
 
+    def merged(people: Column) -> Column:
+        folded = _merged_one_by_one(people, keep, merge_contacts)
+        if keep == "first" and not merge_contacts:
+            folded = F.when(F.size(people) <= _FEW_ENTRIES, folded).otherwise(_merged_by_suffixes(people))
+        return F.when(F.size(people) > 1, folded).otherwise(people)
+
+    return let(_col(people), merged)
+
+
+def _name_key(person: Column) -> Column:
+    return F.lower(F.trim(person["name"]))
+
+
+def _merged_one_by_one(people: Column, keep: str = "first", merge_contacts: bool = False) -> Column:
+    """The survivors, every entry held against all kept before it."""
     def alike(a: Column, b: Column) -> Column:
-        x, y = F.lower(F.trim(a["name"])), F.lower(F.trim(b["name"]))
-        return (a["role"] == b["role"]) & (F.contains(x, y) | F.contains(y, x))
+        return (a["p"]["role"] == b["p"]["role"]) & (F.contains(a["key"], b["key"]) | F.contains(b["key"], a["key"]))
+
+    def keyed(person: Column) -> Column:
+        return F.struct(_name_key(person).alias("key"), person.alias("p"))
 
     def absorb(kept: Column, new: Column) -> Column:
+        kept, new = kept["p"], new["p"]
         longer = F.length(new["name"]) > F.length(kept["name"])
         name = F.when(longer, new["name"]).otherwise(kept["name"]) if keep == "longest" else kept["name"]
         email, phone = kept["email"], kept["phone"]
         if merge_contacts:
             email, phone = F.coalesce(email, new["email"]), F.coalesce(phone, new["phone"])
-        return F.struct(
+        return let(F.struct(
             name.alias("name"), kept["role"].alias("role"),
             email.alias("email"), phone.alias("phone"),
-        )
+        ), keyed)
 
     def step(acc: Column, new: Column) -> Column:
         known = F.exists(acc, lambda q: alike(q, new))
@@ -270,9 +310,53 @@ def merge_similar_people(
             )
         return F.when(known, absorbed).otherwise(F.concat(acc, F.array(new)))
 
-    return F.when(
-        F.size(people) > 1, F.aggregate(people, F.array().cast(PEOPLE), step)
-    ).otherwise(people)
+    nobody = F.array().cast(T.ArrayType(T.StructType([T.StructField("key", T.StringType()), T.StructField("p", PERSON)])))
+    return F.aggregate(F.transform(people, keyed), nobody, step, lambda acc: F.transform(acc, lambda x: x["p"]))
+
+
+_CHAIN = "struct<role:string,held:array<struct<text:string,at:int>>,pairs:array<struct<late:int,early:int>>>"
+
+
+def _merged_by_suffixes(people: Column) -> Column:
+    """`_merged_one_by_one` without comparing all pairs.
+
+    All suffixes of all names are sorted by role and text. A name held by another comes
+    right before those of the other's suffixes that begin with it, so one pass with the
+    chain of names that begin the present suffix finds every pair of alike entries. Pairs
+    are then gone through by the later entry: it is dropped if the earlier one is kept.
+    """
+    def suffixes(person: Column, i: Column) -> Column:
+        key = _name_key(person)
+        cuts = F.when(key.isNull() | person["role"].isNull(), F.array().cast("array<int>")).otherwise(
+            F.sequence(F.lit(1), F.greatest(F.length(key), F.lit(1))))
+        return let(key, lambda text: F.transform(cuts, lambda c: F.struct(
+            person["role"].alias("role"), F.substr(text, c).alias("text"), (c > 1).alias("inner"), i.alias("at"))))
+
+    def step(acc: Column, e: Column) -> Column:
+        same = F.when(e["role"] == acc["role"], F.filter(acc["held"], lambda h: F.startswith(e["text"], h["text"])))
+        held = F.coalesce(same, F.array())
+
+        def taken(held: Column) -> Column:
+            alike = F.transform(F.filter(held, lambda h: h["at"] != e["at"]), lambda h: F.struct(
+                F.greatest(h["at"], e["at"]).alias("late"), F.least(h["at"], e["at"]).alias("early")))
+            whole = F.array(F.struct(e["text"].alias("text"), e["at"].alias("at")))
+            return F.struct(
+                e["role"].alias("role"), F.when(e["inner"], held).otherwise(F.concat(held, whole)).alias("held"),
+                F.when(F.size(alike) > 0, F.concat(acc["pairs"], alike)).otherwise(acc["pairs"]).alias("pairs"))
+
+        return let(held, taken).cast(_CHAIN)
+
+    def survivors(pairs: Column) -> Column:
+        def drop(dropped: Column, p: Column) -> Column:
+            stays = F.array_contains(dropped, p["early"]) | F.equal_null(F.try_element_at(dropped, F.lit(-1)), p["late"])
+            return F.when(stays, dropped).otherwise(F.concat(dropped, F.array(p["late"])))
+
+        dropped = F.aggregate(pairs, F.array().cast("array<int>"), drop)
+        return let(dropped, lambda d: F.when(F.size(d) == 0, people).otherwise(F.filter(people, lambda _, i: ~F.array_contains(d, i))))
+
+    start = F.struct(F.lit("").alias("role"), F.array().alias("held"), F.array().alias("pairs")).cast(_CHAIN)
+    ordered = F.array_sort(F.flatten(F.transform(people, suffixes)))
+    return let(F.array_sort(F.array_distinct(F.aggregate(ordered, start, step, lambda acc: acc["pairs"]))), survivors)
 
 
 def is_valid_name(name: Column | str, mode: str = "substring") -> Column:
@@ -358,8 +442,10 @@ def dedup_by_role(people: Column | str) -> Column:
             _last(F.filter(F.transform(same, lambda p: p["phone"]), lambda v: v.isNotNull())).alias("phone"),
         )
 
-    by_both = grouped(people, lambda p: F.struct(p["name"].alias("name"), p["role"].alias("role")))
-    entries = F.transform(by_both, one)
+    def both(p: Column) -> Column:
+        return F.struct(p["name"].alias("name"), p["role"].alias("role"))
+
+    entries = let(people, lambda found: F.transform(_grouped(found, both), one))
     # Equal names keep their order of appearance.
     placed = F.transform(
         entries, lambda p, i: F.struct(p["name"].alias("name"), i.alias("at"), p.alias("entry"))

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 _OPEN, _CLOSE = "\x01", "\x02"
 _MATCHES = "array<struct<start:int,text:string>>"
+_CHUNK = 64
 
 
 def without_marks(text: Column) -> Column:
@@ -29,10 +30,28 @@ def mark(text: Column, pattern: str) -> Column:
 def marked_matches(marked: Column) -> Column:
     """The matches in a marked text, left to right: `array<struct<start, text>>`.
 
-    Offsets count from 0 in the text without its marks.
+    Offsets count from 0 in the text without its marks. A text of many matches is worked
+    through in chunks, as a list that grows by one entry is copied each time.
     """
+    def chunked(pieces: Column) -> Column:
+        cut = F.transform(F.sequence(F.lit(0), F.size(pieces) - 1, F.lit(_CHUNK)), lambda b: _matches_of(F.slice(pieces, b + 1, _CHUNK)))
+
+        def moved(chunks: Column) -> Column:
+            ends = F.aggregate(
+                chunks, F.array(F.lit(0)), lambda acc, c: F.concat(acc, F.array(F.element_at(acc, -1) + c["at"])))
+            return F.flatten(F.zip_with(chunks, F.slice(ends, 1, F.size(chunks)), lambda c, at: F.transform(
+                c["found"], lambda m: F.struct((m["start"] + at).alias("start"), m["text"].alias("text")))))
+
+        return let(cut, moved)
+
+    return let(F.split(marked, _OPEN, -1), lambda pieces: F.when(
+        F.size(pieces) <= _CHUNK, _matches_of(pieces)["found"]).otherwise(chunked(pieces)))
+
+
+def _matches_of(pieces: Column) -> Column:
+    """`struct<at, found>`: the length of successive pieces, and the matches in them."""
     def step(acc: Column, piece: Column) -> Column:
-        # Every piece but the first begins with a match and its closing mark.
+        # Every piece but the first of a text begins with a match and its closing mark.
         begins = F.contains(piece, F.lit(_CLOSE))
         match = F.struct(
             acc["at"].alias("start"), F.substring_index(piece, _CLOSE, 1).alias("text")
@@ -43,12 +62,7 @@ def marked_matches(marked: Column) -> Column:
             .otherwise(acc["found"]).alias("found"),
         )
 
-    return F.aggregate(
-        F.split(marked, _OPEN, -1),
-        F.struct(F.lit(0).alias("at"), F.array().cast(_MATCHES).alias("found")),
-        step,
-        lambda acc: acc["found"],
-    )
+    return F.aggregate(pieces, F.struct(F.lit(0).alias("at"), F.array().cast(_MATCHES).alias("found")), step)
 
 
 def find_all(text: Column, pattern: str) -> Column:

@@ -8,6 +8,7 @@ from stewardry.functions import people as P
 from stewardry.operators import people as rows
 from stewardry.operators.people import attach_spans
 from stewardry.plans.extraction import process_pages, process_pages_by_role, with_sections
+from stewardry.schemas import PEOPLE
 from stewardry.sinks.summaries import json_string, render_page_summary
 
 PAGE = "url string, title string, source_file string, body_text string, sections string"
@@ -234,3 +235,47 @@ def test_nearest_roles_equal_the_nearest_role(spark):
     one = F.transform("p", lambda p: P.nearest_role(F.col("h"), p["start"]))
     row = df.select(one.alias("one"), F.transform(P.nearest_roles(F.col("h"), F.col("p")), lambda x: x["role"]).alias("all")).first()
     assert row["one"] == row["all"] and len(row["all"]) == 4
+
+
+def _lists(n, letters, seed):
+    import random
+
+    rng = random.Random(seed)
+    word = lambda: "".join(rng.choice(letters) for _ in range(rng.randrange(0, 6)))
+    return [([(word() if rng.random() < 0.95 else None, rng.choice(["x", "x", "y", None]), f"m{k}", None)
+              for k in range(rng.randrange(0, 60))],) for _ in range(n)]
+
+
+@pytest.mark.parametrize("letters", ["ab ", "abcdefgh", "aA", "é漢\U0001F600a"])
+def test_merging_by_suffixes_equals_the_fold(spark, letters):
+    df = spark.createDataFrame(_lists(120, letters, 4), "p " + PEOPLE.simpleString())
+    both = df.select(P._merged_one_by_one(F.col("p")).alias("a"), P._merged_by_suffixes(F.col("p")).alias("b"), P.merge_similar_people("p").alias("c"))
+    for r in both.collect():
+        assert r["a"] == r["b"] == r["c"]
+
+
+def test_short_and_long_lists_fold_alike(spark, monkeypatch):
+    df = spark.createDataFrame(_lists(80, "abc", 5), "p " + PEOPLE.simpleString())
+    folds = lambda: [P.dedup_people("p").alias("a"), P.dedup_by_role("p").alias("b"), P.merge_similar_people("p").alias("c")]
+    text = "Vice President and Secretary Ann Lee CFO, Tom Moore Corporate Secretary President Ida Karl x Director Bob Ray"
+    section = spark.createDataFrame([(text,), ("CEO Ann Lee",), ("Ann Lee",)], "s string")
+    roles = lambda: section.select(P.nearest_roles(P.role_hits("s"), P.person_spans("s"))).collect()
+    plain, plain_roles = df.select(*folds()).collect(), roles()
+    monkeypatch.setattr(P, "_FEW_ENTRIES", 0)
+    monkeypatch.setattr(P, "_FEW_PAIRS", 0)
+    assert df.select(*folds()).collect() == plain and roles() == plain_roles
+    monkeypatch.setattr(P, "_FEW_ENTRIES", 10**6)
+    monkeypatch.setattr(P, "_FEW_PAIRS", 10**6)
+    assert df.select(*folds()).collect() == plain and roles() == plain_roles
+
+
+def test_thousands_of_names_merge_in_seconds(spark):
+    import time
+
+    names = [f"{chr(65 + i % 26)}{'abcdefghij'[i % 10]}{'klmnopqrst'[i // 10 % 10]}{'uvwxyzaeio'[i // 100 % 10]}n{i} Smith" for i in range(6400)]
+    df = spark.createDataFrame([([(n, ["CEO", "Director"][i % 2], None, None) for i, n in enumerate([*names, *(x.split()[0] for x in names[::9])])],)], "p " + PEOPLE.simpleString())
+    found = df.select(F.size(P.merge_similar_people(P.dedup_people("p"))).alias("n"))
+    found.collect()
+    start = time.perf_counter()
+    kept = found.first()["n"]
+    assert time.perf_counter() - start < 3 and 6400 <= kept < 6400 + 712
