@@ -12,23 +12,42 @@ from stewardry.session import written
 def components(edges: DataFrame) -> DataFrame:
     """node, component: the smallest node reachable, for every node that has an edge.
 
-    `edges` has two long columns `a` and `b`; nulls are left out. In each round a node
-    takes the least label among its neighbours' and then its label's own label, so that
-    chains halve. Rounds end when nothing changes; each is written to the shared folder.
+    `edges` has two long columns `a` and `b`; nulls are left out. In each round a node goes
+    to its least neighbour, if that is smaller, and on to where that one goes, by doubling
+    steps, until a node without a smaller neighbour is reached. Edges are then drawn between
+    those nodes alone, at most half as many as before, and the rounds end with the last edge.
+    Every step is written to the shared folder.
     """
-    given = edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b").select("a", "b")
-    both = written(given.union(given.select("b", "a")).distinct(), "edges")
-    labels = written(both.groupBy("a").agg(F.min("b").alias("b")).select(
-        F.col("a").alias("node"), F.least("a", "b").alias("component")), "labels")
+    given = edges.where("a IS NOT NULL AND b IS NOT NULL AND a <> b")
+    given = given.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+    rounds: list[DataFrame] = []
+    left = written(given.distinct(), "edges")
+    while not rounds or not left.isEmpty():
+        roots = _roots(written(left.groupBy("b").agg(F.min("a").alias("root")).toDF("node", "root"), "least"))
+        rounds.append(roots)
+        of_a = roots.toDF("a", "root_a")
+        of_b = roots.toDF("b", "root_b")
+        moved = left.join(of_b, "b").join(of_a, "a", "left").select(F.coalesce("root_a", "a").alias("a"), F.col("root_b").alias("b"))
+        moved = moved.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
+        left = written(moved.distinct(), "edges")
+    labels = rounds[-1]
+    for earlier in reversed(rounds[:-1]):
+        above = labels.toDF("root", "top")
+        labels = earlier.join(above, "root", "left").select("node", F.coalesce("top", "root").alias("root")).unionByName(labels)
+    labels = written(labels, "labels")
+    tops = labels.select(F.col("root").alias("node")).distinct()
+    return labels.select("node", F.col("root").alias("component")).unionByName(tops.select("node", F.col("node").alias("component")))
+
+
+def _roots(steps: DataFrame) -> DataFrame:
+    """node, root: where the steps (node, root) lead to in the end; a root has no step."""
     while True:
-        seen = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy("a").agg(F.min("component").alias("near"))
-        nearer = labels.join(seen.withColumnRenamed("a", "node"), "node").select(
-            "node", F.col("component").alias("before"), F.least("component", "near").alias("component"))
-        above = labels.select(F.col("node").alias("component"), F.col("component").alias("above"))
-        after = written(nearer.join(above, "component").select("node", "before", F.least("component", "above").alias("component")), "labels")
-        labels = after.select("node", "component")
-        if after.where("before <> component").isEmpty():
-            return labels
+        onward = steps.toDF("root", "further")
+        after = written(steps.join(onward, "root", "left").select(
+            "node", F.coalesce("further", "root").alias("root"), F.col("further").isNotNull().alias("moved")), "roots")
+        steps = after.select("node", "root")
+        if after.where("moved").isEmpty():
+            return steps
 
 
 class Unions:

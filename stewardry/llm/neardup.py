@@ -232,7 +232,8 @@ def first_of_each(docs: DataFrame, shingle: int = SHINGLE, shared: int = SHARED)
         "_node", F.when(F.col("_id").isNull() | (F.col("_first") != F.col("_name")), apart).otherwise(F.col("_id")))
     found = near_duplicates(numbered.select(F.col("_node").alias("doc_id"), "text"), shingle=shingle, shared=shared)
     kept = found.where("kept").groupBy(F.col("doc_id").alias("_node")).agg((F.count("*") > 1).alias("_repeated"))
-    kept = written(kept, "kept")
+    # the kept ids grow with the documents, so both sides are dealt by id at every size
+    kept = written(kept, "kept").hint("merge")
     once = numbered.join(kept.where("NOT _repeated"), "_node", "left_semi").select(*rows.columns)
     # rows of one id and text: one of them
     again = numbered.join(kept.where("_repeated"), "_node", "left_semi").dropDuplicates(["_node"]).select(*rows.columns)

@@ -10,6 +10,7 @@ import pytest
 
 import corpus_pipeline
 from stewardry.llm import extraction, markup, neardup, topk, vectordup
+from stewardry.llm.components import components
 from stewardry.llm.minhash import SHARED
 
 SCHEMA = "doc_id long, text string, lang string, kept string, component_id int, node string"
@@ -39,6 +40,26 @@ def components_of(nodes, linked):
     return {n: find(n) for n in nodes}
 
 
+def random_edges(seed):
+    rng = np.random.default_rng(seed)
+    order = rng.permutation(400).tolist()
+    return [
+        [], [(1, 1), (None, 2), (3, None)], [(i, i + 1) for i in range(150)], [(150 - i, 149 - i) for i in range(150)],
+        list(zip(order, order[1:])), [(0, i) for i in range(1, 80)] + [(200, i) for i in range(120, 200)],
+        rng.integers(0, 300, (150, 2)).tolist(), rng.integers(0, 300, (420, 2)).tolist() * 2,
+    ]
+
+
+@pytest.mark.parametrize("case", range(8))
+def test_components_are_the_smallest_nodes_reached(spark, case):
+    edges = random_edges(9)[case]
+    got = components(spark.createDataFrame([tuple(e) for e in edges], "a long, b long"))
+    real = [(a, b) for a, b in edges if a is not None and b is not None and a != b]
+    links = {frozenset(e) for e in real}
+    want = components_of(sorted({n for e in real for n in e}), lambda a, b: frozenset((a, b)) in links)
+    assert sorted(tuple(r) for r in got.collect()) == sorted(want.items())
+
+
 def corpus(seed):
     """Families of near copies in chains, exact copies, a shared passage, short texts."""
     rng = np.random.default_rng(seed)
