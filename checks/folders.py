@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from checks import inputs
 from checks.registered import query
 from stewardry.session import scratch_path
-from stewardry.sources import companies, objects, pages
+from stewardry.sources import companies, object_store, objects, pages
 
 
 def as_files(rows: DataFrame, label: str) -> str:
@@ -68,6 +68,34 @@ def count_object_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return objects.count_objects(objects.scan_objects(spark, _page_folder(spark, sf_dir)))
 
 
+# every seventh object is empty
+_OBJECTS = f"SELECT name, CASE WHEN page_id % 7 = 2 THEN '' ELSE content END AS content FROM ({_PAGES})"
+_N_SAMPLE = 50
+
+
+def _object_folder(spark: SparkSession, sf_dir: str) -> str:
+    return as_files(inputs.spark_input(spark, sf_dir, _OBJECTS), "objects")
+
+
+@query(f"SELECT name AS object_name, strlen(content)::BIGINT AS length FROM ({_OBJECTS})")
+def list_objects_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return object_store.scan_store(spark, _object_folder(spark, sf_dir)).select("object_name", "length")
+
+
+@query(f"SELECT count(*) AS n_objects FROM ({_OBJECTS}) WHERE starts_with(name, 'site1/')")
+def count_objects_source(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return objects.count_objects(object_store.scan_store(spark, _object_folder(spark, sf_dir), prefix="site1/"))
+
+
+@query(f"SELECT md5(name) || '.json' AS file_name, strlen(content)::BIGINT AS length, md5(content) AS content FROM ({_OBJECTS}) ORDER BY name LIMIT {_N_SAMPLE}")
+def sample_objects_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    folder, target = _object_folder(spark, sf_dir), scratch_path(spark, "object-sample")
+    listing = object_store.scan_store(spark, folder)
+    object_store.store_objects(objects.sample_objects(listing, _N_SAMPLE), folder, target)
+    stored = object_store.scan_store(spark, target, content=True)
+    return stored.select(F.col("object_name").alias("file_name"), "length", F.md5("content").alias("content"))
+
+
 _COMPANIES = f"SELECT nullif(website, '') AS website, nullif(company_name, '') AS company_name, ticker, nullif(exchange, '') AS exchange FROM ({inputs.COMPANY_ROWS})"
 
 

@@ -212,6 +212,20 @@ SELECT o_orderkey AS page_id, o_custkey + 1 AS company_id,
 FROM orders
 """
 
+# whole documents as pages: people named wherever a sentence or a clause ends. Letters beyond
+# ASCII are made plain, as the oracle's patterns know no others.
+_ACCENTS = ("äöüßéèêëàâçñóíáúîïôûùÄÖÜÉÈÊËÀÂÇÑÓÍÁÚÎÏÔÛÙ", "aouseeeeaacnoiauiiouuAOUEEEEAACNOIAUIIOUU")
+_DOCUMENT_TEXT = (
+    f"replace(replace(translate(coalesce(text, ''), '{_ACCENTS[0]}', '{_ACCENTS[1]}'),"
+    f" ', ', ', Director ' || {person('doc_id * 7 + 3')} || ' saw '), '. ', ', said ' || {person('doc_id')} || '. President ' || {person('doc_id + 5')} || ' met ')"
+)
+DOCUMENT_PAGES = f"""
+SELECT doc_id AS page_id, 'https://www.' || coalesce(source, 'none') || '.example.com/' || coalesce(lang, 'x') || '/' || {text('doc_id')} AS url,
+       'Document ' || {text('doc_id')} AS title, 'doc' || {text('doc_id')} || '.json' AS source_file,
+       {_DOCUMENT_TEXT} AS body_text, CAST(NULL AS STRING) AS sections
+FROM documents
+"""
+
 # documents whose sentences also name officers
 TITLED_TEXT = f"""
 SELECT p_partkey,

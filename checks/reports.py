@@ -9,11 +9,13 @@ from checks import inputs, sql
 from checks.matches import COUNTS
 from checks.registered import query
 from stewardry.operators import reports
+from stewardry.operators.registry import add_missing_columns
 from stewardry.operators.structure import json_structure as structure
 from stewardry.plans.coverage import coverage, top_covered
 from stewardry.plans.extraction import process_pages
 from stewardry.plans.reporting import company_people_table as people_table
 from stewardry.plans.reporting import company_reports
+from stewardry.schemas import REGISTRY
 from stewardry.session import scratch_path
 from stewardry.sinks import summaries, tables
 from stewardry.streaming.ingest import ingest_new_pages
@@ -157,6 +159,18 @@ def registry_sample(spark: SparkSession, sf_dir: str) -> DataFrame:
     return reports.registry_sample(_registry(spark, sf_dir)).select("id", "company_name")
 
 
+@query("""
+SELECT unnest(['id', 'website', 'company_name', 'ticker', 'exchange', 'headquarters_location', 'founded_date', 'description',
+               'officers', 'board_members', 'data_source', 'created_at', 'updated_at']) AS column_name,
+       unnest(['bigint', 'string', 'string', 'string', 'string', 'string', 'date', 'string', 'array<struct<name:string,title:string>>',
+               'array<struct<name:string,title:string>>', 'struct<officers:string,board_members:string>', 'timestamp', 'timestamp']) AS data_type""")
+def registry_types(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Column types of a registry as it is read back from its store."""
+    path = scratch_path(spark, "registry")
+    tables.write_registry(_registry(spark, sf_dir).select("id", "website", "company_name").transform(add_missing_columns), path)
+    return reports.registry_types(spark, spark.read.parquet(path).select(*REGISTRY.names))
+
+
 # --- sinks ------------------------------------------------------------------
 
 @query(f"""

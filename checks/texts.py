@@ -195,18 +195,30 @@ def _processed(spark: SparkSession, sf_dir: str) -> DataFrame:
     return extraction.process_pages(_company_pages(spark, sf_dir))
 
 
-@query(f"WITH {sql.processed_ctes()} SELECT url, list, row_number() OVER (PARTITION BY url, list ORDER BY pos) AS pos, name, role, email, phone FROM final")
-def process_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+_LISTED = "SELECT url, list, row_number() OVER (PARTITION BY url, list ORDER BY pos) AS pos, name, role, email, phone FROM final"
+
+
+def _listed(done: DataFrame) -> DataFrame:
     both = F.array(
         F.struct(F.lit("executive").alias("list"), F.col("executives").alias("people")),
         F.struct(F.lit("board").alias("list"), F.col("board_members").alias("people")),
     )
-    done = _processed(spark, sf_dir).select("url", F.explode(both).alias("l"))
-    return done.select("url", "l.list", F.posexplode("l.people").alias("pos", "p")).select(
+    return done.select("url", F.explode(both).alias("l")).select("url", "l.list", F.posexplode("l.people").alias("pos", "p")).select(
         "url", "list", (F.col("pos") + 1).alias("pos"), "p.name", "p.role", "p.email", "p.phone"
     )
 
 
+@query(f"WITH {sql.processed_ctes()} {_LISTED}")
+def process_page(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return _listed(_processed(spark, sf_dir))
+
+
+@query(f"WITH {sql.processed_ctes(inputs.DOCUMENT_PAGES)} {_LISTED}")
+def process_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """People of whole documents, some of hundreds of sentences."""
+    return _listed(extraction.process_pages(inputs.spark_input(spark, sf_dir, inputs.DOCUMENT_PAGES)))
+
+
 @query(f"""WITH {sql.processed_ctes()}
 SELECT t.url, t.title, (SELECT count(*) FROM relevant r WHERE r.page_id = t.page_id) AS n_sections,
        (SELECT count(*) FROM final f WHERE f.page_id = t.page_id) AS n_people FROM texts t""")

@@ -7,7 +7,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stewardry.functions.urls import normalize_website, website_or_placeholder
+from stewardry.operators.spread import join_hot
 from stewardry.schemas import MEMBERS, REGISTRY, REGISTRY_COLUMNS, REGISTRY_LENGTHS, SOURCE_TAGS
+from stewardry.session import written
 
 _ID_BUCKETS = 4096
 
@@ -79,16 +81,16 @@ def upsert_companies(
     latest = incoming.groupBy("company_name").agg(
         F.max_by(F.struct("website", "ticker", "exchange"), F.col(order)).alias("_new")
     )
-    is_known = F.col("_new").isNotNull()
-    kept = registry.join(latest, "company_name", "left")
-    for column in ("website", "ticker", "exchange"):
-        kept = kept.withColumn(
-            column, F.when(is_known, F.col(f"_new.{column}")).otherwise(F.col(column))
-        )
-    kept = kept.withColumn("updated_at", F.when(is_known, now).otherwise(F.col("updated_at")))
-
-    fresh = latest.join(registry.select("company_name"), "company_name", "left_anti")
-    highest = F.coalesce(registry.agg(F.max("id")).scalar(), F.lit(0))
+    marked = add_missing_columns(registry).withColumn("_known", F.lit(True))
+    # one join for both, written as the numbering goes over it more than once
+    both = written(marked.join(latest, "company_name", "full_outer"), "upsert")
+    known, is_new = both.filter("_known"), F.col("_new").isNotNull()
+    kept = known.withColumns({
+        **{c: F.when(is_new, F.col(f"_new.{c}")).otherwise(F.col(c)) for c in ("website", "ticker", "exchange")},
+        "updated_at": F.when(is_new, now).otherwise(F.col("updated_at")),
+    })
+    fresh = both.filter(F.col("_known").isNull()).select("company_name", "_new")
+    highest = F.coalesce(known.agg(F.max("id")).scalar(), F.lit(0))
     added = number_new(fresh, "company_name", "id", highest).select(
         "id", "company_name", "_new.*",
         F.array().cast(MEMBERS).alias("officers"),
@@ -98,9 +100,7 @@ def upsert_companies(
         now.alias("created_at"), now.alias("updated_at"),
     )
     columns = [f.name for f in REGISTRY.fields]
-    return add_missing_columns(kept).select(*columns).unionByName(
-        add_missing_columns(added).select(*columns)
-    )
+    return kept.select(*columns).unionByName(add_missing_columns(added).select(*columns))
 
 
 def duplicate_names(incoming: DataFrame) -> DataFrame:
@@ -206,7 +206,8 @@ def replace_people(people: DataFrame, found: DataFrame) -> DataFrame:
     array should hold.
     """
     updated = found.select("company_id").distinct()
-    return people.join(updated, "company_id", "left_anti").unionByName(found.select(*people.columns))
+    kept = join_hot(people, updated, "company_id", F.struct(*people.columns), how="left_anti")
+    return kept.select(*people.columns).unionByName(found.select(*people.columns))
 
 
 def add_missing_columns(registry: DataFrame) -> DataFrame:
@@ -229,33 +230,32 @@ def add_missing_columns(registry: DataFrame) -> DataFrame:
 # --- checks -----------------------------------------------------------------
 
 def validate_registry(registry: DataFrame) -> DataFrame:
-    """`rule, value, n_rows`: every broken rule with the value that breaks it."""
-    broken = []
+    """`rule, value, n_rows`: every broken rule with the value that breaks it.
+
+    One pass: a row gives an entry for each rule it breaks, and one for each value that
+    must be unique; entries are counted before they are shuffled, and of the latter those
+    that came once are dropped.
+    """
+    entries = []
     for column in ("website", "company_name"):
-        broken.append(F.when(F.col(column).isNull(), _violation(f"{column} is null", F.lit(None))))
+        entries.append(F.when(F.col(column).isNull(), _violation(f"{column} is null", F.lit(None))))
+        entries.append(F.when(F.col(column).isNotNull(), _violation(f"{column} is not unique", F.col(column), least=2)))
     for column, limit in REGISTRY_LENGTHS.items():
         too_long = F.length(column) > limit
-        broken.append(F.when(too_long, _violation(f"{column} is too long", F.col(column))))
-    rows = registry.select(
-        F.explode(F.filter(F.array(*broken), lambda v: v.isNotNull())).alias("v")
-    ).groupBy("v.rule", "v.value").agg(F.count(F.lit(1)).alias("n_rows"))
-    for column in ("website", "company_name"):
-        counted = registry.filter(F.col(column).isNotNull()).groupBy(F.col(column).alias("value")).agg(
-            F.count(F.lit(1)).alias("n_rows")
-        )
-        rows = rows.unionByName(
-            counted.filter(F.col("n_rows") > 1).withColumn("rule", F.lit(f"{column} is not unique"))
-        )
-    return rows
+        entries.append(F.when(too_long, _violation(f"{column} is too long", F.col(column))))
+    rows = registry.select(F.explode(F.filter(F.array(*entries), lambda v: v.isNotNull())).alias("v"))
+    counted = rows.groupBy("v.rule", "v.value", "v.least").agg(F.count(F.lit(1)).alias("n_rows"))
+    return counted.filter(F.col("n_rows") >= F.col("least")).drop("least")
 
 
-def _violation(rule: str, value: Column) -> Column:
-    return F.struct(F.lit(rule).alias("rule"), value.cast(T.StringType()).alias("value"))
+def _violation(rule: str, value: Column, least: int = 1) -> Column:
+    return F.struct(F.lit(rule).alias("rule"), value.cast(T.StringType()).alias("value"), F.lit(least).alias("least"))
 
 
 def orphan_people(people: DataFrame, registry: DataFrame) -> DataFrame:
     """People whose `company_id` is not in the registry."""
-    return people.join(registry.select(F.col("id").alias("company_id")), "company_id", "left_anti")
+    known = registry.select(F.col("id").alias("company_id"))
+    return join_hot(people, known, "company_id", F.struct(*people.columns), how="left_anti").select(*people.columns)
 
 
 # --- searches ---------------------------------------------------------------

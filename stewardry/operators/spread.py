@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 _SMALL_SHARE = 32 * 1024 * 1024
@@ -24,23 +24,20 @@ def spread_small(df: DataFrame) -> DataFrame:
     return df.repartition(cores) if size <= cores * _SMALL_SHARE else df
 
 
-def broadcast_if_few(df: DataFrame, n_rows: int, limit: int = BROADCAST_ROWS) -> DataFrame:
-    """`df`, to be broadcast if its counted rows are few enough, else left to the planner."""
-    return F.broadcast(df) if n_rows <= limit else df
-
-
 def join_hot(
-    facts: DataFrame, owners: DataFrame, key: str, by: str,
-    limit: int = BROADCAST_ROWS, salts: int = 32,
+    facts: DataFrame, owners: DataFrame, key: str, by: str | Column,
+    limit: int = BROADCAST_ROWS, salts: int = 32, how: str = "inner",
 ) -> DataFrame:
-    """Inner join of many rows with their few owners, where one key may hold most rows.
+    """Join of many rows with their few owners, where one key may hold most rows.
 
-    The owners are counted: up to `limit` they are broadcast and the rows stay where they
-    are. Beyond that both are shuffled by key and salt; the rows of a key are dealt over
-    `salts` tasks by their column `by`, and every owner is there once per salt.
+    The owners are counted as part of the query: up to `limit` they stay as they are, and
+    the planner broadcasts them where they are small. Beyond that the rows of a key are
+    dealt over `salts` tasks by `by`, and every owner is there once per salt. `how` is a
+    join that keeps rows of `facts` alone or with an owner: inner, left, left_semi, left_anti.
     """
-    if owners.count() <= limit:
-        return facts.join(F.broadcast(owners), key)
-    salted = owners.withColumn("_salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    salt = F.pmod(F.xxhash64(by), F.lit(salts)).cast("int")
-    return facts.withColumn("_salt", salt).join(salted, [key, "_salt"]).drop("_salt")
+    if how not in ("inner", "left", "left_semi", "left_anti"):
+        raise ValueError(f"how must not be {how!r}")
+    counted = owners.agg(F.count(F.lit(1))).scalar()
+    n = F.when(counted <= limit, F.lit(1)).otherwise(F.lit(salts))
+    salted = owners.withColumn("_salt", F.explode(F.sequence(F.lit(0), n - 1)))
+    return facts.withColumn("_salt", F.pmod(F.xxhash64(by), n).cast("int")).join(salted, [key, "_salt"], how).drop("_salt")

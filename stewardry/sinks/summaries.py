@@ -5,6 +5,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from stewardry.operators.spread import join_hot
+from stewardry.session import written
+
 _RULE = "-" * 50
 _DOUBLE_RULE = "=" * 50
 
@@ -111,8 +114,10 @@ def render_company_report(summary: DataFrame, unique: DataFrame) -> DataFrame:
 
     Ordered by `block, place`, the texts joined by line ends are the report. It stays in
     rows so that a company with very many people never has to fit into one of them.
-    `summary` is `company_people_summary`, `unique` is `unique_people` by `domain`.
+    `summary` is `company_people_summary`, `unique` is `unique_people` by `domain`; it is
+    written in between, as marks and entries both need it.
     """
+    unique = written(unique, "unique-people")
     nowhere = F.struct(F.lit("").alias("url"), F.lit(-1).alias("seq"))
     lists = (("executive", "Executives/Officers", "Executives", 1), ("board", "Board Members", "Board Members", 2))
     last_places = unique.groupBy("domain").agg(*(
@@ -166,7 +171,7 @@ def render_company_report(summary: DataFrame, unique: DataFrame) -> DataFrame:
         person_json(person),
         F.when(F.col("first_seen") == last, F.lit("")).otherwise(F.lit(",")),
     )
-    entries = unique.join(owned, "domain").select(
+    entries = join_hot(unique, owned, "domain", F.struct("list", "name")).select(
         "company_name",
         F.explode(F.array(
             F.struct((2 * n).alias("block"), _person_lines(person).alias("text")),

@@ -3,6 +3,7 @@ from __future__ import annotations
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from conftest import plan
 from stewardry.operators import matching
@@ -130,3 +131,40 @@ def test_modes_without_broadcast(companies, listing):
             for n in (0, 100)
         ]
         assert both[0] == both[1] and both[0]
+
+
+@pytest.mark.parametrize("how", ["left", "left_semi", "left_anti"])
+@pytest.mark.parametrize("limit", [0, 100])
+def test_hot_keys_in_other_joins(spark, how, limit):
+    from stewardry.operators.spread import join_hot
+
+    facts = [("hot" if i % 3 else f"k{i % 7}", f"u{i}") for i in range(300)] + [(None, "u")]
+    owners = [("hot", 1), ("k0", 3), ("k5", 4)]
+    f, o = spark.createDataFrame(facts, "key string, url string"), spark.createDataFrame(owners, "key string, id int")
+    got = join_hot(f, o, "key", "url", limit=limit, how=how)
+    assert sorted(map(repr, got.select(*sorted(got.columns)).collect())) == sorted(map(repr, f.join(o, "key", how).select(*sorted(got.columns)).collect()))
+
+
+def test_nothing_runs_before_a_hot_join_is_asked_for(spark):
+    from stewardry.operators.spread import join_hot
+
+    broken = spark.range(3).select(F.raise_error(F.lit("ran")).alias("key"))
+    join_hot(spark.createDataFrame([("a", "u")], "key string, url string"), broken, "key", "url")
+    with pytest.raises(ValueError):
+        join_hot(broken, broken, "key", "key", how="right")
+
+
+def test_names_are_read_once_to_find_domains(spark, tmp_path):
+    spark.createDataFrame([(f"https%3A%2F%2Fwww.d{i}.com%2F", ) for i in range(50)], "object_name string").write.parquet(str(tmp_path / "n"))
+    domains = spark.createDataFrame([("d1.com",), ("x",), ("www.d22.com",)], "domain string")
+    text = plan(matching.objects_holding_domain(spark.read.parquet(str(tmp_path / "n")), domains))
+    assert text.count("/n]") == 1
+
+
+def test_domains_beyond_the_filter_are_found(spark, monkeypatch):
+    monkeypatch.setattr(matching, "_LEAST_BITS", 64)
+    monkeypatch.setattr(matching, "_MOST_BITS", 64)
+    domains = [f"d{i}.example.com" for i in range(200)]
+    names = spark.createDataFrame([(f"https%3A%2F%2F{d}%2Fx",) for d in domains], "object_name string")
+    found = matching.objects_holding_domain(names, spark.createDataFrame([(d,) for d in domains], "domain string"))
+    assert found.count() == sum(a in f"https%3A%2F%2F{b}%2Fx" for a in domains for b in domains)

@@ -110,6 +110,38 @@ def test_violations(spark, registry):
     }
 
 
+def test_violations_take_one_pass(spark, registry, tmp_path):
+    registry.write.parquet(str(tmp_path / "r"))
+    text = plan(R.validate_registry(spark.read.parquet(str(tmp_path / "r"))))
+    assert text.count("FileScan") == 1 and text.count("Exchange") == 1
+
+
+def test_upsert_reads_the_registry_once(spark, registry, tmp_path, monkeypatch):
+    plans = []
+    monkeypatch.setattr(R, "written", lambda df, label: plans.append(plan(df)) or df)
+    registry.write.parquet(str(tmp_path / "r"))
+    rows = spark.createDataFrame([(1, "https://n.com", "New", "", "")], ROWS)
+    R.upsert_companies(spark.read.parquet(str(tmp_path / "r")), rows, F.lit(NOW))
+    assert len(plans) == 1 and plans[0].count("FileScan") == 1 and plans[0].count("Join") == 1
+
+
+@pytest.mark.parametrize("limit", [0, 100])
+def test_people_of_a_hot_company(spark, limit, monkeypatch):
+    from functools import partial
+
+    from stewardry.operators.spread import join_hot
+
+    monkeypatch.setattr(R, "join_hot", partial(join_hot, limit=limit))
+    people = spark.createDataFrame([(7 if i % 3 else i % 5, f"P{i}") for i in range(300)] + [(None, "nobody's")], "company_id long, name string")
+    registry = spark.createDataFrame([(i,) for i in (0, 7, 3)], "id long")
+    rows = [tuple(r) for r in people.collect()]
+    orphans = sorted(map(repr, ((r["company_id"], r["name"]) for r in R.orphan_people(people, registry).collect())))
+    assert orphans == sorted(repr(r) for r in rows if r[0] not in (0, 7, 3))
+    found = spark.createDataFrame([(7, "New"), (7, "Newer"), (99, "Other")], "company_id long, name string")
+    replaced = sorted(repr(tuple(r)) for r in R.replace_people(people, found).collect())
+    assert replaced == sorted([repr(r) for r in rows if r[0] not in (7, 99)] + [repr(tuple(r)) for r in found.collect()])
+
+
 def test_registry_types(spark, registry):
     types = {r["column_name"]: r["data_type"] for r in reports.registry_types(spark, registry).collect()}
     assert types["officers"] == "array<struct<name:string,title:string>>" and len(types) == 13
