@@ -11,12 +11,12 @@ from pyspark.sql import functions as F
 from checks import inputs
 from checks.registered import query
 from stewardry.session import scratch_path
-from stewardry.sources import companies, object_store, objects, pages
+from stewardry.sources import compaction, companies, object_store, objects, pages
 
 
-def as_files(rows: DataFrame, label: str) -> str:
-    """A new folder with a file for every row: `name` (may hold folders), `content`."""
-    folder = scratch_path(rows.sparkSession, label)
+def as_files(rows: DataFrame, label: str, folder: str | None = None) -> str:
+    """A folder, new if none is given, with a file for every row: `name` (may hold folders), `content`."""
+    folder = folder or scratch_path(rows.sparkSession, label)
 
     def write(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyarrow import fs
@@ -68,6 +68,19 @@ def count_object_folder(spark: SparkSession, sf_dir: str) -> DataFrame:
     return objects.count_objects(objects.scan_objects(spark, _page_folder(spark, sf_dir)))
 
 
+@query(f"SELECT name AS source_file, url, 'P' || page_id AS title, 'text ' || page_id AS body_text FROM ({_PAGES}) WHERE page_id % 5 <> 3")
+def scan_pages_compacted(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of the pages are there at first, the rest comes later; a third run finds nothing new."""
+    store, rows = scratch_path(spark, "compact"), inputs.spark_input(spark, sf_dir, _PAGES)
+    folder = as_files(rows.where("page_id % 2 = 0"), "page-files")
+    compaction.compact_pages(spark, folder, store, target_bytes=4096)
+    as_files(rows.where("page_id % 2 = 1"), "page-files", folder)
+    for _ in range(2):
+        compaction.compact_pages(spark, folder, store, target_bytes=4096)
+    found = pages.accepted_pages(pages.decode_pages(compaction.scan_compacted(spark, store)))
+    return found.select("source_file", "url", "title", "body_text")
+
+
 # every seventh object is empty
 _OBJECTS = f"SELECT name, CASE WHEN page_id % 7 = 2 THEN '' ELSE content END AS content FROM ({_PAGES})"
 _N_SAMPLE = 50

@@ -174,6 +174,13 @@ class CopySource(DataSource):
         return _CopyWriter(self.options["source"], self.options["path"])
 
 
+def read_bytes(folder: str, name: str) -> bytes:
+    """An object's content, inside a task."""
+    where, root = _opened(folder)
+    with where.open_input_stream(f"{root}/{name}") as given:
+        return given.read()
+
+
 def register(spark: SparkSession) -> SparkSession:
     """The session, knowing both formats."""
     for source in (ObjectSource, CopySource):
