@@ -25,7 +25,8 @@ from stewardry.llm.markup import ARTICLE, Page, blocks, parsed, text_sizes
 from stewardry.session import written
 
 #: A subtree is template on at least so many different pages of the host and on this share of
-#: them, or on so many however large the host is. Pages of the same text are one page.
+#: them, or, outside of articles, on so many however large the host is. Pages of the same text are
+#: one page.
 LEAST_PAGES, LEAST_SHARE, MANY_PAGES = 4, 0.2, 200
 #: What a page declares as its article is evidence against template: inside of it a subtree needs
 #: so many times the share, and only containers count, as headings and passages recur.
@@ -135,8 +136,9 @@ def template_subtrees(pages: DataFrame, least_pages: int = LEAST_PAGES, least_sh
     counted = written(counted, "subtrees")
     counts = counted.where("subtree IS NULL").select("host", F.col("_n").alias("_of"))
     recurring = counted.where("subtree IS NOT NULL").join(counts, "host")
-    share = F.when(F.col("subtree").bitwiseAND(F.lit(1)) == 1, min(1.0, INSIDE * least_share)).otherwise(least_share)
-    many = recurring.where(F.col("_n") >= F.least(F.col("_of") * share, F.lit(MANY_PAGES)))
+    inside = F.col("subtree").bitwiseAND(F.lit(1)) == 1
+    least = F.when(inside, F.col("_of") * min(1.0, INSIDE * least_share)).otherwise(F.least(F.col("_of") * least_share, F.lit(MANY_PAGES)))
+    many = recurring.where(F.col("_n") >= least)
     return many.groupBy("host").agg(F.sort_array(F.collect_set("subtree")).alias("templates"))
 
 

@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import html
 import re
-from collections import defaultdict
+from collections import Counter, defaultdict
 from dataclasses import dataclass, field
 
 _TAG = re.compile(r"""<(/?)([A-Za-z][^\s/>]*)((?>[^>"']+|"[^"]*"|'[^']*')*+)>|<(/?)([A-Za-z][^\s/>]*)([^>]*)>|<!--(?:.*?)--!?>|<!--|<[!?/][^>]*>""", re.S)
@@ -17,7 +17,7 @@ _ATTRIBUTE = re.compile(r"""(?:^|\s)(class|id|role|hidden|aria-hidden)(?:\s*=\s*
 
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Their content is text up to their own end tag.
-RAW = frozenset("script style noscript template textarea title iframe object svg math".split())
+RAW = frozenset("script style noscript template textarea title iframe object svg".split())
 #: Tags that begin and end a block of text.
 BLOCK = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure footer form "
@@ -31,8 +31,8 @@ _CLOSES = {
 }
 #: What never belongs to the main text.
 APART = frozenset(
-    "nav aside footer form script style noscript template iframe object svg math head button select option textarea input "
-    "dialog menu search canvas audio video title".split())
+    "nav aside footer form script style noscript template iframe object svg head button select option textarea input "
+    "dialog menu search canvas audio video title annotation annotation-xml".split())
 _APART_ROLES = frozenset("navigation banner contentinfo complementary search menu menubar dialog alert form".split())
 #: Classes and ids, as a whole, that name what is not the article.
 _APART_WORDS = frozenset(
@@ -42,6 +42,13 @@ _APART_WORDS = frozenset(
     "social related recommended recommendations widget widgets toolbar pagination pager skip copyright disclaimer".split())
 _APART_TOKENS = _APART_WORDS | {f"{w}-{s}" for w in _APART_WORDS for s in ("list", "area", "section", "box", "block", "links")} | {
     f"{s}-{w}" for w in _APART_WORDS for s in ("reader", "user", "site", "page", "global")}
+#: Words that tell the same as a part of a class or id, of a block with little text.
+_HINTS = frozenset(
+    "ad ads advert adverts advertisement sponsor sponsored promo banner newsletter signup subscribe subscription cookie cookies "
+    "consent gdpr comment comments popup modal".split())
+_HINTED_TAGS = frozenset("div section ul ol p table dl figure li h2 h3 h4 h5 h6".split())
+#: The most text that such a part of a name takes along: characters, and the share of the page.
+LITTLE, LITTLE_SHARE = 400, 0.2
 #: Tags that stay the text's if they hold the article or most of the page's text.
 _AROUND = frozenset({"form", "dialog"})
 #: Beside a declared article, a text is taken against its name if it is longer than this.
@@ -60,6 +67,8 @@ class Element:
     end: int = -1
     #: set apart by its name alone, if it does not hold the article or most of the text
     named: bool = False
+    #: a part of its name says so, which counts for a block with little text
+    hinted: bool = False
 
 
 @dataclass(slots=True)
@@ -70,24 +79,25 @@ class Page:
     texts: list[tuple[int, int, str]] = field(default_factory=list)
 
 
-def _set_apart(tag: str, attributes: str, inside: bool) -> tuple[bool, bool]:
-    """Whether an element is set apart in any case, and whether it is by its name."""
-    named = tag in _AROUND
+def _set_apart(tag: str, attributes: str, inside: bool) -> tuple[bool, bool, bool]:
+    """Whether an element is set apart in any case, by its name, by a part of its name."""
+    named, hinted = tag in _AROUND, False
     if tag in APART and not named:
-        return True, False
+        return True, False, False
     if not attributes or tag in ("html", "body", "article", "main"):
-        return False, named
+        return False, named, False
     for m in _ATTRIBUTE.finditer(attributes):
         name, value = m[1].lower(), (m[2] or m[3] or m[4] or "").lower()
         if name == "hidden" or (name == "aria-hidden" and value == "true"):
-            return True, False
+            return True, False, False
         if name == "role" and value in _APART_ROLES:
             named = True
         if name in ("class", "id"):
             tokens = _APART_TOKENS.intersection(value.replace("_", "-").split())
             # a header in an article belongs to it
             named = named or bool(tokens - {"header"} if inside else tokens)
-    return False, named
+            hinted = hinted or tag in _HINTED_TAGS and not _HINTS.isdisjoint(re.split(r"[\s_-]+", value))
+    return False, named, hinted
 
 
 def text_sizes(page: Page) -> tuple[list[int], int]:
@@ -109,7 +119,7 @@ def text_sizes(page: Page) -> tuple[list[int], int]:
 def _settle(page: Page) -> None:
     """Sets apart what names alone tell, but for what holds the article or most of the text."""
     elements = page.elements
-    if not any(e.named for e in elements):
+    if not any(e.named or e.hinted for e in elements):
         return
     size, total = text_sizes(page)
     # the article: the largest declared one, if it has a third of the text
@@ -121,9 +131,11 @@ def _settle(page: Page) -> None:
         while most >= 0:
             holding.add(most)
             most = elements[most].parent
+    little = min(LITTLE, LITTLE_SHARE * total)
     for i, e in enumerate(elements):
         above = e.parent >= 0 and elements[e.parent].apart
-        e.apart = e.apart or above or (e.named and i not in holding and size[i] <= much)
+        told = (e.named and size[i] <= much) or (e.hinted and size[i] <= little)
+        e.apart = e.apart or above or (told and i not in holding)
 
 
 def parsed(source: str) -> Page:
@@ -192,15 +204,16 @@ def parsed(source: str) -> Page:
                 texts.append((stack[-1] if stack else -1, block, " " if tag == "br" else ""))
             continue
         above = elements[stack[-1]] if stack else None
-        # a page's or section's own header is no part of the text, an article's is
+        # a page's own header is no part of the text, an article's is
         inside = bool(above and above.inside) or tag in ARTICLE
-        apart, named = _set_apart(tag, attributes, inside)
+        apart, named, hinted = _set_apart(tag, attributes, inside)
         apart = apart or bool(above and above.apart)
-        if tag == "header" and not inside:
+        # the header of a section has its headline
+        if tag == "header" and not inside and not depths["section"]:
             apart = True
         if attributes.endswith("/") and tag in RAW:
             continue
-        elements.append(Element(tag, stack[-1] if stack else -1, m.start(), apart, inside, named=named))
+        elements.append(Element(tag, stack[-1] if stack else -1, m.start(), apart, inside, named=named, hinted=hinted))
         depths[tag].append(len(stack))
         if tag in BLOCK:
             block_depths.append(len(stack))
@@ -215,20 +228,26 @@ def parsed(source: str) -> Page:
 
 
 def blocks(page: Page, dropped: set[int]) -> list[str]:
-    """The text blocks outside of what is apart or dropped; inside an article if there is one.
+    """The text blocks outside of what is apart or dropped; inside the article if there is one.
 
-    White space inside a block becomes one space. A page's articles are what counts if they
-    hold a third of the text that is left; those with less are teasers, and all of it counts.
+    White space inside a block becomes one space. What a page declares as its article counts
+    alone if it holds a third of the text that is left, with other articles at least half as
+    long; shorter ones beside it are teasers. If no single article holds as much, all counts.
     """
     gone: list[bool] = []
+    #: the outermost article that an element is in
+    article: list[int] = []
     for i, e in enumerate(page.elements):
         gone.append(e.apart or i in dropped or (e.parent >= 0 and gone[e.parent]))
+        above = article[e.parent] if e.parent >= 0 else -1
+        article.append(above if above >= 0 else i if e.tag in ARTICLE else -1)
     kept = [t for t in page.texts if t[0] < 0 or not gone[t[0]]]
-    inside = [t for t in kept if t[0] >= 0 and page.elements[t[0]].inside]
-    length = lambda some: sum(len(text.strip()) for _, _, text in some)
-    held_inside = length(inside)
-    if held_inside and 3 * held_inside >= length(kept):
-        kept = inside
+    lengths: Counter[int] = Counter()
+    for at, _, text in kept:
+        lengths[article[at] if at >= 0 else -1] += len(text.strip())
+    largest = max((n for a, n in lengths.items() if a >= 0), default=0)
+    if largest and 3 * largest >= sum(lengths.values()):
+        kept = [t for t in kept if t[0] >= 0 and article[t[0]] >= 0 and 2 * lengths[article[t[0]]] >= largest]
     out: list[str] = []
     held: list[str] = []
     for i, (_, block, text) in enumerate(kept):

@@ -289,6 +289,78 @@ def test_names_do_not_take_the_article(source, want):
     assert text_of(source) == want
 
 
+@pytest.mark.parametrize(("source", "want"), [
+    # one long text in a div, four teasers: the text stays
+    ("<div><p>" + "the main text of this page " * 9 + "</p></div>" + "".join(f"<article><p>teaser {i} of another page, with some words to it</p></article>" for i in range(4)),
+     " ".join("the main text of this page".split() * 9) + "\n" + "\n".join(f"teaser {i} of another page, with some words to it" for i in range(4))),
+    ("<article><p>" + "the article of this page " * 9 + "</p></article><article><p>a teaser</p></article>", " ".join("the article of this page".split() * 9)),
+    *((f"<article><p>{'words of the article ' * 20}</p><div class='{name}'><p>box</p></div></article>", " ".join("words of the article".split() * 20))
+      for name in ("ads-wrapper", "advert-slot", "ad-container", "newsletter-signup", "cookie-banner", "comment-thread", "main_ad_slot")),
+    ("<article><div class='ad-free comment-policy'><p>" + "words of the article " * 20 + "</p></div></article>", " ".join("words of the article".split() * 20)),
+    ("<p>Energy is <math><mi>E</mi><mo>=</mo><mi>m</mi></math> and x</p>", "Energy is E=m and x"),
+    ("<header><h1>Site</h1></header><section><header><h1>Headline</h1></header><p>text of it</p></section>", "Headline\ntext of it"),
+])
+def test_articles_are_not_lost_to_teasers_and_boxes_go(source, want):
+    assert text_of(source) == want
+
+
+@pytest.mark.parametrize("n", [5, 60, 1200])
+def test_recurring_boxes_without_names_go(spark, n):
+    """Articles of the given kind among boxes that no name or tag tells, on hosts of any size."""
+    def page(i):
+        own = f"<article><h1>Title {i}</h1><p>text number {i} of the page</p><p>and its end {i}</p></article>"
+        banner = f"<div><p>banner {i % 3} of three</p></div>"
+        return f"<div><div>home</div><div>about us</div></div><div>read this notice</div>{banner}<div>{own}</div><div><b>sign up</b> here</div><div>the end of a site</div>"
+
+    rows = [(i, f"http://h.example/{i}", page(i), "", "", 0) for i in range(n)]
+    out = extraction.main_text(spark.createDataFrame(rows, PAGES)).collect()
+    assert {r["page_id"]: r["text"] for r in out} == {i: f"Title {i}\ntext number {i} of the page\nand its end {i}" for i in range(n)}
+    # without a declared article the counts alone tell; a banner of few pages stays
+    bare = [(i, u, h.replace("article>", "div>"), *rest) for i, u, h, *rest in rows]
+    texts = {r["page_id"]: r["text"] for r in extraction.main_text(spark.createDataFrame(bare, PAGES)).collect()}
+    if n > 5:
+        assert texts == {i: f"Title {i}\ntext number {i} of the page\nand its end {i}" for i in range(n)}
+    else:
+        assert all(t.endswith(f"Title {i}\ntext number {i} of the page\nand its end {i}") and "notice" not in t for i, t in texts.items())
+
+
+def test_a_list_in_the_article_stays_on_large_hosts(spark):
+    """One page in six has the same list inside of its article: on hosts of any size it stays."""
+    for n in (60, 1500):
+        rows = [(i, "http://h.example/", f"<article><p>the text {i} of a page</p>" + ("<ul><li>a list that is there again</ul>" if i % 6 == 0 else "") + "</article>", "", "", 0) for i in range(n)]
+        out = extraction.main_text(spark.createDataFrame(rows, PAGES)).collect()
+        assert all(r["text"].endswith("there again") == (r["page_id"] % 6 == 0) for r in out)
+
+
+def test_subtree_counts_equal_brute_force(spark):
+    """Recurring subtrees per host, with the different texts around each counted by hand."""
+    rng = np.random.default_rng(2)
+    parts = [f"<div><i>part {k}</i></div>" for k in range(8)]
+    sources = ["".join(parts[k] for k in rng.choice(8, 3, replace=False)) + f"<div>own {rng.integers(0, 9)}</div>" for _ in range(40)]
+    hosts = [("a.example", "b.example")[i % 2] for i in range(40)]
+    rows = [(i, f"http://{hosts[i]}/", sources[i], "", "", 0) for i in range(40)]
+    found = extraction.template_subtrees(spark.createDataFrame(rows, PAGES)).collect()
+    want = {}
+    for host in set(hosts):
+        around, pages = defaultdict(set), set()
+        for h, source in zip(hosts, sources, strict=True):
+            if h == host:
+                page = extraction.page_of(source)
+                words = lambda t: sorted(" ".join(x[2].split()) for x in t if x[2].strip())
+                pages.add(tuple(words(page.texts)))
+                for e, name in extraction._subtrees(page):
+                    below = {i for i in range(len(page.elements)) if any(a == e for a in ancestors(page, i))}
+                    around[name].add(tuple(words([t for t in page.texts if t[0] not in below])))
+        want[host] = {s for s, rest in around.items() if len(rest) >= 4 and len(rest) >= 0.2 * len(pages)}
+    assert sorted(sorted(r["templates"]) for r in found) == sorted(sorted(v) for v in want.values() if v)
+
+
+def ancestors(page, i):
+    while i >= 0:
+        yield i
+        i = page.elements[i].parent
+
+
 def test_copies_of_a_page_are_one_and_large_hosts_have_sections(spark, monkeypatch):
     body = "<div><p>the body of a page that is stored often</p></div>"
     rows = [(i, f"http://a.example/?from={i}", f"<a href='?{i}'></a>{body}", "", "", 0) for i in range(5)]
