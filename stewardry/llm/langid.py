@@ -17,13 +17,13 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stewardry.llm.columns import set_aside
 
-SYMBOLS = 64
+SYMBOLS = 256
 WINDOW = 256
 WIDTHS = (2, 3, 4)
 FILTERS = 8
@@ -38,14 +38,10 @@ UNKNOWN = "und"
 
 
 def symbol_table() -> np.ndarray:
-    """byte -> symbol: letters whatever their case, digits, other ASCII, UTF-8 continuations
-    by their low five bits (which folds the case of accented Latin letters), lead bytes."""
-    table = np.full(256, 27, np.uint8)
-    for b in range(26):
-        table[ord("a") + b] = table[ord("A") + b] = 1 + b
-    table[ord("0"):ord("9") + 1] = 28
-    table[0x80:0xC0] = 29 + (np.arange(0x80, 0xC0) & 0x1F)
-    table[0xC0:0xC4], table[0xC4:0xE0], table[0xE0:] = 61, 62, 63
+    """byte -> symbol: the byte itself, A-Z as a-z. Every byte has its own weights, so scripts
+    that share lead bytes are told apart by those that follow."""
+    table = np.arange(256, dtype=np.uint8)
+    table[ord("A"):ord("Z") + 1] += 32
     return table
 
 
@@ -210,15 +206,18 @@ def trained(labelled: DataFrame, per_language: int = PER_LANGUAGE, sample: int =
     """A network fitted to rows `doc_id, text, lang` that may all be learned from.
 
     About `per_language` documents of each language are taken by a hash of their id, at
-    most `sample` in all; they alone come to the driver. None if there is nothing to learn.
+    most `sample` in all, of every language one before any has two; they alone come to the
+    driver. None if there is nothing to learn.
     """
     known = labelled.where(F.col("lang").isNotNull() & F.coalesce(F.col("text").rlike(r"\p{L}"), F.lit(False)))
-    # counts of a bounded number of languages; the rest of a longer list is not learned
-    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(256)
+    # every language needs a row of its own, so there is room for `sample` of them
+    counts = known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(sample)
     draw = F.pmod(F.xxhash64(F.lit(11), "doc_id"), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    chosen = known.join(F.broadcast(counts), "lang").where(draw < F.lit(float(per_language)) / F.col("count"))
+    # a language of few documents gives all it has
+    chosen = known.join(F.broadcast(counts), "lang").where((draw < F.lit(float(per_language)) / F.col("count")) | (F.col("count") <= per_language))
     data = chosen.select(F.xxhash64(F.lit(12), "doc_id").alias("k"), "doc_id", "lang", *_excerpts(F.col("text")))
-    rows = data.orderBy("k", "doc_id", "lang").limit(sample).drop("k").collect()
+    turn = F.row_number().over(Window.partitionBy("lang").orderBy("k", "doc_id"))
+    rows = data.withColumn("turn", turn).orderBy("turn", "k", "doc_id", "lang").limit(sample).drop("turn", "k").collect()
     if not rows:
         return None
     languages = sorted({r["lang"] for r in rows})

@@ -12,7 +12,7 @@ import unicodedata
 import numpy as np
 
 #: Bytes that words and pieces with their ids may take per Python worker; then all are dropped.
-KEPT_BYTES = 48 << 20
+KEPT_BYTES = 80 << 20
 #: Longer words and pieces are worked out each time: they hardly ever come again.
 KEPT_LENGTH = 40
 #: What an entry takes besides its two strings' contents: both objects and the place in the table.

@@ -292,6 +292,35 @@ def test_long_texts_are_windowed_alike(documents):
     assert (chosen, short) == ("fr", "fr") and scores[0] == pytest.approx(float(want.max()), abs=1e-5)
 
 
+def test_prediction_equals_plain_filters(documents):
+    """Every window of some whole texts, byte by byte and filter by filter."""
+    net = langid.trained(langid.learnable(documents))
+    texts = [r["text"] for r in documents.where("length(text) BETWEEN 200 AND 1500").limit(6).collect()] + ["Ñandú łódź 漢字", "a", "x" * 700]
+    names, scores = net.predict(pa.array(texts))
+    for text, name, score in zip(texts, names, scores, strict=True):
+        data = [b + 32 if 65 <= b <= 90 else b for b in text.encode()]
+        mean = np.zeros(len(net.languages))
+        for start in range(0, len(data), 253):
+            window = (data[start:start + 256] + [0] * 256)[:256]
+            pooled = []
+            for weights in net.filters:
+                places = range(256 - len(weights) + 1)
+                pooled += [max(sum(weights[j][window[p + j]][f] for j in range(len(weights))) for p in places) for f in range(langid.FILTERS)]
+            raw = np.maximum(np.array(pooled) + net.bias, 0) @ net.top + net.top_bias
+            e = np.exp(raw - raw.max())
+            mean += e / e.sum() * min(253, len(data) - start)
+        mean /= len(data)
+        assert name == net.languages[int(mean.argmax())] and score == pytest.approx(mean.max(), abs=1e-4)
+
+
+def test_every_language_is_learned(spark):
+    rows = [(i, f"{chr(0x400 + i % 300)}{chr(0x3041 + i % 80)} word{i % 300} " * 20, f"l{i % 300:03}") for i in range(900)]
+    docs = spark.createDataFrame(rows + [(10_000 + i, "common words of it", "common") for i in range(3000)], "doc_id long, text string, lang string")
+    assert len(langid.trained(docs, per_language=3).languages) == 301
+    few = langid.trained(docs, sample=301)
+    assert len(few.languages) == 301
+
+
 def test_scoring_tables_equal_the_filters(documents):
     net = langid.ByteConvNet(["a", "b"])
     net.tables()
