@@ -34,9 +34,9 @@ def components(edges: DataFrame) -> DataFrame:
     for earlier in reversed(rounds[:-1]):
         above = labels.toDF("root", "top")
         labels = earlier.join(above, "root", "left").select("node", F.coalesce("top", "root").alias("root")).unionByName(labels)
-    labels = written(labels, "labels")
-    tops = labels.select(F.col("root").alias("node")).distinct()
-    return labels.select("node", F.col("root").alias("component")).unionByName(tops.select("node", F.col("node").alias("component")))
+    labels = written(labels.select("node", F.col("root").alias("component")), "labels")
+    tops = labels.select(F.col("component").alias("node")).distinct()
+    return written(labels.unionByName(tops.select("node", F.col("node").alias("component"))), "components")
 
 
 def _roots(steps: DataFrame) -> DataFrame:

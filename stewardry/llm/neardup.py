@@ -202,7 +202,8 @@ def near_duplicates(docs: DataFrame, block: int = BLOCK, shingle: int = SHINGLE,
     families = components(edges).withColumnRenamed("component", "family")
 
     # a text that stands for its class; a repeated id with several texts has several classes
-    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(families, "node")
+    # families grow with the documents: dealt by id at every size
+    texts = docs.select(F.col("doc_id").cast("long").alias("node"), "text").join(families.hint("merge"), "node")
     sets = written(_sets_of(texts, shingle).distinct(), "sets")
     pairs = in_block_pairs(sets, ["family"], "node", block)
     links = written(map_groups(pairs, ["family", "_i", "_j"], ["node"], partial(confirmed_links, shared=shared), "a long, b long"), "links")
