@@ -16,6 +16,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from stewardry.llm import hashing, langid, mixing, packing, quality, registered, scoring, sharding
+from stewardry.llm.eliasfano import EliasFano
 from stewardry.llm.tokens import WordIds
 
 SF = "/root/testdata/sf0.001"
@@ -412,6 +413,33 @@ def test_scores_hold_with_many_files(documents):
     assert sum(r["score"] for r in unseen) > sum(r["base_score"] for r in unseen)
 
 
+def test_scores_do_not_depend_on_the_files(documents):
+    """One discount for each order: the same text scores alike however many files there are."""
+    runs = [{r["doc_id"]: r["score"] for r in scoring.scored(documents, rows_per_file=n).collect()} for n in (10**7, 4000, 900)]
+    for k, score in runs[0].items():
+        assert all(r[k] == pytest.approx(score, abs=1e-6) for r in runs[1:])
+
+
+@pytest.mark.parametrize("seed", range(4))
+def test_elias_fano_answers_all_questions(seed):
+    rng = np.random.default_rng(seed)
+    for n, top in ((1, 5), (3, 2**63), (700, 900), (5000, 10**6), (5000, 40), (3000, 2**62), (2000, 64)):
+        values = np.sort(rng.integers(0, top, n).astype(np.uint64))
+        if n == 5000:
+            values[1000:3000] = values[1000]
+            values = np.sort(values)
+        ef = EliasFano.from_parts(EliasFano.of(values).parts())
+        k = rng.permutation(n)
+        assert np.array_equal(ef.at(k), values[k])
+        a, b = ef.at_and_next(k[k < n - 1])
+        assert np.array_equal(a, values[k[k < n - 1]]) and np.array_equal(b, values[k[k < n - 1] + 1])
+        asked = np.concatenate([values, values + np.uint64(1), rng.integers(0, top, 500).astype(np.uint64), np.array([0, 2**64 - 1], np.uint64)])
+        place, equal = ef.successor(asked)
+        want = np.searchsorted(values, asked, side="left")
+        assert np.array_equal(place, want)
+        assert np.array_equal(equal, (want < n) & (values[np.minimum(want, n - 1)] == asked))
+
+
 def test_scores_of_nothing(empty, odd):
     assert scoring.scored(empty).collect() == []
     assert scoring.scored(odd.where("doc_id = 6")).count() == 1
