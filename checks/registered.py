@@ -10,6 +10,8 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
 ORACLES: dict[str, str] = {}
+#: Queries that learn from the tables; SQL cannot say their results, tests hold them otherwise.
+LEARNED: dict[str, Query] = {}
 
 
 def query(sql: str | None = None, name: str | None = None) -> Callable[[Query], Query]:
@@ -24,3 +26,9 @@ def query(sql: str | None = None, name: str | None = None) -> Callable[[Query],
         return build
 
     return register
+
+
+def learned(build: Query) -> Query:
+    """Registers a query whose result no SQL can say."""
+    LEARNED[build.__name__] = build
+    return build

@@ -6,12 +6,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from checks import expected, inputs, sql
-from checks.registered import query
+from checks.registered import learned, query
 from stewardry.functions import people as P
 from stewardry.functions import text as X
 from stewardry.functions.html import clean_html as clean
 from stewardry.operators import people as rows
-from stewardry.operators import sites
+from stewardry.operators import sites, tagger
 from stewardry.operators.once import compute_once
 from stewardry.operators.spread import spread_small
 from stewardry.plans import extraction
@@ -267,3 +267,22 @@ def title_then_name(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(_titled_oracle().replace("{columns}", f"url, {sql.netloc('url')} AS domain"))
 def officers_by_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.officers_by_domain(inputs.spark_input(spark, sf_dir, inputs.TITLED_TEXT))
+
+
+@learned
+def learned_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Names that a tagger finds on all company pages, with whether the rule it learned from,
+    on three quarters of them, finds the same; a name of the rule alone is there as well."""
+    pages = extraction.with_sections(_company_pages(spark, sf_dir))
+    sections = pages.select("url", F.posexplode("relevant").alias("section", "text"))
+    held_out = F.crc32(F.col("url").cast("binary")) % 4 == 0
+    known = sections.where(~held_out).select(F.col("text").alias("section"))
+    model = tagger.train(tagger.by_rule(known), sample=4000)
+    spanned = rows.attach_spans(pages.select("url", "relevant"), model.recogniser, "relevant")
+    found = spanned.select("url", F.inline("spans")).withColumn("by_tagger", F.lit(True))
+    ruled = sections.select("url", "section", F.inline(P.person_spans("text"))).select(
+        "url", "section", F.col("text").alias("name"), "start", F.lit(True).alias("by_rule"))
+    both = found.join(ruled, ["url", "section", "name", "start"], "full_outer")
+    return both.select(
+        "url", held_out.alias("held_out"), "section", "name", "start",
+        F.coalesce("by_tagger", F.lit(False)).alias("by_tagger"), F.coalesce("by_rule", F.lit(False)).alias("by_rule"))
