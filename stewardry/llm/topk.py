@@ -58,7 +58,7 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, query_block: int = QU
     Components become floor(256 * x); scores are integer inner products with every other
     row of as many dimensions. Rows of a query's own id are not its candidates; an id that
     repeats among queries is asked once, with its least vector. Nulls and non-finite
-    components take no part, and components must stay below 2**31 / 256.
+    components take no part. A component of 2**31 / 256 or more is an error.
     """
     clean = written(clean_vectors(vectors, "vec_id", "embedding"), "vectors").where("vector IS NOT NULL")
     queries = clean.where(F.col("node") % every == 0).groupBy("node").agg(F.min(F.struct("dim", "vector")).alias("v")).select("node", "v.*")
@@ -76,7 +76,10 @@ def top_k(vectors: DataFrame, k: int = 5, every: int = 50, query_block: int = QU
         asks = rows.column("asks").to_numpy() == 1
         if asks.all() or not asks.any():
             return [np.zeros(0, np.int64)] * 3
-        values, ids = np.floor(SCALE * matrix(rows.column("vector"))).astype(np.int64), rows.column("node").to_numpy()
+        values, ids = np.floor(SCALE * matrix(rows.column("vector"))), rows.column("node").to_numpy()
+        if np.abs(values).max(initial=0) >= 1 << 31:
+            raise ValueError("a component of 2**31 / 256 or more: its scores would not fit into 64 bits")
+        values = values.astype(np.int64)
         return best_of_block(values[asks], ids[asks], values[~asks], ids[~asks], k)
 
     found = map_groups(both, ["dim", "c", "q"], ["asks", "node"], best, "query_id long, vec_id long, score long")

@@ -82,16 +82,32 @@ def _keys_of(classes: DataFrame) -> DataFrame:
                 at = np.flatnonzero(dims == dim)
                 for lo in range(0, len(at), 1024):
                     part = batch.take(pa.array(at[lo:lo + 1024]))
-                    keys = bucket_keys(matrix(part.column("vector")))
+                    keys = bucket_keys(scaled(matrix(part.column("vector"))))
                     yield pa.RecordBatch.from_arrays([part.column("node"), pa.ListArray.from_arrays(
                         pa.array(np.arange(len(part) + 1, dtype=np.int32) * keys.shape[1]), pa.array(keys.view(np.int64).ravel()))], ["node", "keys"])
 
     return classes.select("node", "dim", "vector").mapInArrow(of, "node long, keys array<long>")
 
 
-def _units(table: pa.Table | pa.RecordBatch, name: str = "vector") -> tuple[np.ndarray, np.ndarray]:
-    x = matrix(table.column(name))
-    return x, np.sqrt((x * x).sum(1))
+def scaled(x: np.ndarray) -> np.ndarray:
+    """Rows brought to a largest component between 1/2 and 1 by a power of two, which changes
+    no cosine and keeps squares from overflowing or vanishing."""
+    return np.ldexp(x, -np.frexp(np.abs(x).max(1))[1][:, None])
+
+
+def cosines(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The cosine of each row of x with the same of y: what decides whether two are linked."""
+    return (x * y).sum(1) / (np.sqrt((x * x).sum(1)) * np.sqrt((y * y).sum(1)))
+
+
+def linked(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """Which rows of x are linked with which of y. A product of matrices tells all but those
+    next to the limit, which `cosines` decides."""
+    near = x @ y.T / (np.sqrt((x * x).sum(1))[:, None] * np.sqrt((y * y).sum(1))[None, :])
+    out = near >= LEAST
+    a, b = np.nonzero(np.abs(near - LEAST) < 1e-9)
+    out[a, b] = cosines(x[a], y[b]) >= LEAST
+    return out
 
 
 def _edges(rows: pa.Table) -> list[np.ndarray]:
@@ -101,14 +117,14 @@ def _edges(rows: pa.Table) -> list[np.ndarray]:
     out = []
     for dim in np.unique(dims):
         at = np.flatnonzero(dims == dim)
-        x, norms = _units(rows.take(pa.array(at)))
+        x = scaled(matrix(rows.take(pa.array(at)).column("vector")))
         joined = Unions(len(at), families[at])
         for a in range(len(at) - 1):
             rest = np.flatnonzero(joined.label[a + 1:] != joined.label[a]) + a + 1
             if across:
                 rest = rest[own[at[rest]] != own[at[a]]]
             if len(rest):
-                for b in rest[x[rest] @ x[a] / (norms[rest] * norms[a]) >= LEAST]:
+                for b in rest[linked(x[rest], x[a:a + 1])[:, 0]]:
                     if joined.merge(a, b):
                         out.append((nodes[at[a]], nodes[at[b]]))
     return list(np.array(out, np.int64).reshape(-1, 2).T)
@@ -118,12 +134,12 @@ def _links(rows: pa.Table) -> list[np.ndarray]:
     """node, links: of each row of a pair of blocks, to rows of the other block (or its own)."""
     nodes, own, copies = (rows.column(c).to_numpy() for c in ("node", "_own", "copies"))
     i, j = rows.column("_i")[0].as_py(), rows.column("_j")[0].as_py()
-    x, norms = _units(rows)
-    linked = x @ x.T / (norms[:, None] * norms[None, :]) >= LEAST
-    np.fill_diagonal(linked, False)
+    x = scaled(matrix(rows.column("vector")))
+    pairs = linked(x, x)
+    np.fill_diagonal(pairs, False)
     if i != j:
-        linked &= own[:, None] != own[None, :]
-    return [nodes, linked @ copies]
+        pairs &= own[:, None] != own[None, :]
+    return [nodes, pairs @ copies]
 
 
 def _confirmed(pairs: DataFrame) -> DataFrame:
@@ -134,8 +150,8 @@ def _confirmed(pairs: DataFrame) -> DataFrame:
             for dim in np.unique(dims):
                 at = np.flatnonzero(dims == dim)
                 part = batch.take(pa.array(at))
-                (x, n), (y, m) = _units(part, "v_a"), _units(part, "v_b")
-                ok[at] = np.einsum("ij,ij->i", x, y) / (n * m) >= LEAST
+                x, y = (scaled(matrix(part.column(v))) for v in ("v_a", "v_b"))
+                ok[at] = cosines(x, y) >= LEAST
             yield batch.select(["a", "b"]).filter(pa.array(ok))
 
     return pairs.select("a", "b", "dim", "v_a", "v_b").mapInArrow(of, "a long, b long")

@@ -60,6 +60,26 @@ def test_components_are_the_smallest_nodes_reached(spark, case):
     assert sorted(tuple(r) for r in got.collect()) == sorted(want.items())
 
 
+def test_vectors_of_any_size_link_by_their_angle(spark):
+    rows = [(1, [1e200, 1e200]), (2, [2e200, 2e200]), (3, [1e-200, 1e-200]), (4, [1e300, -1e300]), (5, [-3e-310, 3e-310]), (6, [0.0, 5e-324]),
+            (7, [1.0, 0.0, 0.0]), (8, [9.0, 19.0 ** 0.5, 0.0]), (9, [1e308, 0.0, 0.0])]
+    out = {r["vec_id"]: r for r in vectordup.near_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
+    assert [out[i]["component_id"] for i in (1, 2, 3)] == [1, 1, 1] and [out[i]["n_links"] for i in (1, 2, 3)] == [2, 2, 2]
+    assert out[4]["n_links"] == out[5]["n_links"] == 0 and out[6]["component_id"] == 6
+    # 0.9 to the last bit, whichever way it is found
+    edge = vectordup.cosines(np.array([[1.0, 0.0]]), np.array([[9.0, 19.0 ** 0.5]]))[0] >= vectordup.LEAST
+    assert out[7]["component_id"] == 7 == out[9]["component_id"] and (out[8]["component_id"] == 7) == edge
+    for a, b in ((rows[6][1], rows[7][1]), (rows[0][1], rows[1][1])):
+        x, y = (vectordup.scaled(np.array([v])) for v in (a, b))
+        assert vectordup.linked(x, y)[0, 0] == (vectordup.cosines(x, y)[0] >= vectordup.LEAST)
+
+
+def test_scores_that_would_not_fit_are_an_error(spark):
+    rows = spark.createDataFrame([(0, [1.0, 2.0]), (1, [1e9, 0.0])], "vec_id long, embedding array<double>")
+    with pytest.raises(Exception, match="would not fit"):
+        topk.top_k(rows).collect()
+
+
 def corpus(seed):
     """Families of near copies in chains, exact copies, a shared passage, short texts."""
     rng = np.random.default_rng(seed)
