@@ -339,6 +339,38 @@ def test_quality_tells_good_from_bad(spark, documents, labels):
     assert np.mean(good) >= 0.95 and np.mean(bad) <= 0.2
 
 
+def test_quality_against_dictionaries(spark, documents, labels):
+    """Ratio, weight, noise and the kept set, counted with dictionaries."""
+    hasher = hashing.TokenHasher(hashing.WORDS_AND_MARKS)
+    marks = re.escape("".join(chr(b) for b in range(128) if hashing.WORDS_AND_MARKS[b] == 2))
+    split = re.compile(rf"[{marks}]+|[^{marks}\x20\x09-\x0D]+")
+    number = {}
+
+    def grams(text):
+        tokens = [t.translate({c: c + 32 for c in range(65, 91)}) for t in split.findall(text or "")]
+        for t in tokens:
+            if t not in number:
+                number[t] = int(next(hasher.of_texts(pa.array([t])))[2][0]) % (quality.BUCKETS - 1) + 1
+        return [number[t] for t in tokens] + [0] * sum(a == b for a, b in itertools.pairwise(tokens))
+
+    docs = {r["doc_id"]: grams(r["text"]) for r in documents.collect()}
+    good = {r["doc_id"] for r in labels.collect() if r["quality"] == 1 and r["toxic"] == 0} & set(docs)
+    raw, target = Counter(g for d in docs.values() for g in d), Counter(g for i in good for g in docs[i])
+    share = sum(target.values()) / sum(raw.values())
+    ratio = {g: math.log((target[g] + quality.SHRINK) / (n * share + quality.SHRINK)) for g, n in raw.items()}
+    weight = {i: sum(ratio[g] for g in d) for i, d in docs.items()}
+    cut = sorted(weight[i] for i in good)[math.ceil(quality.TAIL * len(good)) - 1]
+    noise = {r["doc_id"]: r["g"] for r in documents.select("doc_id", quality.gumbel(F.col("doc_id")).alias("g")).collect()}
+    score = {i: w + quality.TEMPERATURE * noise[i] for i, w in weight.items()}
+    k = sum(w >= cut - 1e-6 for w in weight.values())
+    least = sorted(score.values(), reverse=True)[k - 1]
+    rows = quality.scored(documents, labels).collect()
+    assert {r["doc_id"] for r in rows if r["kept"]} == {i for i, v in score.items() if v >= least} and 0 < k < len(docs)
+    for r in rows:
+        assert r["log_weight"] == pytest.approx(weight[r["doc_id"]], abs=2e-3)
+    assert np.mean([-0.8 < g < 2 for g in noise.values()]) > 0.7
+
+
 def test_quality_of_odd_documents(spark, odd, empty, labels):
     none = spark.createDataFrame([], "doc_id long, quality int, toxic int")
     out = quality.resampled(odd, none)
