@@ -1,22 +1,25 @@
 """Token ids of a public tokenizer, word by word with a bounded memory.
 
 The tokenizer drops white space and never joins characters across it, so a text's ids are
-those of its parts between spaces, one after another. Words repeat, so their ids are kept.
+those of its parts between spaces and line ends, one after another. Words repeat, so their ids are kept.
 """
 
 from __future__ import annotations
 
 import re
 import unicodedata
+from array import array
 
 import numpy as np
 
 #: Bytes that words and pieces with their ids may take per Python worker; then all are dropped.
-KEPT_BYTES = 80 << 20
+KEPT_BYTES = 160 << 20
 #: Longer words and pieces are worked out each time: they hardly ever come again.
 KEPT_LENGTH = 40
 #: What an entry takes besides its two strings' contents: both objects and the place in the table.
-_ENTRY = 210
+_ENTRY = 150
+#: Marks that are a piece of their own behind a word of letters.
+_MARKS = frozenset(".,;:!?")
 
 _LATIN = re.compile("[\x00-ɏ]*")
 
@@ -45,16 +48,22 @@ class WordIds(dict):
 
     def __missing__(self, word: str) -> bytes:
         if "<|" in word or not _LATIN.fullmatch(word):
-            found = np.asarray(self._tokenizer.encode(word, add_special_tokens=False).ids, dtype="<u2").tobytes()
+            found = array("H", self._tokenizer.encode(word, add_special_tokens=False).ids).tobytes()
         else:
             plain = word.lower() if word.isascii() else unicodedata.normalize("NFC", word).lower()
-            found = b"".join([self._pieces.get(p) or self._piece(p) for p in self._split(plain)])
-        self._keep(self, word, found)
+            known = self._pieces
+            if plain.isalpha():
+                found = known.get(plain) or self._piece(plain)
+            elif plain[-1:] in _MARKS and plain[:-1].isalpha():
+                head, mark = plain[:-1], plain[-1]
+                found = (known.get(head) or self._piece(head)) + (known.get(mark) or self._piece(mark))
+            else:
+                found = b"".join([known.get(p) or self._piece(p) for p in self._split(plain)])
+        if len(word) <= KEPT_LENGTH:
+            self._keep(self, word, found)
         return found
 
     def _keep(self, store: dict[str, bytes], key: str, found: bytes) -> None:
-        if len(key) > KEPT_LENGTH:
-            return
         size = 4 * len(key) + len(found) + _ENTRY
         if self.held + size > self._kept:
             self.clear(), self._pieces.clear()
@@ -64,12 +73,13 @@ class WordIds(dict):
 
     def _piece(self, piece: str) -> bytes:
         letters = piece.encode().decode("latin-1").translate(self._bytes)
-        found = np.asarray([t.id for t in self._model.tokenize(letters)], dtype="<u2").tobytes()
-        self._keep(self._pieces, piece, found)
+        found = array("H", [t.id for t in self._model.tokenize(letters)]).tobytes()
+        if len(piece) <= KEPT_LENGTH:
+            self._keep(self._pieces, piece, found)
         return found
 
     def of_text(self, text: str | None) -> np.ndarray:
-        return np.frombuffer(b"".join(map(self.__getitem__, (text or "").split(" "))), dtype="<u2")
+        return np.frombuffer(b"".join(map(self.__getitem__, (text or "").replace("\n", " ").split(" "))), dtype="<u2")
 
 
 def _byte_letters() -> dict[int, str]:
