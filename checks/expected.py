@@ -1,7 +1,8 @@
 """Fixed values that the oracles expect.
 
 Kept apart from the library's own lists, so that a slip in those shows as a difference.
-Everything below is a fixed value; order is that of the library.
+Everything below is a fixed value, but for NOT_IN_NAMES, which is our own; order is that of
+the library.
 """
 
 from __future__ import annotations
@@ -102,6 +103,7 @@ LEADING_TITLES = (
 NAME_AFTER_TITLE = r"[A-Z][a-z]+(?:\s+[A-Z][a-z]+)*"
 CHIEF_TITLES = ("chief executive officer", "ceo")
 CHAIR_TITLES = ("chairman", "chairman of the board")
+# our own list: capitalised words of the rule that finds names
 NOT_IN_NAMES = (
     "Chief", "Executive", "Financial", "Operating", "Officer", "Officers", "President",
     "Director", "Directors", "Chairman", "Chairperson", "Chair", "Vice", "Treasurer",

@@ -1,4 +1,7 @@
-"""Text reports: one per page, one per company."""
+"""Text reports: one per page, one per company.
+
+Headings, rules and labels of the reports are fixed values.
+"""
 
 from __future__ import annotations
 

@@ -1,6 +1,7 @@
-"""Word lists, role names and patterns the results depend on.
+"""Word lists, role names and patterns the results depend on.
 
-Everything below is a fixed value. Order matters only where a comment says so.
+Everything below is a fixed value, but for the blocks whose comment calls them our own.
+Order matters only where a comment says so.
 """
 
 from __future__ import annotations
@@ -131,7 +132,7 @@ NOT_IN_NAMES = (
     "Company", "Corp", "Corporation", "Inc", "Ltd", "Limited", "Mr", "Mrs", "Ms", "Dr",
 )
 
-# White space as a Unicode-aware reader has it.
+# White space as a Unicode-aware reader has it (our own list, by the Unicode property).
 WHITESPACE = (
     " \t\n\r\x0b\x0c\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007"
     "\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
