@@ -113,9 +113,9 @@ def _person_lines(person: Column) -> Column:
 
 
 def render_company_report(summary: DataFrame, unique: DataFrame) -> DataFrame:
-    """The report of each company as `company_name, block, place, text`.
+    """The report of each company as `id, company_name, block, place, text`.
 
-    Ordered by `block, place`, the texts joined by line ends are the report. It stays in
+    Ordered by `block, place`, the texts of one id joined by line ends are the report. It stays in
     rows so that a company with very many people never has to fit into one of them.
     `summary` is `company_people_summary`, `unique` is `unique_people` by `domain`; it is
     written in between, as marks and entries both need it.
@@ -162,11 +162,11 @@ def render_company_report(summary: DataFrame, unique: DataFrame) -> DataFrame:
                 F.lit(3 * n + 4).alias("block"), F.when(found & ~empty, F.lit("]")).alias("text")
             ),
         ]
-    framing = frame.select("company_name", F.explode(F.array(*fixed)).alias("_b")).select(
-        "company_name", "_b.block", nowhere.alias("place"), "_b.text"
+    framing = frame.select("id", "company_name", F.explode(F.array(*fixed)).alias("_b")).select(
+        "id", "company_name", "_b.block", nowhere.alias("place"), "_b.text"
     ).filter(F.col("text").isNotNull())
 
-    owned = frame.filter(found).select("company_name", "domain", "_last_executive", "_last_board")
+    owned = frame.filter(found).select("id", "company_name", "domain", "_last_executive", "_last_board")
     person = F.struct("name", "role", "email", "phone")
     n = F.when(F.col("list") == "executive", 1).otherwise(2)
     last = F.when(F.col("list") == "executive", F.col("_last_executive")).otherwise(F.col("_last_board"))
@@ -175,13 +175,13 @@ def render_company_report(summary: DataFrame, unique: DataFrame) -> DataFrame:
         F.when(F.col("first_seen") == last, F.lit("")).otherwise(F.lit(",")),
     )
     entries = join_hot(unique, owned, "domain", F.struct("list", "name")).select(
-        "company_name",
+        "id", "company_name",
         F.explode(F.array(
             F.struct((2 * n).alias("block"), _person_lines(person).alias("text")),
             F.struct((3 * n + 3).alias("block"), item.alias("text")),
         )).alias("_b"),
         F.col("first_seen").alias("place"),
-    ).select("company_name", "_b.block", "place", "_b.text")
+    ).select("id", "company_name", "_b.block", "place", "_b.text")
     return framing.unionByName(entries)
 
 
@@ -196,10 +196,10 @@ def write_page_summaries(processed: DataFrame, path: str, one_file_each: bool =
 
 
 def write_company_reports(report: DataFrame, path: str) -> None:
-    """The reports below `company_name=<name>`, each in order over its files."""
-    ordered = report.repartitionByRange("company_name", "block", "place").sortWithinPartitions(
-        "company_name", "block", "place"
-    )
+    """The reports below `company_name=<name>`, each in order over its files; companies of one
+    name one after another, by id."""
+    order = ("company_name", "id", "block", "place")
+    ordered = report.repartitionByRange(*order).sortWithinPartitions(*order)
     ordered.select("company_name", F.col("text").alias("value")).write.mode("overwrite").partitionBy(
         "company_name"
     ).text(path)

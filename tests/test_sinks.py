@@ -79,6 +79,18 @@ def test_company_report(spark, tmp_path):
     assert "".join(open(f).read() for f in written) == text + "\n"
 
 
+def test_companies_of_one_name_do_not_mix(spark, tmp_path):
+    processed = process_pages(_pages(spark))
+    owners = spark.createDataFrame([(1, "X", "https://www.x.com"), (2, "X", "https://y.com"), (3, "X", "https://x.com")], "id int, company_name string, website string")
+    report = summaries.render_company_report(
+        reports.company_people_summary(processed, owners), reports.unique_people(reports.found_people(processed)))
+    assert {r["id"] for r in report.where("block = 0").collect()} == {1, 2, 3}
+    summaries.write_company_reports(report, str(tmp_path / "r"))
+    text = "".join(open(f).read() for f in sorted(glob.glob(str(tmp_path / "r/company_name=X/*.txt"))))
+    first, second, third = (p for p in text.split("Processing Summary") if p)
+    assert first.count("Ann Lee") == third.count("Ann Lee") == 2 and "No people found." in second
+
+
 def test_page_summaries_are_one_file_each(spark, tmp_path):
     processed = process_pages(_pages(spark))
     summaries.write_page_summaries(processed, str(tmp_path / "lines"))
