@@ -37,7 +37,7 @@ def test_stages_of_nothing(spark):
 
 def test_one_query_for_each_operator():
     names = [n for n in entry_point.queries() if n.startswith("op")]
-    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in names) == list(range(1, 14))
     assert "pipeline" in entry_point.queries()
 
 
