@@ -154,6 +154,18 @@ def test_nothing_runs_before_a_hot_join_is_asked_for(spark):
         join_hot(broken, broken, "key", "key", how="right")
 
 
+def test_copies_of_many_owners_are_not_broadcast(spark, tmp_path):
+    from stewardry.operators.spread import join_hot
+
+    # under the limit of a broadcast as a file, beyond it with a copy for each salt
+    spark.range(300_000).selectExpr("id AS key").write.parquet(str(tmp_path / "many"))
+    spark.range(10).selectExpr("id AS key").write.parquet(str(tmp_path / "few"))
+    facts = spark.range(600_000).selectExpr("id % 400000 AS key", "id AS u")
+    many, few = (join_hot(facts, spark.read.parquet(str(tmp_path / n)), "key", "u") for n in ("many", "few"))
+    assert "BroadcastHashJoin" not in plan(many) and many.count() == 500_000
+    assert "BroadcastHashJoin" in plan(few) and few.count() == 20
+
+
 def test_names_are_read_once_to_find_domains(spark, tmp_path):
     spark.createDataFrame([(f"https%3A%2F%2Fwww.d{i}.com%2F", ) for i in range(50)], "object_name string").write.parquet(str(tmp_path / "n"))
     domains = spark.createDataFrame([("d1.com",), ("x",), ("www.d22.com",)], "domain string")
