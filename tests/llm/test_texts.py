@@ -7,6 +7,7 @@ import itertools
 import math
 import re
 import sys
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
@@ -500,6 +501,22 @@ def test_counts_survive_their_blobs_and_add_up():
     assert list(zip(context, word, strict=True)) == sorted(brute) and n == [brute[k] for k in sorted(brute)]
 
 
+def test_counts_are_combined_in_little_memory():
+    rng = np.random.default_rng(4)
+    runs = []
+    for rows in (900_000, 400_000, 200_000):
+        key = np.unique(rng.integers(0, 1 << 22, rows))
+        runs.append([(key >> 4).astype(np.uint64) << np.uint64(33), key & 15, np.ones(len(key), np.int64)])
+    rows = sum(len(r[0]) for r in runs)
+    tracemalloc.start()
+    context, word, n = scoring._combined(runs)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 1.6 * 24 * rows
+    key, counts = np.unique(np.concatenate([(r[0] >> np.uint64(29)).astype(np.int64) | r[1] for r in runs]), return_counts=True)
+    assert np.array_equal(key, (context >> np.uint64(29)).astype(np.int64) | word) and np.array_equal(counts, n)
+
+
 def test_draws_are_in_proportion_to_the_weights(spark):
     """The score is the log weight and whole Gumbel noise: one of two is drawn first by its share."""
     rows = spark.range(20_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, math.log(3.0)).otherwise(0.0).alias("log_weight"))
