@@ -171,3 +171,15 @@ def test_prompt(value):
     assert prompt.startswith("Analyze the following text about Acme {x} and") and "text " * 2000 in prompt
     assert '        {"name": "John Doe", "title": "Chief Executive Officer"}\n' in prompt
     assert len(value(model_prompt("c", "t", 10), c="", t="x" * 99)) == len(value(model_prompt("c", "t"), c="", t="")) + 10
+
+
+def test_many_updates_are_not_broadcast(spark, tmp_path):
+    """Lists that repeat are small as files, and a broadcast of them fills the driver."""
+    member = F.array(F.struct(F.lit("Ann Moore").alias("name"), F.lit("CEO").alias("title")))
+    rows = spark.range(100_000).select("id", F.lit(0).alias("seq"), member.alias("officers"))
+    rows.write.parquet(str(tmp_path / "u"))
+    registry = R.add_missing_columns(spark.range(100_010).selectExpr("id", "'w' AS website", "'c' AS company_name"))
+    registry.write.parquet(str(tmp_path / "r"))
+    updated = R.update_management(spark.read.parquet(str(tmp_path / "r")), spark.read.parquet(str(tmp_path / "u")), F.current_timestamp())
+    assert "BroadcastHashJoin" not in plan(updated)
+    assert updated.where(F.size("officers") == 1).count() == 100_000
