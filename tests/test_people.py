@@ -279,3 +279,16 @@ def test_thousands_of_names_merge_in_seconds(spark):
     start = time.perf_counter()
     kept = found.first()["n"]
     assert time.perf_counter() - start < 3 and 6400 <= kept < 6400 + 712
+
+
+def test_the_page_is_looked_at_once_for_both_lists(spark):
+    pages = spark.createDataFrame([("https://x.com/team", "t", "f", "CEO Ann Lee.", None)], PAGE)
+    assert plan(process_pages(pages)).count("leadership|executive|officer") == 1
+
+
+def test_matches_start_where_they_do_however_many(spark):
+    texts = ["ä" + " Ann Lee x" * n for n in (0, 1, 8, 9, 64, 65, 130)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string").select("t", P.person_spans("t").alias("m"))
+    for row in df.collect():
+        assert [m["start"] for m in row["m"]] == [2 + 10 * i for i in range(len(row["m"]))]
+        assert len(row["m"]) == row["t"].count("Ann Lee") and {m["text"] for m in row["m"]} <= {"Ann Lee"}

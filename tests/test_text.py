@@ -88,3 +88,30 @@ def test_hostile_texts_do_not_break_the_matcher(value):
     assert value(clean_html("t"), t="<!-- " + "open " * 50_000).startswith("<!-- open")
     assert value(text.strip("t"), t=" " * 200_000 + "a" + " " * 200_000 + "b\u2003\n") == "a" + " " * 200_000 + "b"
     assert len(value(text.compact_lines("t"), t="a" + " " * 200_001 + "b")) == 3
+
+
+def test_folded_patterns_find_what_plain_ones_find(spark):
+    import random
+
+    from stewardry import vocab
+
+    rng = random.Random(3)
+    phrases = vocab.CONTACT_PHRASES + vocab.MANAGEMENT_PHRASES + vocab.ROLE_PHRASES
+    pieces = [*phrases, *vocab.EXCLUDED_BY_READER, *vocab.NON_PERSON_WORDS, *vocab.ROLE_PHRASES]
+    odd = {"s": "ſ", "i": "İ", "k": "K", " ": "  "}
+
+    def noisy(text):
+        chars = [odd[c] if c in odd and rng.random() < 0.1 else c.swapcase() if rng.random() < 0.2 else c for c in text.rstrip("?")]
+        if rng.random() < 0.3:
+            del chars[rng.randrange(len(chars))]
+        return "".join(chars)
+
+    texts = ["".join(noisy(rng.choice(pieces)) + rng.choice(["", "s", " ", "-"]) for _ in range(rng.randrange(1, 4))) for _ in range(3000)]
+    df = spark.createDataFrame([(t,) for t in texts], "t string")
+    first = "".join(sorted({p[0] for p in phrases}))
+    plain = rf"(?=[{first}{first.upper()}ſİı])(?iuU:{vocab.phrase_pattern(phrases)})"
+    lists = (vocab.EXCLUDED_BY_READER, vocab.NON_PERSON_WORDS, vocab.BOARD_PAGE_WORDS)
+    wrong = df.where(
+        (F.regexp_replace("t", f"({plain})", "<$1>") != F.regexp_replace("t", f"({vocab.any_case(phrases)})", "<$1>"))
+        | F.exists(F.array(*(F.lower("t").rlike("|".join(w)) != F.col("t").rlike(vocab.words_any_case(w)) for w in lists)), lambda x: x))
+    assert wrong.count() == 0 and df.where(F.col("t").rlike(plain)).count() > 500
