@@ -36,6 +36,9 @@ BITS = 18
 #: Labelled sections to learn from at most, parts they are dealt to, and epochs.
 SAMPLE, PARTS, EPOCHS = 20_000, 8, 4
 
+#: Words and neighbourhoods whose scores a task keeps at most.
+KEPT = 200_000
+
 _TOKEN = re.compile(r"\w[\w'’-]*|[^\w\s]")
 _WEIGHTS = "feature long, tag long, weight double, mean double"
 
@@ -88,39 +91,99 @@ class Tagger:
         """The best tags. Inside follows begin or inside alone; of equal scores the lower tag wins."""
         if not len(features):
             return []
-        own = self.weights[features].sum(1).tolist()
-        moves = self.moves.tolist()
-        best, back = [own[0][t] + moves[3][t] for t in range(3)], []
-        best[INSIDE] = -np.inf
-        for row in own[1:]:
-            now, came = [], []
-            for t in range(3):
-                options = [best[b] + moves[b][t] if not (t == INSIDE and b == OUTSIDE) else -np.inf for b in range(3)]
-                b = max(range(3), key=options.__getitem__)
-                now.append(options[b] + row[t])
-                came.append(b)
-            best = now
-            back.append(came)
-        tags = [max(range(3), key=best.__getitem__)]
-        for came in reversed(back):
-            tags.append(came[tags[-1]])
-        return tags[::-1]
+        return _best_tags(self.weights[features].sum(1).tolist(), self.moves.tolist())
+
+    def scores(self) -> Callable[[list[tuple[int, int, str]]], list[list[float]]]:
+        """The sums of `weights[features_of(tokens)]` for the tokens of a section, three each.
+
+        What a word and what a neighbourhood adds is looked up once and kept. All is added in
+        the order of the features, so that the sums are the same to the last bit.
+        """
+        weights, words, shapes = self.weights, {}, {}
+
+        def of(feature: str) -> tuple[float, float, float]:
+            return tuple(weights[zlib.crc32(feature.encode()) & ((1 << BITS) - 1)].tolist())
+
+        def of_word(word: str):
+            lower, shape = word.lower(), _shape(word)
+            own = (0.0, 0.0, 0.0)
+            for f in (f"w {lower}", f"s {shape}", f"a {lower[:3]}", f"z {lower[-3:]}"):
+                own = tuple(x + y for x, y in zip(own, of(f), strict=True))
+            return own, of(f"p {lower}"), of(f"n {lower}"), shape
+
+        def of_shapes(a: str, b: str, c: str):
+            return of(f"t {a} {b}"), of(f"u {b} {c}"), of(f"v {a} {b} {c}"), of("b")
+
+        def word(text: str):
+            found = words.get(text)
+            if found is None:
+                if len(words) >= KEPT:
+                    words.clear()
+                found = words[text] = of_word(text)
+            return found
+
+        def section_scores(tokens: list[tuple[int, int, str]]) -> list[list[float]]:
+            row = [word("<"), *(word(t) for _, _, t in tokens), word(">")]
+            out = []
+            for (_, before, _, a), (own, _, _, b), (_, _, after, c) in zip(row, row[1:], row[2:], strict=False):
+                around = shapes.get((a, b, c))
+                if around is None:
+                    if len(shapes) >= KEPT:
+                        shapes.clear()
+                    around = shapes[a, b, c] = of_shapes(a, b, c)
+                t, u, v, w = around
+                out.append([
+                    own[0] + before[0] + after[0] + t[0] + u[0] + v[0] + w[0],
+                    own[1] + before[1] + after[1] + t[1] + u[1] + v[1] + w[1],
+                    own[2] + before[2] + after[2] + t[2] + u[2] + v[2] + w[2],
+                ])
+            return out
+
+        return section_scores
 
     def names(self, section: str | None) -> list[tuple[str, int]]:
         """(name, start) of the names found."""
-        tokens, out = tokens_of(section or ""), []
+        tokens = tokens_of(section or "")
+        return self._named(section, tokens, self.decode(features_of(tokens)))
+
+    def _named(self, section: str, tokens: list[tuple[int, int, str]], tags: list[int]) -> list[tuple[str, int]]:
         spans: list[list[int]] = []
-        for (start, end, _), tag in zip(tokens, self.decode(features_of(tokens)), strict=True):
+        for (start, end, _), tag in zip(tokens, tags, strict=True):
             if tag == BEGIN:
                 spans.append([start, end])
             elif tag == INSIDE:
                 spans[-1][1] = end
-        out = [(section[a:b], a) for a, b in spans]
-        return out
+        return [(section[a:b], a) for a, b in spans]
 
     def recogniser(self) -> Callable[[str], list[tuple[str, int]]]:
         """What `operators.people.attach_spans` asks for."""
-        return self.names
+        scores, moves = self.scores(), self.moves.tolist()
+
+        def names(section: str | None) -> list[tuple[str, int]]:
+            tokens = tokens_of(section or "")
+            return self._named(section, tokens, _best_tags(scores(tokens), moves)) if tokens else []
+
+        return names
+
+
+def _best_tags(own: list[list[float]], moves: list[list[float]]) -> list[int]:
+    """Viterbi, see `Tagger.decode`."""
+    (oo, ob, _), (bo, bb, bi), (io, ib, ii), (so, sb, _) = moves
+    o, b, i = own[0][OUTSIDE] + so, own[0][BEGIN] + sb, -np.inf
+    back = []
+    for to_o, to_b, to_i in own[1:]:
+        x, y, z = o + oo, b + bo, i + io
+        from_o, best_o = (OUTSIDE, x) if x >= y and x >= z else (BEGIN, y) if y >= z else (INSIDE, z)
+        x, y, z = o + ob, b + bb, i + ib
+        from_b, best_b = (OUTSIDE, x) if x >= y and x >= z else (BEGIN, y) if y >= z else (INSIDE, z)
+        y, z = b + bi, i + ii
+        from_i, best_i = (BEGIN, y) if y >= z else (INSIDE, z)
+        o, b, i = best_o + to_o, best_b + to_b, best_i + to_i
+        back.append((from_o, from_b, from_i))
+    tags = [OUTSIDE if o >= b and o >= i else BEGIN if b >= i else INSIDE]
+    for came in reversed(back):
+        tags.append(came[tags[-1]])
+    return tags[::-1]
 
 
 def _learned(tagger: Tagger, rows: Iterator[tuple[str, list[tuple[int, int]]]]) -> tuple[Tagger, Tagger]:

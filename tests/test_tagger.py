@@ -91,3 +91,23 @@ def test_held_out_pages_agree_with_the_rule(spark):
     both, tagged, ruled = found.agg(
         F.count_if(F.col("by_tagger") & F.col("by_rule")), F.count_if("by_tagger"), F.count_if("by_rule")).first()
     assert both >= 0.95 * tagged and both >= 0.95 * ruled and both > 300
+
+
+def test_kept_scores_give_the_tags_of_all_features():
+    import random
+
+    import numpy as np
+
+    from stewardry.operators import tagger as G
+
+    rng, numbers = random.Random(5), np.random.default_rng(5)
+    model = G.Tagger(numbers.normal(size=(1 << G.BITS, 3)), numbers.normal(size=(4, 3)))
+    words = ["Ann", "Lee", "ß", "Élan", "CEO", ".", ",", "42nd", "o'Neil", "of", "İda"]
+    find, scores = model.recogniser(), model.scores()
+    for _ in range(300):
+        section = " ".join(rng.choice(words) for _ in range(rng.randrange(30)))
+        tokens = G.tokens_of(section)
+        features = G.features_of(tokens)
+        assert scores(tokens) == (model.weights[features].sum(1).tolist() if tokens else [])
+        assert find(section) == model._named(section, tokens, model.decode(features))
+    assert find(None) == find("") == []
