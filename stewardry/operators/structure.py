@@ -16,7 +16,11 @@ _BARE_NAN = r"(?<=[:,\[])(\s*)NaN(?=\s*[,\]}])"
 
 def _type_name(value: Column) -> Column:
     """Name of the JSON value's type as a Python reader has it."""
-    schema = F.schema_of_variant(value)
+    # the schema of a value is found by going through all of it
+    return let(F.schema_of_variant(value), _type_of_schema)
+
+
+def _type_of_schema(schema: Column) -> Column:
     return (
         F.when(F.startswith(schema, F.lit("OBJECT")), F.lit("dict"))
         .when(F.startswith(schema, F.lit("ARRAY")), F.lit("list"))

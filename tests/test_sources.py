@@ -96,3 +96,13 @@ def test_names_are_paths_below_the_folder(spark, tmp_path):
         listing = objects.scan_objects(spark, folder)
         assert sorted(r["object_name"] for r in listing.collect()) == ["b.json", "sub1/a.json", "sub2/a.json"]
         assert [r["object_name"] for r in objects.list_objects(listing, "sub1/").collect()] == ["sub1/a.json"]
+
+
+def test_the_schema_of_a_value_is_found_once_for_its_type(spark):
+    from conftest import plan
+    from stewardry.operators.structure import json_structure
+
+    docs = spark.createDataFrame([('{"a": [1, {"b": 2.5}], "c": 12345678901234567890123}',)], "doc string")
+    found = json_structure(docs, "doc")
+    assert 0 < plan(found).lower().count("schemaofvariant") <= 8
+    assert {tuple(r) for r in found.collect()} == {("a", "list", 1), ("a", "list[int]", 1), ("c", "int", 1)}
