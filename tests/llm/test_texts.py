@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 
 from stewardry.llm import hashing, langid, mixing, packing, quality, registered, scoring, sharding
 from stewardry.llm.eliasfano import EliasFano
+from stewardry.llm.trie import TrieShard
 from stewardry.llm.tokens import WordIds
 
 SF = "/root/testdata/sf0.001"
@@ -517,6 +518,79 @@ def test_counts_are_combined_in_little_memory():
     assert np.array_equal(key, (context >> np.uint64(29)).astype(np.int64) | word) and np.array_equal(counts, n)
 
 
+class _AllWords:
+    """Stands for a model whose vocabulary is a range of numbers by hash."""
+
+    size = 1 << 15
+
+    def open_vocabulary(self):
+        return self
+
+    def look_up(self, hashes):
+        return (hashes >> np.uint64(64 - 15)).astype(np.int64), np.ones(len(hashes), np.int64)
+
+
+class _Batches:
+    """Stands for a table that is gone through here and not in a worker."""
+
+    def select(self, *_):
+        return self
+
+    def mapInArrow(self, count, _):
+        return count
+
+
+def test_counting_tasks_take_little_memory_and_hand_on_all_counts():
+    """4,500,000 n-grams, nearly all of them different."""
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"{w:05d}" for w in rng.integers(0, 30_000, 3000)) for _ in range(1500)]
+    count = scoring.ngram_counts(_Batches(), _AllWords(), 3, 5)
+    tracemalloc.start()
+    blobs = [(b.column(0)[0].as_py(), b.column(1)[0].as_py()) for b in count(iter([pa.record_batch([pa.array(texts)], ["text"])]))]
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 200e6 + sum(len(b) for _, b in blobs)
+    assert {k for k, _ in blobs} == set(range(5))
+    assert sum(int(scoring._of_blob(b)[2].sum()) for _, b in blobs) == 1500 * (3001 - 2)
+
+
+@pytest.mark.parametrize("size", [1, 2, 37, 64, 65])
+def test_contexts_have_numbers_of_their_own_in_their_shards_range(size):
+    first, second = (x.ravel() for x in np.meshgrid(np.arange(size), np.arange(size)))
+    for words in (1, 2):
+        contexts = scoring.Contexts(size, words, 3)
+        numbers = np.sort(contexts.of([first, second][:words]))
+        assert len(np.unique(numbers)) == size ** words and int(numbers.max()) < 1 << contexts.bits
+        edges = contexts.edges(numbers)
+        assert edges[0] == 0 and edges[-1] == len(numbers) and (np.diff(edges) >= 0).all()
+        if size > 30:
+            assert np.diff(edges).max() < 1.5 * len(numbers) / 3
+
+
+def test_words_after_frequent_contexts_are_found_at_once(monkeypatch):
+    """A context with most of all continuations is no heap to be searched step by step."""
+    rng, size = np.random.default_rng(6), 200_000
+    context = np.concatenate([np.full(20_000, 700), np.repeat(np.arange(2000) + 1000, 3)]).astype(np.uint64)
+    word = np.concatenate([np.sort(rng.choice(size, 20_000, replace=False)), *(np.sort(rng.choice(size, 3, replace=False)) for _ in range(2000))])
+    n = rng.integers(1, 9, len(word))
+    trie, far = TrieShard.of(context, word, n, 0.5, size), []
+    select, lows = EliasFano._select, []
+    monkeypatch.setattr(EliasFano, "_select", lambda self, k, zeros: (far.append(len(k) * zeros), select(self, k, zeros))[1])
+    read = EliasFano._lows
+    monkeypatch.setattr(EliasFano, "_lows", lambda self, at: (lows.append(len(at)), read(self, at))[1])
+    other = rng.integers(0, size, len(word))
+    brute = dict(zip(zip(context.tolist(), word.tolist(), strict=True), n.tolist(), strict=True))
+    totals = Counter()
+    for (c, _), k in brute.items():
+        totals[c] += k
+    for asked in (word, other):
+        far.clear(), lows.clear()
+        given, _ = trie.look_up(context, asked)
+        want = [max(0.0, brute.get((c, w), 0) - 0.5) / totals[c] for c, w in zip(context.tolist(), asked.tolist(), strict=True)]
+        assert given == pytest.approx(np.array(want), rel=1e-3)
+        assert sum(far) < 0.01 * len(word) and sum(lows) < 5 * len(word)
+
+
 def test_draws_are_in_proportion_to_the_weights(spark):
     """The score is the log weight and whole Gumbel noise: one of two is drawn first by its share."""
     rows = spark.range(20_000).select(F.col("id").alias("doc_id"), F.when(F.col("id") % 2 == 0, math.log(3.0)).otherwise(0.0).alias("log_weight"))
