@@ -28,17 +28,33 @@ def mark(text: Column, pattern: str) -> Column:
 
     `text` must be free of them (see `without_marks`).
     """
-    return F.regexp_replace(text, f"({pattern})", f"{_OPEN}$1{_CLOSE}")
+    return F.regexp_replace(text, pattern, f"{_OPEN}$0{_CLOSE}")
 
 
-def marked_matches(marked: Column) -> Column:
+def mark_copies(text: Column, pattern: str, look: str = "") -> Column:
+    """The text with a copy of the match, between the two control characters, before every place
+    where the pattern matches. So matches that overlap are all found, in one search.
+
+    `look` is a quick look at a place that tells where there is no match.
+    """
+    return F.regexp_replace(text, f"{look}(?=({pattern}))", f"{_OPEN}$1{_CLOSE}")
+
+
+def has_marks(marked: Column) -> Column:
+    """Whether there are matches in a marked text."""
+    return F.contains(marked, F.lit(_OPEN))
+
+
+def marked_matches(marked: Column, copies: bool = False) -> Column:
     """The matches in a marked text, left to right: `array<struct<start, text>>`.
 
-    Offsets count from 0 in the text without its marks. A text of many matches is worked
-    through in chunks, as a list that grows by one entry is copied each time.
+    Offsets count from 0 in the text without its marks, and without the copies of `mark_copies`.
+    A text of many matches is worked through in chunks, as a list that grows by one entry is
+    copied each time.
     """
     def chunked(pieces: Column) -> Column:
-        cut = F.transform(F.sequence(F.lit(0), F.size(pieces) - 1, F.lit(_CHUNK)), lambda b: _matches_of(F.slice(pieces, b + 1, _CHUNK)))
+        cut = F.transform(
+            F.sequence(F.lit(0), F.size(pieces) - 1, F.lit(_CHUNK)), lambda b: _matches_of(F.slice(pieces, b + 1, _CHUNK), copies))
 
         def moved(chunks: Column) -> Column:
             ends = F.aggregate(
@@ -49,19 +65,26 @@ def marked_matches(marked: Column) -> Column:
         return let(cut, moved)
 
     def few(text: Column, pieces: Column) -> Column:
-        # before a match lie the marks of those before it, two each
-        return F.transform(F.slice(pieces, 2, _FEW), lambda piece, i: F.struct(
-            (F.length(F.call_function("substring_index", text, F.lit(_OPEN), i + 1)) - 2 * i).alias("start"), F.substring_index(piece, _CLOSE, 1).alias("text")))
+        # before a match lie the marks of those before it, two each, and their copies
+        def row(match: Column, i: Column, copied: Column | int = 0) -> Column:
+            before = F.length(F.call_function("substring_index", text, F.lit(_OPEN), i + 1))
+            return F.struct((before - 2 * i - copied).alias("start"), match.alias("text"))
+
+        if not copies:
+            return F.transform(F.slice(pieces, 2, _FEW), lambda piece, i: row(F.substring_index(piece, _CLOSE, 1), i))
+        matches = F.transform(F.slice(pieces, 2, _FEW), lambda piece: F.substring_index(piece, _CLOSE, 1))
+        return let(matches, lambda found: F.transform(found, lambda match, i: row(
+            match, i, F.when(i == 0, 0).otherwise(F.length(F.array_join(F.slice(found, F.lit(1), i), ""))))))
 
     def found(text: Column) -> Column:
         return let(F.split(text, _OPEN, -1), lambda pieces: F.when(F.size(pieces) <= _FEW + 1, few(text, pieces)).when(
-            F.size(pieces) <= _CHUNK, _matches_of(pieces)["found"]).otherwise(chunked(pieces)))
+            F.size(pieces) <= _CHUNK, _matches_of(pieces, copies)["found"]).otherwise(chunked(pieces)))
 
-    return let(marked, lambda text: F.when(F.contains(text, F.lit(_OPEN)), found(text)).when(
+    return let(marked, lambda text: F.when(has_marks(text), found(text)).when(
         text.isNotNull(), F.array().cast(_MATCHES)))
 
 
-def _matches_of(pieces: Column) -> Column:
+def _matches_of(pieces: Column, copies: bool) -> Column:
     """`struct<at, found>`: the length of successive pieces, and the matches in them."""
     def step(acc: Column, piece: Column) -> Column:
         # Every piece but the first of a text begins with a match and its closing mark.
@@ -69,8 +92,9 @@ def _matches_of(pieces: Column) -> Column:
         match = F.struct(
             acc["at"].alias("start"), F.substring_index(piece, _CLOSE, 1).alias("text")
         )
+        beside = F.length(match["text"]) + 1 if copies else F.lit(1)
         return F.struct(
-            (acc["at"] + F.length(piece) - F.when(begins, 1).otherwise(0)).alias("at"),
+            (acc["at"] + F.length(piece) - F.when(begins, beside).otherwise(0)).alias("at"),
             F.when(begins, F.concat(acc["found"], F.array(match)))
             .otherwise(acc["found"]).alias("found"),
         )

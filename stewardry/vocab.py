@@ -212,6 +212,11 @@ def any_case(phrases: tuple[str, ...]) -> str:
     return f"(?U:{_not_behind(firsts)}(?:{words}))"
 
 
+def quick_look(phrases: tuple[str, ...]) -> str:
+    """A look that passes over the usual characters which begin none of the phrases, in any case."""
+    return _not_behind(p[0] for p in phrases)
+
+
 def _behind_first(words: Iterable[list[str]]) -> str:
     """An alternation of words given by their characters, behind a look at the first one."""
     words = list(words)

@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+import re
+
 import pytest
 from pyspark.sql import functions as F
 
 from conftest import plan
+from stewardry import vocab
 from stewardry.functions import people as P
 from stewardry.operators import people as rows
 from stewardry.operators.people import attach_spans
@@ -292,3 +295,25 @@ def test_matches_start_where_they_do_however_many(spark):
     for row in df.collect():
         assert [m["start"] for m in row["m"]] == [2 + 10 * i for i in range(len(row["m"]))]
         assert len(row["m"]) == row["t"].count("Ann Lee") and {m["text"] for m in row["m"]} <= {"Ann Lee"}
+
+
+def test_overlapping_role_phrases_are_found_in_one_search(spark):
+    texts = [
+        "presidentreasurer", "Corporate  Contact Person", "VICE\npresident, corporate affairsecretary; Corporate Secretary",
+        *(" and ".join((["Vice President", "director", "Corporate contact person"] * 70)[:n]) for n in (8, 9, 10, 30, 63, 64, 65, 200)),
+    ]
+    df = spark.createDataFrame([(t,) for t in texts], "s string").select("s", P.role_hits("s").alias("h"))
+    for text, hits in df.collect():
+        want = [(rank, m.start(), m.group()) for rank, p in enumerate(vocab.ROLE_PHRASES, 1)
+                for m in re.finditer(p.replace(" ", r"\s+"), text, re.IGNORECASE)]
+        assert sorted(map(tuple, hits)) == sorted(want), text
+        assert [h["start"] for h in hits] == sorted(h["start"] for h in hits)
+    # one search of the text for the phrases, one of a phrase for its white space
+    assert df._jdf.queryExecution().analyzed().toString().count("regexp_replace(") == 2
+
+
+def test_control_characters_make_no_role(spark):
+    """They count as spaces between names, but a section has a role only if it has one with them."""
+    rows = [("Ann Lee is vice\x01secretar",), ("Ann Lee met corporate\x02contact",), ("Ann\x01Lee is Director",), (None,)]
+    df = spark.createDataFrame(rows, "s string").select(P.people_of_sections(F.array("s")).alias("p"))
+    assert [[p["role"] for p in r["p"]] for r in df.collect()] == [[], [], ["Director"], []]
