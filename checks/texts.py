@@ -15,6 +15,7 @@ from stewardry.operators import sites, tagger
 from stewardry.operators.once import compute_once
 from stewardry.operators.spread import spread_small
 from stewardry.plans import extraction
+from stewardry.session import written
 from stewardry.sources.pages import documented_page, page_text
 
 
@@ -273,12 +274,13 @@ def officers_by_domain(spark: SparkSession, sf_dir: str) -> DataFrame:
 def learned_names(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Names that a tagger finds on all company pages, with whether the rule it learned from,
     on three quarters of them, finds the same; a name of the rule alone is there as well."""
-    pages = extraction.with_sections(_company_pages(spark, sf_dir))
+    # training, tagging and the rule each go over the sections
+    pages = written(extraction.with_sections(_company_pages(spark, sf_dir)).select("url", "relevant"), "page-sections")
     sections = pages.select("url", F.posexplode("relevant").alias("section", "text"))
     held_out = F.crc32(F.col("url").cast("binary")) % 4 == 0
     known = sections.where(~held_out).select(F.col("text").alias("section"))
-    model = tagger.train(tagger.by_rule(known), sample=4000)
-    spanned = rows.attach_spans(pages.select("url", "relevant"), model.recogniser, "relevant")
+    model = tagger.train(tagger.by_rule(known))
+    spanned = rows.attach_spans(pages, model.recogniser, "relevant")
     found = spanned.select("url", F.inline("spans")).withColumn("by_tagger", F.lit(True))
     ruled = sections.select("url", "section", F.inline(P.person_spans("text"))).select(
         "url", "section", F.col("text").alias("name"), "start", F.lit(True).alias("by_rule"))

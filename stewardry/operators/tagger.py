@@ -5,7 +5,8 @@ score is the sum of hashed features of the token and its neighbours (the word, i
 its first and last letters) and of the tag before; Viterbi decoding finds the best sequence.
 Weights are those of an averaged perceptron, trained in Spark by mixing: in each epoch
 every part of the labelled sections goes on from the same weights, and the results are
-averaged. Labels may come from the rule (`functions.people.person_spans`) or from anywhere.
+averaged. Every labelled section is learned from, as often as it occurs. Labels may come from
+the rule (`functions.people.person_spans`) or from anywhere.
 
 The tagger plugs in where any recogniser does: `people.attach_spans(pages,
 tagger.recogniser, "relevant")`, then `process_pages(spans="spans")`.
@@ -16,10 +17,10 @@ from __future__ import annotations
 import re
 import sys
 import zlib
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterable
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -33,8 +34,12 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 OUTSIDE, BEGIN, INSIDE = 0, 1, 2
 #: log2 of the number of hashed features; weights are three numbers for each.
 BITS = 18
-#: Labelled sections to learn from at most, parts they are dealt to, and epochs.
-SAMPLE, PARTS, EPOCHS = 20_000, 8, 4
+#: Parts that labelled sections are dealt to at least, and epochs.
+PARTS, EPOCHS = 8, 4
+#: Characters of different sections in a part, about; times a section comes in a part, about.
+PART_CHARS, PART_TIMES = 4 << 20, 1000
+#: Sections that are scored at once at most.
+AHEAD = 64
 
 #: Words and neighbourhoods whose scores a task keeps at most.
 KEPT = 200_000
@@ -186,56 +191,139 @@ def _best_tags(own: list[list[float]], moves: list[list[float]]) -> list[int]:
     return tags[::-1]
 
 
-def _learned(tagger: Tagger, rows: Iterator[tuple[str, list[tuple[int, int]]]]) -> tuple[Tagger, Tagger]:
-    """One pass of the perceptron: the weights after it, and their mean over all steps."""
+def _coded(sections: list[list[tuple[int, int, str]]]) -> tuple[np.ndarray, np.ndarray]:
+    """The features of the tokens of all sections, as `features_of`, and where each section's begin.
+
+    What a word and what a neighbourhood has is worked out once for all sections.
+    """
+    mask = (1 << BITS) - 1
+    numbers, shapes, words, kinds = {}, {}, [], []
+
+    def hashed(*features: str) -> list[int]:
+        return [zlib.crc32(f.encode()) & mask for f in features]
+
+    def number(word: str) -> int:
+        found = numbers.get(word)
+        if found is None:
+            found = numbers[word] = len(numbers)
+            lower, shape = word.lower(), _shape(word)
+            kinds.append(shapes.setdefault(shape, len(shapes)))
+            words.append(hashed(f"w {lower}", f"s {shape}", f"a {lower[:3]}", f"z {lower[-3:]}", f"p {lower}", f"n {lower}"))
+        return found
+
+    begins = np.zeros(len(sections) + 1, np.int64)
+    np.cumsum([len(tokens) for tokens in sections], out=begins[1:])
+    first, last = number("<"), number(">")
+    codes = np.array([c for tokens in sections for c in (first, *(number(t) for _, _, t in tokens), last)], np.int64)
+    # a section's tokens stand between two numbers that are no token's
+    at = np.arange(begins[-1]) + np.repeat(2 * np.arange(len(sections)) + 1, np.diff(begins))
+    words, kinds, names = np.array(words, np.int32), np.array(kinds, np.int64), list(shapes)
+    a, b, c = (kinds[codes[at + i]] for i in (-1, 0, 1))
+    around, which = np.unique((a * len(names) + b) * len(names) + c, return_inverse=True)
+    rows = []
+    for n in around.tolist():
+        a, b, c = names[n // len(names) ** 2], names[n // len(names) % len(names)], names[n % len(names)]
+        rows.append(hashed(f"t {a} {b}", f"u {b} {c}", f"v {a} {b} {c}", "b"))
+    rows = np.array(rows, np.int32).reshape(-1, 4)
+    return np.concatenate([words[codes[at], :4], words[codes[at - 1], 4:5], words[codes[at + 1], 5:], rows[which]], axis=1), begins
+
+
+def _learned(tagger: Tagger, rows: Iterable[tuple[str, list[tuple[int, int]], int]]) -> tuple[Tagger, Tagger]:
+    """One pass of the perceptron: the weights after it, and their mean over all steps.
+
+    A row is a section, its names at (start, end), and how many times it is learned from, one
+    after the other; once it is tagged right, the times that are left change no weight.
+    Sections are scored some at once, and anew when weights have changed.
+    """
+    rows = [(tokens_of(section), spans, times) for section, spans, times in rows]
+    features, begins = _coded([tokens for tokens, _, _ in rows])
     now, sums, step = Tagger(tagger.weights.copy(), tagger.moves.copy()), Tagger(), 1
-    for section, spans in rows:
-        tokens = tokens_of(section)
-        features = features_of(tokens)
-        found, wanted = now.decode(features), tags_of(tokens, spans)
-        if found != wanted:
-            for tags, sign in ((wanted, 1.0), (found, -1.0)):
-                before = 3
-                for row, tag in zip(features, tags, strict=True):
-                    np.add.at(now.weights[:, tag], row, sign)
-                    np.add.at(sums.weights[:, tag], row, sign * step)
-                    now.moves[before, tag] += sign
-                    sums.moves[before, tag] += sign * step
-                    before = tag
-        step += 1
+    at, ahead = 0, 1
+    while at < len(rows):
+        until = min(at + ahead, len(rows))
+        own, moves = now.weights[features[begins[at]:begins[until]]].sum(1).tolist(), now.moves.tolist()
+        ahead = min(2 * ahead, AHEAD)
+        for i in range(at, until):
+            tokens, spans, times = rows[i]
+            lo, hi = begins[i], begins[i + 1]
+            found, wanted = _best_tags(own[lo - begins[at]:hi - begins[at]], moves) if tokens else [], tags_of(tokens, spans)
+            if found == wanted:
+                step += times
+                continue
+            while times and found != wanted:
+                _corrected(now, sums, features[lo:hi], wanted, found, step)
+                step, times = step + 1, times - 1
+                found = now.decode(features[lo:hi]) if times else wanted
+            step += times
+            until, ahead = i + 1, max(1, i + 1 - at)
+            break
+        at = until
     return now, Tagger(now.weights - sums.weights / step, now.moves - sums.moves / step)
 
 
-def _epoch(start) -> Callable[[pd.DataFrame], pd.DataFrame]:
+def _corrected(now: Tagger, sums: Tagger, features: np.ndarray, wanted: list[int], found: list[int], step: int) -> None:
+    """Adds the wanted tags and takes the found ones away, where they differ."""
+    other = np.flatnonzero(np.array(wanted) != np.array(found))
+    rows = features[other]
+    for tags, sign in ((wanted, 1.0), (found, -1.0)):
+        columns = np.array(tags)[other][:, None]
+        np.add.at(now.weights, (rows, columns), sign)
+        np.add.at(sums.weights, (rows, columns), sign * step)
+        before = 3
+        for tag in tags:
+            now.moves[before, tag] += sign
+            sums.moves[before, tag] += sign * step
+            before = tag
+
+
+def _epoch(start) -> Callable[[pa.Table], pa.Table]:
     """What a part makes of the weights it is given, as rows."""
-    def learn(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values(["key", "section"])
-        labels = ([(s["start"], s["end"]) for s in spans] for spans in rows["spans"])
-        now, average = _learned(Tagger(*start.value), zip(rows["section"], labels, strict=True))
+    def learn(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("key", "ascending"), ("section", "ascending"), ("label", "ascending")]).combine_chunks()
+        labels = ([(s["start"], s["end"]) for s in spans.as_py()] for spans in rows["spans"])
+        now, average = _learned(Tagger(*start.value), zip(rows["section"].to_pylist(), labels, rows["times"].to_pylist(), strict=True))
         both = [np.concatenate([t.weights, t.moves]) for t in (now, average)]
         feature, tag = np.nonzero((both[0] != 0) | (both[1] != 0))
-        return pd.DataFrame({"feature": feature, "tag": tag, "weight": both[0][feature, tag], "mean": both[1][feature, tag]})
+        return pa.table({"feature": feature, "tag": tag, "weight": both[0][feature, tag], "mean": both[1][feature, tag]})
 
     return learn
 
 
-def train(labelled: DataFrame, sample: int = SAMPLE, epochs: int = EPOCHS, parts: int = PARTS) -> Tagger:
+def _dealt(counted: DataFrame, parts: int) -> DataFrame:
+    """Sections with their number of `times`, dealt to parts by a hash of their text, whatever
+    the layout; one that comes very often is dealt to several, its times being shared out."""
+    places = F.least(F.lit(parts), F.ceil(F.col("times") / PART_TIMES))
+    shares = F.transform(F.sequence(F.lit(0).cast("long"), places - 1), lambda i: F.struct(
+        F.pmod(F.col("key") + i, F.lit(parts)).cast("int").alias("part"),
+        F.expr("times div _places").alias("_even"), (i < F.col("times") % F.col("_places")).cast("long").alias("_more")))
+    rows = counted.withColumn("_places", places).select("section", "spans", "label", "key", F.inline(shares))
+    return rows.withColumn("times", F.col("_even") + F.col("_more")).drop("_even", "_more")
+
+
+def train(labelled: DataFrame, sample: int | None = None, epochs: int = EPOCHS, parts: int = PARTS) -> Tagger:
     """A tagger learned from `section, spans`, spans being `array<struct<start, text>>`.
 
-    At most `sample` sections are learned from, chosen by a hash of their text; they stay on
-    the executors. What comes to the driver each epoch is the mean of the parts' weights, at
-    most three numbers for each of 2 ** BITS features.
+    All sections are learned from, unless a `sample` of so many, chosen by a hash of their
+    text, is asked for. They stay on the executors, in `parts` or in as many more as keep a
+    part's text small. What comes to the driver each epoch is the mean of the parts' weights,
+    at most three numbers for each of 2 ** BITS features.
     """
     key = F.xxhash64("section")
     chosen = labelled.select("section", F.transform("spans", lambda s: F.struct(
         s["start"].alias("start"), (s["start"] + F.length(s["text"])).alias("end"))).alias("spans"), key.alias("key"))
-    chosen = chosen.where("length(section) > 0").orderBy("key", "section").limit(sample)
-    chosen = written(chosen.withColumn("part", F.pmod("key", F.lit(parts)).cast("int")), "tagged-sections")
+    chosen = chosen.where("length(section) > 0")
+    if sample is not None:
+        chosen = chosen.orderBy("key", "section").limit(sample)
+    counted = chosen.groupBy("key", "section", "spans").agg(F.count(F.lit(1)).alias("times"))
+    counted = written(counted.withColumn("label", F.xxhash64("spans")), "tagged-sections")
+    chars = counted.agg(F.sum(F.length("section"))).first()[0] or 0
+    parts = max(parts, -(-chars // PART_CHARS))
+    dealt = _dealt(counted, parts)
     tagger, mean = Tagger(), Tagger()
     for _ in range(epochs):
-        start = chosen.sparkSession.sparkContext.broadcast((tagger.weights, tagger.moves))
+        start = counted.sparkSession.sparkContext.broadcast((tagger.weights, tagger.moves))
 
-        found = chosen.groupBy("part").applyInPandas(_epoch(start), _WEIGHTS).groupBy("feature", "tag").agg(
+        found = dealt.groupBy("part").applyInArrow(_epoch(start), _WEIGHTS).groupBy("feature", "tag").agg(
             (F.sum("weight") / parts).alias("weight"), (F.sum("mean") / parts).alias("mean")).toPandas()
         tagger = Tagger()
         for target, name in ((tagger, "weight"), (mean, "mean")):

@@ -111,3 +111,67 @@ def test_kept_scores_give_the_tags_of_all_features():
         assert scores(tokens) == (model.weights[features].sum(1).tolist() if tokens else [])
         assert find(section) == model._named(section, tokens, model.decode(features))
     assert find(None) == find("") == []
+
+
+def plain_pass(model, rows):
+    """The averaged perceptron, one section after the other."""
+    now, sums, step = T.Tagger(model.weights.copy(), model.moves.copy()), T.Tagger(), 1
+    for section, spans in rows:
+        tokens = T.tokens_of(section)
+        features = T.features_of(tokens)
+        found, wanted = now.decode(features), T.tags_of(tokens, spans)
+        for tags, sign in ((wanted, 1.0), (found, -1.0)) if found != wanted else ():
+            before = 3
+            for row, tag in zip(features, tags, strict=True):
+                np.add.at(now.weights[:, tag], row, sign)
+                np.add.at(sums.weights[:, tag], row, sign * step)
+                now.moves[before, tag] += sign
+                sums.moves[before, tag] += sign * step
+                before = tag
+        step += 1
+    return now, T.Tagger(now.weights - sums.weights / step, now.moves - sums.moves / step)
+
+
+def test_a_pass_is_that_of_one_section_after_the_other():
+    rng = np.random.default_rng(7)
+    rows = [(text, [(at, at + len(name)) for at, name in spans], int(rng.choice([1, 1, 2, 9]))) for text, spans in sentences(300, 5)]
+    rows += [(" \t", [], 3), ("Ann Lee Ann Lee", [(0, 15)], 6), ("Ann Lee Ann Lee", [(0, 7), (8, 15)], 6), ("İda Öz, ß.", [(0, 6)], 2)]
+    rows = [rows[i] for i in rng.permutation(len(rows))]
+    each = [(text, spans) for text, spans, times in rows for _ in range(times)]
+    ours = plain = T.Tagger()
+    for _ in range(2):
+        (ours, our_mean), (plain, plain_mean) = T._learned(ours, rows), plain_pass(plain, each)
+        for a, b in ((ours, plain), (our_mean, plain_mean)):
+            np.testing.assert_allclose(a.weights, b.weights, atol=1e-9)
+            np.testing.assert_allclose(a.moves, b.moves, atol=1e-9)
+    assert our_mean.weights.any()
+    empty, mean = T._learned(T.Tagger(), [])
+    assert not empty.weights.any() and not mean.weights.any()
+
+
+def test_every_section_is_learned_from(spark):
+    """Words that only sections behind the first 20,000 in hash order have get weights as well."""
+    rows = [(f"Item {i} was sold.", []) for i in range(42_000)] + [(f"Item {i} by zed quill.", [(len(f"Item {i} by "), "zed quill")]) for i in range(800)]
+    key = F.xxhash64("section")
+    labelled = spark.createDataFrame(rows, LABELLED).where(F.when(F.size("spans") == 0, key < 0).otherwise(key >= 0))
+    assert labelled.where(key < 0).count() > 20_000 and labelled.where(key >= 0).count() > 300
+    model = T.train(labelled, epochs=1)
+    seen = T.features_of(T.tokens_of("zed quill"))[:, 0]
+    assert model.weights[seen].any(1).all()
+
+
+def test_frequent_sections_are_shared_out(spark, monkeypatch):
+    monkeypatch.setattr(T, "PART_TIMES", 10)
+    counted = spark.createDataFrame([("a", [], 3, 5, 7), ("b", [], 3, 6, 47), ("c", [], 3, -7, 1000)],
+                                    "section string, spans array<struct<start:int,end:int>>, label long, key long, times long")
+    times = {}
+    for r in T._dealt(counted, 8).collect():
+        times.setdefault(r["section"], {})[r["part"]] = r["times"]
+    assert times == {"a": {5: 7}, "b": {6: 10, 7: 10, 0: 9, 1: 9, 2: 9}, "c": dict.fromkeys(range(8), 125)}
+
+
+def test_the_query_learns_from_all_pages_that_are_not_held_out(spark, monkeypatch):
+    given, train = [], T.train
+    monkeypatch.setattr(T, "train", lambda labelled, **more: given.append((labelled.count(), more)) or train(labelled, epochs=1, **more))
+    entry_point.queries()["learned_names"](spark, "/root/testdata/sf0.001")
+    assert len(given) == 1 and given[0][0] > 0 and given[0][1] == {}
