@@ -180,3 +180,28 @@ def test_domains_beyond_the_filter_are_found(spark, monkeypatch):
     names = spark.createDataFrame([(f"https%3A%2F%2F{d}%2Fx",) for d in domains], "object_name string")
     found = matching.objects_holding_domain(names, spark.createDataFrame([(d,) for d in domains], "domain string"))
     assert found.count() == sum(a in f"https%3A%2F%2F{b}%2Fx" for a in domains for b in domains)
+
+
+def test_names_of_a_site_with_few_owners_are_dealt_to_many_tasks(spark):
+    """A name for every owner comes out, so that one task would make the whole product of a large site."""
+    settings = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {key: spark.conf.get(key) for key in settings}
+    companies = spark.createDataFrame([(i, f"C{i}", "https://large.site.com") for i in range(20)] + [(99, "X", "https://other.com")], COMPANIES)
+    names = spark.createDataFrame([(f"https%3A%2F%2Flarge.site.com%2F{i}.json",) for i in range(400)], "object_name string")
+    try:
+        for key, to in settings.items():
+            spark.conf.set(key, to)
+        found = matching.pages_for_company(names, companies, mode="contains").withColumn("task", F.spark_partition_id()).collect()
+    finally:
+        for key, was in before.items():
+            spark.conf.set(key, was)
+    assert sorted((r["id"], r["object_name"]) for r in found) == sorted((i, f"https%3A%2F%2Flarge.site.com%2F{n}.json") for i in range(20) for n in range(400))
+    assert len({r["task"] for r in found}) > 2
+
+
+def test_a_domain_is_looked_up_by_a_piece_that_few_others_have(spark):
+    domains = [f"www.name{i}.example.org" for i in range(500)] + ["", "a", "ab", "abc.com", "www.example.org"]
+    pieces = {r["domain"]: r["gram"] for r in matching._anchors(spark.createDataFrame([(d,) for d in domains], "domain string")).collect()}
+    assert set(pieces) == set(domains) - {""}
+    assert all(gram in domain and len(gram) == (8 if len(domain) >= 8 else 3 if len(domain) >= 3 else 1) for domain, gram in pieces.items())
+    assert all(sum(pieces[d] in other for other in domains) <= 12 for d in domains[:500])
