@@ -20,7 +20,7 @@ def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents drawn by importance resampling towards those labelled good. A null or empty
     text would have weight 1, like one that says nothing either way; the stage before keeps none."""
-    return quality.of_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return quality.of_quality(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"), pairs=True)
 
 
 def distinct(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -597,3 +597,46 @@ def test_draws_are_in_proportion_to_the_weights(spark):
     score = {r["doc_id"]: r["s"] for r in rows.select("doc_id", quality._score().alias("s")).collect()}
     first = np.mean([score[i] > score[i + 1] for i in range(0, 20_000, 2)])
     assert first == pytest.approx(0.75, abs=0.02)
+
+
+def test_pairs_against_dictionaries(spark, documents, labels):
+    """The weights of op4: words, marks, "the same again" and all pairs of neighbours, counted with dictionaries."""
+    hasher = hashing.TokenHasher(hashing.WORDS_AND_MARKS)
+    marks = re.escape("".join(chr(b) for b in range(128) if hashing.WORDS_AND_MARKS[b] == 2))
+    split = re.compile(rf"[{marks}]+|[^{marks}\x20\x09-\x0D]+")
+    hashes = {}
+
+    def hash_of(token):
+        if token not in hashes:
+            hashes[token] = int(next(hasher.of_texts(pa.array([token])))[2][0])
+        return hashes[token]
+
+    def pair(a, b):
+        return int(hashing.mixed(np.array([(3 * a + b) % (1 << 64)], np.uint64))[0]) % quality.PAIRS
+
+    def grams(text):
+        found = [hash_of(t.translate({c: c + 32 for c in range(65, 91)})) for t in split.findall(text or "")]
+        words = [h % (quality.BUCKETS - 1) + 1 for h in found] + [0] * sum(a == b for a, b in itertools.pairwise(found))
+        return words, [pair(a, b) for a, b in itertools.pairwise(found)]
+
+    docs = {r["doc_id"]: grams(r["text"]) for r in documents.collect()}
+    good = {r["doc_id"] for r in labels.collect() if r["quality"] == 1 and r["toxic"] == 0} & set(docs)
+    weight = Counter()
+    for kind, shrink in ((0, quality.SHRINK), (1, quality.PAIR_SHRINK)):
+        raw, target = Counter(g for d in docs.values() for g in d[kind]), Counter(g for i in good for g in docs[i][kind])
+        share = sum(target.values()) / sum(raw.values())
+        for i, d in docs.items():
+            weight[i] += sum(math.log((target[g] + shrink) / (raw[g] * share + shrink)) for g in d[kind])
+    rows = registered.op4_quality_classifier(spark, SF).collect()
+    assert len(rows) == len(docs) and {r["doc_id"] for r in rows} == set(docs)
+    for r in rows:
+        assert r["log_weight"] == pytest.approx(weight[r["doc_id"]], abs=2e-3, rel=1e-5)
+
+
+def test_pairs_stay_within_a_text():
+    hasher = hashing.TokenHasher(hashing.WORDS_AND_MARKS)
+    (lo, hi, grams, text), = quality.grams_of(pa.array(["a b c", None, "d", "c b a", "a b"]), hasher, pairs=True)
+    by = [sorted(grams[(text == i) & (grams >= quality.BUCKETS)].tolist()) for i in range(lo, hi)]
+    assert [len(b) for b in by] == [2, 0, 0, 2, 1]
+    assert by[4][0] in by[0] and not set(by[0]) & set(by[3])
+    assert [int((grams[text == i] < quality.BUCKETS).sum()) for i in range(lo, hi)] == [3, 0, 1, 3, 2]
